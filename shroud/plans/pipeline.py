@@ -1,0 +1,159 @@
+"""The release pipeline (X1) and the before/after report.
+
+``anonymize`` chains the operators in the order of the reference notebook:
+cut dates, (optional lookups), drop staff, pseudonyms, user-wise
+k-anonymity, roll up small countries, clean gender and education, generalise
+forum posts and birth year, final key, flag and delete rows below k,
+l-diversity of the sensitive value on the released groups, export view.
+Every step is a DataFrame transform; only the user-wise loop and the K4
+passes run driver-side loops, each over aggregated tables.
+"""
+
+from __future__ import annotations
+
+from dataclasses import dataclass, field
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from shroud.functions.columns import r6
+from shroud.operators import generalize as G
+from shroud.operators import kanon as K
+from shroud.operators import transforms as P
+from shroud.operators import stats as A
+from shroud.operators import users as U
+from shroud.operators.pseudonym import pseudonymize
+
+
+@dataclass
+class ReleaseConfig:
+    user: str = "user_id"
+    course: str = "course_id"
+    country: str = "country"
+    continent: str = "continent"
+    gender: str = "gender"
+    loe: str = "LoE"
+    posts: str = "nforum_posts"
+    yob: str = "YoB"
+    sensitive: str = "grade"
+    roles: str = "roles"
+    date_columns: tuple = ("start_time",)
+    k: int = 5
+    country_threshold: int = 5000
+    posts_low: int | None = None
+    posts_high: int | None = None
+    posts_bw: int = 5
+    yob_low: int | None = None
+    yob_high: int | None = None
+    yob_bw: int = 2
+    l: int = 2
+    prefix: str = "PC"
+    salt: str | None = None
+    strategy: str = "multi"
+    max_comb: int = 1
+    as_written: bool = False
+    export_columns: tuple | None = None
+    entropy_columns: tuple | None = None
+    readings: dict = field(default_factory=dict)
+
+    def release_qis(self) -> list[str]:
+        return [self.course, f"{self.country}_DI", f"{self.gender}_DI", f"{self.loe}_DI",
+                f"{self.posts}_DI", f"{self.yob}_DI"]
+
+
+@dataclass
+class Release:
+    table: DataFrame        # all rows kept, all columns (internal)
+    export: DataFrame       # de-identified columns of k-anonymous rows
+    tally: DataFrame        # rows dropped per course by the user-wise step
+    steps: list             # user-wise drops chosen
+    config: ReleaseConfig
+
+
+def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
+    cfg = cfg or ReleaseConfig()
+    ent_cols = list(cfg.entropy_columns or df.columns)
+    for c in cfg.date_columns:
+        if c in df.columns:
+            df = P.date_part_only(df, c)
+    if cfg.roles in df.columns:
+        df = P.drop_roles(df, cfg.roles)
+    df = pseudonymize(df, cfg.user, cfg.prefix, cfg.salt)
+
+    # user-wise k-anonymity, then delete users still rare
+    uk = U.user_k_anonymity(df, cfg.user, cfg.course, cfg.k, strategy=cfg.strategy,
+                            max_comb=cfg.max_comb)
+    df = P.suppress_unique_users(uk.rows)
+
+    # generalise quasi-identifiers
+    df = G.roll_up_rare(df, cfg.country, cfg.continent, cfg.country_threshold)
+    df = P.blank_missing(df, cfg.gender)
+    df = P.recode_education(df, cfg.loe)
+    df = G.generalize_numeric(df, cfg.posts, bw=cfg.posts_bw, low=cfg.posts_low, high=cfg.posts_high)
+    df = G.trim_tails(df, cfg.yob, low=cfg.yob_low, high=cfg.yob_high)
+    df = G.bin_numeric(df, f"{cfg.yob}_DI", bw=cfg.yob_bw, overwrite=True)
+    if cfg.as_written:
+        # the notebook blanks the sensitive value on an intermediate key
+        df = K.l_diversity(df, [f"{cfg.country}_DI", f"{cfg.gender}_DI", f"{cfg.loe}_DI",
+                                f"{cfg.posts}_DI", f"{cfg.yob}_DI"], cfg.sensitive, cfg.l)
+    df = P.incomplete_flag(df)
+
+    # final key, flag, delete rows below k
+    df = K.flag_k(df, cfg.release_qis(), cfg.k)
+    df = P.suppress_below_k(df)
+    if not cfg.as_written:
+        df = K.l_diversity(df, "kkey", cfg.sensitive, cfg.l)
+    export_cols = list(cfg.export_columns or (
+        ["userid_DI"] + cfg.release_qis() + [cfg.sensitive, "incomplete_flag"]))
+    export = df.filter(F.col("kCheckFlag") == "True").select(*export_cols)
+    cfg.readings["entropy_columns"] = ent_cols
+    return Release(table=df, export=export, tally=uk.tally, steps=uk.steps, config=cfg)
+
+
+def release_report(original: DataFrame, released: DataFrame, cfg: ReleaseConfig | None = None,
+                   flags: tuple = ("viewed", "explored", "certified")) -> DataFrame:
+    """(measure, original, released) for totals, flag shares, gender shares,
+    mean age; plus re-measured k-anonymity and uniform groups of the release."""
+    cfg = cfg or ReleaseConfig()
+
+    def measures(df: DataFrame) -> DataFrame:
+        parts = [A.total_records(df).select(F.lit("records").alias("measure"),
+                                            F.col("n_records").cast("double").alias("value"))]
+        present = [f for f in flags if f in df.columns]
+        if present:
+            parts.append(A.value_shares(df, present).select(
+                F.concat(F.lit("share:"), "variable", F.lit("="), F.coalesce("value", F.lit("NULL"))).alias("measure"),
+                F.col("share").alias("value")))
+        if cfg.gender in df.columns:
+            parts.append(A.gender_shares(df, cfg.gender).select(
+                F.concat(F.lit("gender:"), F.coalesce(cfg.gender, F.lit("NULL"))).alias("measure"),
+                F.col("share").alias("value")))
+        if cfg.yob in df.columns:
+            parts.append(A.mean_age(df, cfg.yob).select(F.lit("mean_age").alias("measure"),
+                                                        F.col("mean_age").alias("value")))
+        out = parts[0]
+        for p in parts[1:]:
+            out = out.unionByName(p)
+        return out
+
+    a = measures(original).withColumnRenamed("value", "original")
+    b = measures(released).withColumnRenamed("value", "released")
+    base = a.join(b, "measure", "full_outer")
+    qis = [c for c in cfg.release_qis() if c in released.columns]
+    extra = []
+    if qis:
+        ka = K.k_anonymity(released, cfg.k, qis=qis, flag=None)
+        extra.append(ka.select(F.lit("release:suppress_fraction").alias("measure"),
+                               F.lit(None).cast("double").alias("original"),
+                               F.col("suppress_fraction").alias("released")))
+        if cfg.sensitive in released.columns:
+            keyed = released.withColumn("__key", F.concat_ws("", *[F.coalesce(F.col(q), F.lit("NULL")) for q in qis]))
+            uniform = (keyed.groupBy("__key").agg(F.count_distinct(cfg.sensitive).alias("nd"),
+                                                  F.max(F.col(cfg.sensitive) == " ").alias("blank"))
+                       .agg(F.count(F.when((F.col("nd") < cfg.l) & ~F.coalesce("blank", F.lit(False)), 1))
+                            .cast("double").alias("released")))
+            extra.append(uniform.select(F.lit("release:uniform_groups_shown").alias("measure"),
+                                        F.lit(None).cast("double").alias("original"), "released"))
+    for e in extra:
+        base = base.unionByName(e)
+    return base.select("measure", r6("original").alias("original"), r6("released").alias("released"))
