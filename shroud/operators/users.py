@@ -251,11 +251,13 @@ def _apply_to_state(st: DataFrame, accepted: DataFrame, positions: list[int]) ->
     acc = accepted.select(F.col("combo").alias("current"), F.lit(True).alias("__acc")).distinct()
     j = attach(st, acc, ["current"])
     hit = F.coalesce(F.col("__acc"), F.lit(False))
-    return j.select(
-        "origin",
-        F.when(hit, _zero_bits(F.col("current"), d)).otherwise(F.col("current")).alias("current"),
-        F.when(hit, _or_bits(F.col("dropped"), F.col("current"), d)).otherwise(F.col("dropped")).alias("dropped"),
-        "n")
+    # New values get fresh names first: a lambda inside the same select would
+    # otherwise resolve ``current`` to the new alias (lateral column alias).
+    out = j.select(
+        "origin", "n",
+        F.when(hit, _zero_bits(F.col("current"), d)).otherwise(F.col("current")).alias("__cur"),
+        F.when(hit, _or_bits(F.col("dropped"), F.col("current"), d)).otherwise(F.col("dropped")).alias("__drp"))
+    return out.select("origin", F.col("__cur").alias("current"), F.col("__drp").alias("dropped"), "n")
 
 
 def apply_state(df: DataFrame, user: str, course: str, courses: Sequence[str], state: DataFrame,
