@@ -12,11 +12,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shroud.session import cut_lineage
-
 # Default bound for broadcasting a small side (rows).  At about 100 bytes per
 # row this stays far below the executor memory and the 8 GiB broadcast limit.
 BROADCAST_MAX_ROWS = 2_000_000
@@ -27,14 +26,17 @@ def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     """Return ``small`` marked for broadcast if its size is proven small.
 
     ``known_max_rows`` is a bound proven by construction (a fixed map, a domain
-    such as the course list); otherwise the table is materialised in the shared
-    checkpoint folder and counted, so it is computed once either way.
+    such as the course list).  Otherwise the table is computed once, kept
+    (memory, spilling to disk; lost blocks are recomputed from lineage) and
+    counted; the join then reads the kept table.  Beyond the bound the kept
+    copy is released and the join shuffles (AQE splits skewed partitions).
     """
     if known_max_rows is not None and known_max_rows <= max_rows:
         return F.broadcast(small)
-    small = cut_lineage(small)
-    if small.count() <= max_rows:
-        return F.broadcast(small)
+    kept = small.persist(StorageLevel.MEMORY_AND_DISK)
+    if kept.count() <= max_rows:
+        return F.broadcast(kept)
+    kept.unpersist()
     return small
 
 

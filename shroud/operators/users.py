@@ -164,29 +164,29 @@ def score_drops(flagged: DataFrame, safe: DataFrame, n_positions: int, k: int, n
     after the drop has at least k rare users (``hits - 1`` with
     ``shadow_k=True``, the reference's shadowed k) or is a safe combo.
     """
+    spark = flagged.sparkSession
     if n_positions == 0:
-        empty = flagged.sparkSession.createDataFrame([], "D array<int>, loss double, n_change bigint")
-        return empty, flagged.sparkSession.createDataFrame([], "D array<int>, combo string")
+        empty = spark.createDataFrame([], "D array<int>, loss double, n_change bigint")
+        return empty, spark.createDataFrame([], "D array<int>, combo string")
     total = flagged.agg(F.sum("n")).scalar()
     aff = _candidates(flagged, n_positions, n_comb).withColumn("g", _zero_bits(F.col("combo"), F.col("D")))
-    aff = cut_lineage(aff)
-    groups = aff.groupBy("D", "g").agg(F.sum("n").alias("A"))
-    groups = attach(groups, flagged.select(F.col("combo").alias("g"), F.col("n").alias("n_g")), ["g"])
-    groups = attach(groups, safe.select(F.col("combo").alias("g"), F.lit(True).alias("g_safe")), ["g"])
-    groups = groups.select("D", "g", "A", F.coalesce("n_g", F.lit(0)).alias("n_g"),
-                           F.coalesce("g_safe", F.lit(False)).alias("g_safe"))
-    groups = cut_lineage(groups)
-    g_side = groups.select("D", "g", (F.col("A") + F.col("n_g")).alias("post"), "g_safe")
-    joined = aff.join(g_side, ["D", "g"])
+    # one lookup table for the post combos: rare users already there, or safe
+    known = (flagged.select("combo", F.col("n").alias("n_g"), F.lit(False).alias("g_safe"))
+             .unionByName(safe.select("combo", F.lit(0).cast("bigint").alias("n_g"), F.lit(True).alias("g_safe")))
+             .withColumnRenamed("combo", "g"))
+    groups = aff.groupBy("D", "g").agg(F.sum("n").alias("A"), F.count(F.lit(1)).alias("cnt"))
+    groups = attach(groups, known, ["g"]).select(
+        "D", "g", "cnt", (F.col("A") + F.coalesce("n_g", F.lit(0))).alias("post"),
+        F.coalesce("n_g", F.lit(0)).alias("n_g"), F.coalesce("g_safe", F.lit(False)).alias("g_safe"))
     thr = (F.col("hits") - F.lit(1)) if shadow_k else F.lit(k)
-    accepted = joined.filter((F.col("post") >= thr) | F.col("g_safe")).select("D", "combo")
-    per_group = groups.groupBy("D").agg(
-        F.sum(_flx(F.col("A") + F.col("n_g")) - _flx(F.col("n_g"))).alias("gain"))
-    per_combo = joined.groupBy("D").agg(
-        F.sum(_flx(F.col("n"))).alias("own"),
-        F.count(F.when((F.col("post") >= thr) | F.col("g_safe"), 1)).alias("n_change"))
-    scores = per_group.join(per_combo, "D").select(
-        "D", ((F.col("gain") - F.col("own")) / total).alias("loss"), "n_change")
+    judged = cut_lineage(aff.join(groups, ["D", "g"]).withColumn(
+        "acc", (F.col("post") >= thr) | F.col("g_safe")))
+    # sum over post groups of f(post) - f(n_g), spread over the group's rows
+    scores = judged.groupBy("D").agg(
+        F.sum((_flx(F.col("post")) - _flx(F.col("n_g"))) / F.col("cnt") - _flx(F.col("n"))).alias("dS"),
+        F.count(F.when(F.col("acc"), 1)).alias("n_change"))
+    scores = scores.select("D", (F.col("dS") / total).alias("loss"), "n_change")
+    accepted = judged.filter("acc").select("D", "combo")
     return scores, accepted
 
 

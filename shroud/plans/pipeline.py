@@ -6,7 +6,10 @@ k-anonymity, roll up small countries, clean gender and education, generalise
 forum posts and birth year, final key, flag and delete rows below k,
 l-diversity of the sensitive value on the released groups, export view.
 Every step is a DataFrame transform; only the user-wise loop and the K4
-passes run driver-side loops, each over aggregated tables.
+passes run driver-side loops, each over aggregated tables.  The row table is
+written to the shared checkpoint folder (Parquet) at three stage boundaries,
+so the group statistics of a stage read one materialised table instead of
+re-running the whole upstream lineage each.
 """
 
 from __future__ import annotations
@@ -23,6 +26,7 @@ from shroud.operators import transforms as P
 from shroud.operators import stats as A
 from shroud.operators import users as U
 from shroud.operators.pseudonym import pseudonymize
+from shroud.session import materialize
 
 
 @dataclass
@@ -78,12 +82,12 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
             df = P.date_part_only(df, c)
     if cfg.roles in df.columns:
         df = P.drop_roles(df, cfg.roles)
-    df = pseudonymize(df, cfg.user, cfg.prefix, cfg.salt)
+    df = materialize(pseudonymize(df, cfg.user, cfg.prefix, cfg.salt), "release-ids")
 
     # user-wise k-anonymity, then delete users still rare
     uk = U.user_k_anonymity(df, cfg.user, cfg.course, cfg.k, strategy=cfg.strategy,
                             max_comb=cfg.max_comb)
-    df = P.suppress_unique_users(uk.rows)
+    df = materialize(P.suppress_unique_users(uk.rows), "release-users")
 
     # generalise quasi-identifiers
     df = G.roll_up_rare(df, cfg.country, cfg.continent, cfg.country_threshold)
@@ -96,7 +100,7 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
         # the notebook blanks the sensitive value on an intermediate key
         df = K.l_diversity(df, [f"{cfg.country}_DI", f"{cfg.gender}_DI", f"{cfg.loe}_DI",
                                 f"{cfg.posts}_DI", f"{cfg.yob}_DI"], cfg.sensitive, cfg.l)
-    df = P.incomplete_flag(df)
+    df = materialize(P.incomplete_flag(df), "release-generalized")
 
     # final key, flag, delete rows below k
     df = K.flag_k(df, cfg.release_qis(), cfg.k)

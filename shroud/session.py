@@ -11,6 +11,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -21,6 +22,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
@@ -63,7 +65,22 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder (reliable checkpoint).
 
     Survives executor loss (unlike a local checkpoint) and bounds the plan size
-    of iterative operators.
+    of iterative operators.  The input is persisted first so that the
+    checkpoint write reads the computed partitions instead of recomputing them.
     """
     checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    out = kept.checkpoint(eager=True)
+    kept.unpersist()
+    return out
+
+
+def materialize(df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
+
+    Used at stage boundaries of long pipelines on full-size tables: columnar,
+    compressed, and later steps prune columns and push filters into the scan.
+    """
+    path = scratch_path(df.sparkSession, name)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
