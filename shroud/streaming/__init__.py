@@ -1,0 +1,10 @@
+"""Streams.
+
+The reference loads a table once and has no streaming operators, so none are
+built here.  The row-local transforms in ``shroud.operators.transforms`` and
+the fixed-parameter recodes in ``shroud.operators.generalize`` (``trim_tails``,
+``mark_value``) are plain column expressions; they apply unchanged to a
+streaming DataFrame (``spark.readStream``).  Operators that need whole-table
+group statistics (k-anonymity, l-diversity, bins anchored at a minimum) are
+batch operators.
+"""
