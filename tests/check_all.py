@@ -42,11 +42,11 @@ def main():
             bad += 1
             print(f"{name:28s} ERROR {str(e)[:400]}")
             continue
-        ok = r["cols_match"] and r["hash_match"] and r["rows"][0] == r["rows"][1]
+        ok = r["cols_match"] and r["hash_match"] and r["rows"][0] == r["rows"][1] and not r["type_diff"]
         bad += not ok
         print(f"{name:28s} {'OK ' if ok else 'BAD'} rows={r['rows']} ({time.time()-t:.1f}s)")
         if not ok:
-            for key in ("spark_cols", "duck_cols", "only_spark", "only_duck"):
+            for key in ("type_diff", "spark_cols", "duck_cols", "only_spark", "only_duck"):
                 print("    ", key, r.get(key))
     print("mismatches:", bad)
 

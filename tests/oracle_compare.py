@@ -36,6 +36,10 @@ def digest(columns, rows):
     return hashlib.sha256("\n".join(lines).encode()).hexdigest(), lines
 
 
+_TYPES = {"string": "VARCHAR", "bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE",
+          "boolean": "BOOLEAN", "date": "DATE", "timestamp": "TIMESTAMP WITH TIME ZONE"}
+
+
 def compare(spark, con, name, fn, sql, sf_dir):
     sdf = fn(spark, sf_dir)
     s_cols = sdf.columns
@@ -45,6 +49,9 @@ def compare(spark, con, name, fn, sql, sf_dir):
     d_rows = res.fetchall()
     out = {"name": name, "rows": (len(s_rows), len(d_rows)),
            "cols_match": sorted(s_cols) == sorted(d_cols)}
+    s_types = {c: _TYPES.get(t, t) for c, t in sdf.dtypes}
+    d_types = {d[0]: str(d[1]) for d in res.description}
+    out["type_diff"] = {c: (s_types[c], d_types.get(c)) for c in s_types if s_types[c] != d_types.get(c)}
     hs, ls = digest(s_cols, s_rows)
     hd, ld = digest(d_cols, d_rows)
     out["hash_match"] = hs == hd

@@ -20,6 +20,7 @@ def test_query_matches_oracle(spark, con, name):
     assert r["cols_match"], r
     assert r["rows"][0] == r["rows"][1], r
     assert r["hash_match"], r
+    assert not r["type_diff"], r
 
 
 def test_every_query_has_a_callable():
