@@ -15,10 +15,27 @@ from collections.abc import Sequence
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-# Default bound for broadcasting a small side (rows).  At about 100 bytes per
-# row this stays far below the executor memory and the 8 GiB broadcast limit.
+# Default bounds for broadcasting a small side: rows, and bytes estimated
+# from the schema.  The table is built on the driver and sent to every
+# executor, so it must stay far below driver and executor memory.
 BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+
+
+def _row_bytes(schema: T.StructType) -> int:
+    """Rough in-memory width of a row (strings counted at 32 bytes)."""
+    size = 16
+    for f in schema.fields:
+        t = f.dataType
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            size += 32
+        elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
+            size += 64
+        else:
+            size += 8
+    return size
 
 
 def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
@@ -31,6 +48,7 @@ def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     counted; the join then reads the kept table.  Beyond the bound the kept
     copy is released and the join shuffles (AQE splits skewed partitions).
     """
+    max_rows = min(max_rows, BROADCAST_MAX_BYTES // _row_bytes(small.schema))
     if known_max_rows is not None and known_max_rows <= max_rows:
         return F.broadcast(small)
     kept = small.persist(StorageLevel.MEMORY_AND_DISK)

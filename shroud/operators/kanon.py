@@ -139,8 +139,10 @@ def l_diversity(df: DataFrame, key: str | Sequence[str], sensitive: str, l: int
         key_col = "kkey"
         keyed = df.withColumn(key_col, concat_key(list(key), sep))
     s = F.col(sensitive).cast("string")
-    stats = keyed.groupBy(key_col).agg(
-        (F.count_distinct(s) + F.max(F.when(s.isNull(), 1).otherwise(0))).alias("__nd"))
+    # two plain aggregations (both partial map-side): distinct values per group,
+    # then their number; NULL is one of the values
+    values = keyed.select(key_col, s.alias("__v")).distinct()
+    stats = values.groupBy(key_col).agg(F.count(F.lit(1)).alias("__nd"))
     out = attach(keyed, stats, [key_col])
     return (out.withColumn(sensitive, F.when(F.col("__nd") < l, F.lit(blank)).otherwise(s))
             .drop("__nd"))

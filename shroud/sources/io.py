@@ -25,12 +25,17 @@ def from_table(df: DataFrame, weight: str = "Count", key: str = "kkey") -> DataF
 
 
 def load_source(spark: SparkSession, path: str, weight: str = "Count",
-                key: str = "kkey") -> DataFrame:
-    """Read a CSV file (or folder of part files) as an all-text table."""
+                key: str = "kkey", multi_line: bool = False) -> DataFrame:
+    """Read a CSV file (or folder of part files) as an all-text table.
+
+    Files are split across tasks.  ``multi_line=True`` accepts quoted
+    newlines, but then each file is read by one task: give such input as many
+    files.  A record broken by an unexpected newline fails the load (ragged
+    row) instead of being read wrongly."""
     raw = (
         spark.read.option("header", True)
         .option("inferSchema", False)
-        .option("multiLine", True)
+        .option("multiLine", multi_line)
         .option("escape", '"')
         .option("emptyValue", "")
         .option("nullValue", "\u0000")

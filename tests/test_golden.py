@@ -218,7 +218,7 @@ def test_utility_matrix_matches_numpy(spark):
 def test_load_source_csv_traps(spark, tmp_path):
     p = tmp_path / "in.csv"
     p.write_text('a,b,c\n1,,"x ""q"" y"\n2,"","multi\nline"\n')
-    df = S.load_source(spark, str(p))
+    df = S.load_source(spark, str(p), multi_line=True)
     got = rows(df, "a", "b", "c", "kkey", "Count")
     assert got == [("1", "", 'x "q" y', "", 1), ("2", "", "multi\nline", "", 1)]
 
