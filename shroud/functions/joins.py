@@ -45,8 +45,9 @@ def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     ``known_max_rows`` is a bound proven by construction (a fixed map, a domain
     such as the course list).  Otherwise the table is computed once, kept
     (memory, spilling to disk; lost blocks are recomputed from lineage) and
-    counted; the join then reads the kept table.  Beyond the bound the kept
-    copy is released and the join shuffles (AQE splits skewed partitions).
+    counted; the join then reads the kept table.  Beyond the bound the join
+    shuffles (AQE splits skewed partitions) and still reads the kept table,
+    so the statistic is never computed twice.
     """
     max_rows = min(max_rows, BROADCAST_MAX_BYTES // _row_bytes(small.schema))
     if known_max_rows is not None and known_max_rows <= max_rows:
@@ -54,8 +55,7 @@ def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     kept = small.persist(StorageLevel.MEMORY_AND_DISK)
     if kept.count() <= max_rows:
         return F.broadcast(kept)
-    kept.unpersist()
-    return small
+    return kept
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left",

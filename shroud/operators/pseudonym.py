@@ -3,8 +3,8 @@
 I2 numbers the distinct ids in the order of a salted SHA-256 without a
 single-partition sort: the ids are range-partitioned and sorted by hash, each
 row gets its in-partition position from ``monotonically_increasing_id``, the
-per-partition counts (one row per partition, a proven small table) give the
-offsets, and a broadcast join turns positions into a dense 1..n index.  The
+per-partition counts (one number per partition) give the offsets, which turn
+positions into a dense 1..n index.  The
 sorted table is written to the shared checkpoint folder first so that both
 uses see the same partitioning even after executor loss.
 """
@@ -13,7 +13,7 @@ from __future__ import annotations
 
 import secrets
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shroud.functions.joins import attach
@@ -42,18 +42,19 @@ def pseudonym_table(df: DataFrame, column: str, prefix: str, salt: str | None =
     ranked = cut_lineage(ids.orderBy("__h", "__id")
                          .withColumn("__mid", F.monotonically_increasing_id()))
     ranked = ranked.withColumn("__part", F.shiftright("__mid", _POS_BITS))
-    per_part = ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"))
-    # One row per partition: a window over it is tiny and bounded.
-    offsets = per_part.select(
-        "__part",
-        (F.sum("__n").over(Window.orderBy("__part")) - F.col("__n")).alias("__off"),
-        F.sum("__n").over(Window.partitionBy(F.lit(1))).alias("__total"))
-    n_parts = ranked.rdd.getNumPartitions()
-    indexed = attach(ranked, offsets, ["__part"], known_max_rows=n_parts)
+    # One count per partition (bounded by the partition count, as in
+    # zipWithIndex): offsets become a literal array, no join and no window.
+    counts = dict(ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).collect())
+    offsets, running = [], 0
+    for part in range(max(counts, default=-1) + 1):
+        offsets.append(running)
+        running += counts.get(part, 0)
+    width = len(str(10 * running))
     pos = F.col("__mid") - F.shiftleft(F.col("__part"), _POS_BITS)
-    rank = F.col("__off") + pos + F.lit(1)
-    width = F.length((F.col("__total") * 10).cast("string"))
-    return indexed.select(
+    off = F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<bigint>"), F.col("__part").cast("int") + 1) \
+        if offsets else F.lit(0)
+    rank = off + pos + F.lit(1)
+    return ranked.select(
         F.col("__id").alias(column),
         F.concat(F.lit(prefix), F.lpad(rank.cast("string"), width, "0")).alias(out))
 
