@@ -6,8 +6,9 @@ ascending order).  Users whose bitstring is shared by fewer than k users are
 courses) that loses the least entropy.
 
 Scale design
-* Bitstrings are built per user with one aggregation (``bit_or`` of a long
-  mask up to 62 courses, ``collect_set`` of positions beyond) and joined back.
+* The rows are aggregated once into per-user course sets (``collect_set``,
+  combined map-side); the course catalogue and the bitstrings are derived
+  from that kept table, and joined back to the rows where rows need them.
 * Scoring never forms combos x candidates.  Dropping the position set D only
   changes the combos that intersect D, so each rare combo is exploded into
   the candidates that hit one of its set bits (the first hit generates each
@@ -26,6 +27,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -33,12 +35,29 @@ from shroud.functions.columns import r6, weight_col
 from shroud.functions.joins import attach
 from shroud.session import cut_lineage
 
-MASK_MAX_COURSES = 62
 LITERAL_MAP_MAX = 1000
 LOSS_EPS = 1e-9
 
 
 # U1 -------------------------------------------------------------------------
+def user_course_sets(df: DataFrame, user: str, course: str) -> DataFrame:
+    """(user, sorted distinct courses) - the one aggregation over the rows.
+
+    ``collect_set`` is combined map-side, so a user with a huge number of rows
+    ships at most one set per map task.  The table is kept (memory, spilling
+    to disk) because the course list and the bitstrings are both read from it.
+    """
+    return (df.filter(F.col(user).isNotNull())
+            .groupBy(user).agg(F.array_sort(F.collect_set(F.col(course).cast("string"))).alias("__set"))
+            .persist(StorageLevel.MEMORY_AND_DISK))
+
+
+def courses_of(sets: DataFrame) -> list[str]:
+    """Sorted course catalogue from the per-user sets (bounded by the catalogue)."""
+    rows = sets.select(F.explode("__set").alias("c")).distinct().collect()
+    return sorted(r["c"] for r in rows)
+
+
 def course_list(df: DataFrame, course: str) -> list[str]:
     """Sorted distinct non-NULL courses (bounded by the course catalogue)."""
     rows = df.select(F.col(course).cast("string").alias("c")).filter("c IS NOT NULL").distinct().collect()
@@ -55,22 +74,22 @@ def _with_pos(df: DataFrame, course: str, courses: Sequence[str], out: str = "__
     return joined.drop("__course")
 
 
+def combos_of(sets: DataFrame, user: str, courses: Sequence[str], out: str = "course_combo") -> DataFrame:
+    """(user, bitstring) from the per-user sets: one character per catalogue course."""
+    if not courses:
+        return sets.select(user, F.lit("").alias(out))
+    catalogue = F.array(*[F.lit(c) for c in courses])
+    combo = F.array_join(F.transform(catalogue, lambda c: F.when(
+        F.array_contains(F.col("__set"), c), F.lit("1")).otherwise(F.lit("0"))), "")
+    return sets.select(user, combo.alias(out))
+
+
 def course_combos(df: DataFrame, user: str, course: str, courses: Sequence[str] | None = None,
                   out: str = "course_combo") -> DataFrame:
     """(user, bitstring of the user's courses); NULL users are left out."""
-    courses = list(courses) if courses is not None else course_list(df, course)
-    n = len(courses)
-    rows = _with_pos(df.filter(F.col(user).isNotNull()).select(user, course), course, courses)
-    if n == 0:
-        return rows.select(user).distinct().withColumn(out, F.lit(""))
-    if n <= MASK_MAX_COURSES:
-        bit = F.coalesce(F.expr(f"shiftleft(CAST(1 AS BIGINT), {n - 1} - __pos)"), F.lit(0).cast("bigint"))
-        per_user = rows.groupBy(user).agg(F.bit_or(bit).alias("__mask"))
-        return per_user.select(user, F.lpad(F.bin("__mask"), n, "0").alias(out))
-    per_user = rows.groupBy(user).agg(F.collect_set("__pos").alias("__set"))
-    combo = F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
-                                     lambda i: F.when(F.array_contains("__set", i), "1").otherwise("0")), "")
-    return per_user.select(user, combo.alias(out))
+    sets = user_course_sets(df, user, course)
+    courses = list(courses) if courses is not None else courses_of(sets)
+    return combos_of(sets, user, courses, out)
 
 
 def with_course_combo(df: DataFrame, user: str, course: str, courses: Sequence[str] | None = None,
@@ -216,8 +235,9 @@ def best_drop(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
               courses: Sequence[str] | None = None) -> DataFrame:
     """One scoring step on the current table: every candidate with
     (drop_courses, loss, n_change, chosen)."""
-    courses = list(courses) if courses is not None else course_list(df, course)
-    combos = course_combos(df, user, course, courses, "combo")
+    sets = user_course_sets(df, user, course)
+    courses = list(courses) if courses is not None else courses_of(sets)
+    combos = combos_of(sets, user, courses, "combo")
     counts = combos.groupBy("combo").agg(F.count(F.lit(1)).alias("n"))
     flagged, safe = _rare_and_safe(counts, k)
     scores, _ = score_drops(flagged, safe, len(courses), k, n_comb, shadow_k)
@@ -262,11 +282,12 @@ def _apply_to_state(st: DataFrame, accepted: DataFrame, positions: list[int]) ->
 
 def apply_state(df: DataFrame, user: str, course: str, courses: Sequence[str], state: DataFrame,
                 k: int, weight: str | None = "Count", flag: str = "uniqUserFlag",
-                combo: str = "course_combo") -> tuple[DataFrame, DataFrame]:
+                combo: str = "course_combo", sets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Delete the dropped (user, course) rows and flag users still rare.
 
     Returns (rows, tally).  Rows keep their user's current combo."""
-    origin = course_combos(df, user, course, courses, "__origin")
+    sets = sets if sets is not None else user_course_sets(df, user, course)
+    origin = combos_of(sets, user, courses, "__origin")
     rows = _with_pos(attach(df, origin, [user]), course, courses)
     st = state.select(F.col("origin").alias("__origin"), F.col("current").alias("__current"),
                       F.col("dropped").alias("__dropped"))
@@ -285,8 +306,9 @@ def apply_state(df: DataFrame, user: str, course: str, courses: Sequence[str], s
     return kept.drop("__origin", "__pos", "__current", "__dropped", "__gone", "__rare"), tally
 
 
-def initial_state(df: DataFrame, user: str, course: str, courses: Sequence[str]) -> DataFrame:
-    combos = course_combos(df, user, course, courses, "origin")
+def initial_state(sets: DataFrame, user: str, courses: Sequence[str]) -> DataFrame:
+    """(origin, current, dropped, n): users per original combo."""
+    combos = combos_of(sets, user, courses, "origin")
     n = len(courses)
     return (combos.groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
             .select("origin", F.col("origin").alias("current"), F.lit("0" * n).alias("dropped"), "n"))
@@ -296,8 +318,9 @@ def apply_drops(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
                 strategy: str = "single", shadow_k: bool = False,
                 weight: str | None = "Count") -> tuple[DataFrame, DataFrame]:
     """One greedy step (U6/U7 choice, then U8): (remaining rows, tally per course)."""
-    courses = course_list(df, course)
-    st = cut_lineage(initial_state(df, user, course, courses))
+    sets = user_course_sets(df, user, course)
+    courses = courses_of(sets)
+    st = cut_lineage(initial_state(sets, user, courses))
     flagged, safe = _rare_and_safe(_state_counts(st), k)
     scores, accepted = score_drops(flagged, safe, len(courses), k, n_comb, shadow_k)
     best = pick_drop(cut_lineage(scores), positive_loss=(strategy == "multi"))
@@ -305,7 +328,7 @@ def apply_drops(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
         positions = list(best["D"])
         chosen = accepted.filter(F.col("D") == F.lit(positions).cast("array<int>"))
         st = _apply_to_state(st, chosen, positions)
-    return apply_state(df, user, course, courses, st, k, weight)
+    return apply_state(df, user, course, courses, st, k, weight, sets=sets)
 
 
 def user_k_anonymity(df: DataFrame, user: str, course: str, k: int, strategy: str = "multi",
@@ -318,8 +341,9 @@ def user_k_anonymity(df: DataFrame, user: str, course: str, k: int, strategy: st
     ``n + 1`` are tried up to ``max_comb`` (1 = the reference run).
     Rows of users still rare afterwards are flagged, not deleted (see
     ``suppress_unique_users``)."""
-    courses = course_list(df, course)
-    st = cut_lineage(initial_state(df, user, course, courses))
+    sets = user_course_sets(df, user, course)
+    courses = courses_of(sets)
+    st = cut_lineage(initial_state(sets, user, courses))
     n_comb, steps = 1, []
     while max_steps is None or len(steps) < max_steps:
         flagged, safe = _rare_and_safe(_state_counts(st), k)
@@ -337,5 +361,5 @@ def user_k_anonymity(df: DataFrame, user: str, course: str, k: int, strategy: st
         chosen = accepted.filter(F.col("D") == F.lit(positions).cast("array<int>"))
         st = cut_lineage(_apply_to_state(st, chosen, positions))
         steps.append(([courses[p] for p in positions], float(best["loss"])))
-    rows, tally = apply_state(df, user, course, courses, st, k, weight)
+    rows, tally = apply_state(df, user, course, courses, st, k, weight, sets=sets)
     return UserKResult(rows=rows, tally=tally, steps=steps, state=st)
