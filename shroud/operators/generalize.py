@@ -9,13 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shroud.functions.columns import canonical_int, to_int, weight_col
+from shroud.functions.columns import canonical_int, to_double, to_int, weight_col
 from shroud.functions.joins import attach
-from shroud.operators.stats import bin_average
-from shroud.operators.transforms import mark_value
 
 # Country codes always replaced by their continent.
 SPECIAL_CODES = ("A1", "A2", "AP", "EU", "")
@@ -89,12 +88,30 @@ def generalize_numeric(df: DataFrame, column: str, bw: int = 5, low: int | None
                        high: int | None = None, zero_label: str | None = "zero",
                        with_average: bool = True) -> DataFrame:
     """Recipe: mark zeros, trim tails into ``<v>_DI``, bin ``<v>_DI`` in place,
-    then the bin means of the true values into ``<v>_DI_avg``."""
-    if zero_label is not None:
-        df = mark_value(df, column, "0", zero_label)
-    di = f"{column}_DI"
-    df = trim_tails(df, column, low=low, high=high, out=di)
-    df = bin_numeric(df, di, bw=bw, overwrite=True)
+    then the bin means of the true values into ``<v>_DI_avg``.
+
+    Every step depends on the row's value only, so the recipe runs on the
+    table of distinct values (one aggregation over the rows, kept) and the
+    result is joined back on the value: two passes over the rows instead of
+    one per step.  Same result as chaining ``mark_value``, ``trim_tails``,
+    ``bin_numeric`` and ``bin_average``."""
+    c = F.col(column)
+    marked = F.when(c == "0", F.lit(zero_label)).otherwise(c) if zero_label is not None else c
+    di, avg = f"{column}_DI", f"{column}_DI_avg"
+    values = (df.groupBy(marked.alias(column)).agg(F.count(F.lit(1)).alias("__n"))
+              .persist(StorageLevel.MEMORY_AND_DISK))
+    table = trim_tails(values, column, low=low, high=high, out=di)
+    table = bin_numeric(table, di, bw=bw, overwrite=True)
+    cols = [column, di]
     if with_average:
-        df = bin_average(df, di, column)
-    return df
+        x = to_double(column)
+        means = (table.filter(F.col(di).isNotNull()).groupBy(di)
+                 .agg((F.sum(x * F.col("__n")) / F.sum(F.when(x.isNotNull(), F.col("__n"))))
+                      .alias("__mean"))
+                 .select(F.col(di).alias("__bin"), F.round("__mean", 2).cast("string").alias(avg)))
+        table = table.join(means, table[di] == means["__bin"], "left").drop("__bin")
+        cols.append(avg)
+    mapping = table.select(F.col(column).alias("__value"), *[F.col(k).alias(f"__{k}") for k in cols[1:]])
+    base = df.drop(*cols[1:])
+    out = attach(base.withColumn(column, marked).withColumn("__value", F.col(column)), mapping, ["__value"])
+    return out.select(*base.columns, *[F.col(f"__{k}").alias(k) for k in cols[1:]])

@@ -235,3 +235,18 @@ def test_partition_count_independent(spark):
     a = K.flag_k(pc, ["continent", "gender", "LoE"], 5)
     b = K.flag_k(pc.repartition(13), ["continent", "gender", "LoE"], 5)
     assert rows(a, "user_id", "course_id", "kCheckFlag") == rows(b, "user_id", "course_id", "kCheckFlag")
+
+
+@pytest.mark.parametrize("column,bw,low,high", [("nforum_posts", 2, None, 5), ("nforum_posts", 5, 1, 4),
+                                                ("YoB", 2, 1960, 1990), ("YoB", 5, None, None)])
+def test_generalize_numeric_equals_chain(spark, column, bw, low, high):
+    from shroud.sources.fixture import person_course
+    pc = person_course(spark, "/root/testdata/sf0.001")
+    got = G.generalize_numeric(pc, column, bw=bw, low=low, high=high)
+    chain = P.mark_value(pc, column, "0", "zero")
+    chain = G.trim_tails(chain, column, low=low, high=high)
+    chain = G.bin_numeric(chain, f"{column}_DI", bw=bw, overwrite=True)
+    chain = A.bin_average(chain, f"{column}_DI", column)
+    cols = ("user_id", "course_id", column, f"{column}_DI", f"{column}_DI_avg")
+    assert rows(got, *cols) == rows(chain, *cols)
+    assert set(got.columns) == set(pc.columns) | {f"{column}_DI", f"{column}_DI_avg"}
