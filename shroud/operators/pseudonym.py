@@ -1,25 +1,26 @@
 """Pseudonyms.
 
 I2 numbers the distinct ids in the order of a salted SHA-256 without a
-single-partition sort: the ids are range-partitioned and sorted by hash, each
-row gets its in-partition position from ``monotonically_increasing_id``, the
-per-partition counts (one number per partition) give the offsets, which turn
-positions into a dense 1..n index.  The
-sorted table is written to the shared checkpoint folder first so that both
-uses see the same partitioning even after executor loss.
+single-partition sort.  The hash is uniform and the ids are distinct, so its
+first hex digits split the ids into evenly sized buckets (no hot bucket):
+``row_number()`` over each bucket ordered by hash gives the position inside
+the bucket, and the bucket sizes (one number per bucket, at most
+16**prefix_digits, collected) give each bucket's offset.  Every step is
+deterministic, so a recomputed partition after executor loss gets the same
+numbers.
 """
 
 from __future__ import annotations
 
 import secrets
 
-from pyspark.sql import DataFrame
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shroud.functions.joins import attach
-from shroud.session import cut_lineage
 
-_POS_BITS = 33  # monotonically_increasing_id: partition id << 33 | position
+PREFIX_DIGITS = 4  # 65,536 buckets
 
 
 def salted_hash(df: DataFrame, column: str, salt: str, out: str | None = None,
@@ -30,30 +31,26 @@ def salted_hash(df: DataFrame, column: str, salt: str, out: str | None = None,
 
 
 def pseudonym_table(df: DataFrame, column: str, prefix: str, salt: str | None = None,
-                    out: str = "userid_DI") -> DataFrame:
+                    out: str = "userid_DI", prefix_digits: int = PREFIX_DIGITS) -> DataFrame:
     """Distinct non-NULL ids -> ``prefix`` + zero-padded rank in salted-hash order.
 
-    Width is the number of digits of ``10 * n_distinct`` (fixed so that the
-    pseudonyms do not reveal the count exactly)."""
+    Width is the number of digits of ``10 * n_distinct``."""
     salt = secrets.token_hex(16) if salt is None else salt
     ids = (df.select(F.col(column).cast("string").alias("__id"))
            .filter(F.col("__id").isNotNull()).distinct()
-           .withColumn("__h", F.sha2(F.concat(F.lit(salt), F.col("__id")), 256)))
-    ranked = cut_lineage(ids.orderBy("__h", "__id")
-                         .withColumn("__mid", F.monotonically_increasing_id()))
-    ranked = ranked.withColumn("__part", F.shiftright("__mid", _POS_BITS))
-    # One count per partition (bounded by the partition count, as in
-    # zipWithIndex): offsets become a literal array, no join and no window.
-    counts = dict(ranked.groupBy("__part").agg(F.count(F.lit(1)).alias("n")).collect())
+           .withColumn("__h", F.sha2(F.concat(F.lit(salt), F.col("__id")), 256))
+           .withColumn("__b", F.substring("__h", 1, prefix_digits))
+           .persist(StorageLevel.MEMORY_AND_DISK))
+    sizes = sorted((r["__b"], r["n"]) for r in ids.groupBy("__b").agg(F.count(F.lit(1)).alias("n")).collect())
     offsets, running = [], 0
-    for part in range(max(counts, default=-1) + 1):
-        offsets.append(running)
-        running += counts.get(part, 0)
+    for bucket, n in sizes:
+        offsets.append((bucket, running))
+        running += n
     width = len(str(10 * running))
-    pos = F.col("__mid") - F.shiftleft(F.col("__part"), _POS_BITS)
-    off = F.element_at(F.array(*[F.lit(o) for o in offsets]).cast("array<bigint>"), F.col("__part").cast("int") + 1) \
-        if offsets else F.lit(0)
-    rank = off + pos + F.lit(1)
+    side = df.sparkSession.createDataFrame(offsets, "__b string, __off bigint")
+    ranked = attach(ids, side, ["__b"], known_max_rows=len(offsets))
+    pos = F.row_number().over(Window.partitionBy("__b").orderBy("__h", "__id"))
+    rank = F.col("__off") + pos
     return ranked.select(
         F.col("__id").alias(column),
         F.concat(F.lit(prefix), F.lpad(rank.cast("string"), width, "0")).alias(out))
