@@ -2,14 +2,19 @@
 
 A group statistic (group size, distinct count, bin mean, ...) is computed with
 ``groupBy().agg()`` (map-side partial aggregation absorbs hot keys) and joined
-back to the rows.  The statistic table is broadcast only when its row count,
-measured on the materialised table, is under a bound; beyond it the join
-shuffles and AQE splits skewed partitions.  A window over the group key would
+back to the rows.  The statistic table is broadcast only when its size is
+proven small: bounded by construction, or measured on the table (computed
+once, kept, counted).  Beyond the bound the join shuffles; when the statistic
+carries each group's row count, keys that hold many rows are split off: their
+values come from a broadcast table (at most ``MAX_HOT_KEYS`` keys, a proven
+bound) and their rows are spread over ``SALT_BUCKETS`` partitions of the
+shuffle join, where they match nothing.  A window over the group key would
 instead put a whole hot group into one task.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark import StorageLevel
@@ -22,6 +27,10 @@ from pyspark.sql import types as T
 # executor, so it must stay far below driver and executor memory.
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
+# Hot keys: more than max(HOT_MIN_ROWS, total / MAX_HOT_KEYS) rows.
+MAX_HOT_KEYS = 10_000
+HOT_MIN_ROWS = 1_000_000
+SALT_BUCKETS = 64
 
 
 def _row_bytes(schema: T.StructType) -> int:
@@ -38,7 +47,17 @@ def _row_bytes(schema: T.StructType) -> int:
     return size
 
 
-def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
+def _measured(small: DataFrame, max_rows: int, known_max_rows: int | None) -> tuple[DataFrame, bool]:
+    """(table, fits): ``fits`` when the row count is proven within the bounds."""
+    max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
+    max_rows = min(max_rows, BROADCAST_MAX_BYTES // _row_bytes(small.schema))
+    if known_max_rows is not None and known_max_rows <= max_rows:
+        return small, True
+    kept = small.persist(StorageLevel.MEMORY_AND_DISK)
+    return kept, kept.count() <= max_rows
+
+
+def sized_broadcast(small: DataFrame, max_rows: int | None = None,
                     known_max_rows: int | None = None) -> DataFrame:
     """Return ``small`` marked for broadcast if its size is proven small.
 
@@ -46,28 +65,52 @@ def sized_broadcast(small: DataFrame, max_rows: int = BROADCAST_MAX_ROWS,
     such as the course list).  Otherwise the table is computed once, kept
     (memory, spilling to disk; lost blocks are recomputed from lineage) and
     counted; the join then reads the kept table.  Beyond the bound the join
-    shuffles (AQE splits skewed partitions) and still reads the kept table,
-    so the statistic is never computed twice.
+    shuffles and still reads the kept table, so the statistic is never
+    computed twice.
     """
-    max_rows = min(max_rows, BROADCAST_MAX_BYTES // _row_bytes(small.schema))
-    if known_max_rows is not None and known_max_rows <= max_rows:
-        return F.broadcast(small)
-    kept = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if kept.count() <= max_rows:
-        return F.broadcast(kept)
-    return kept
+    table, fits = _measured(small, max_rows, known_max_rows)
+    return F.broadcast(table) if fits else table
+
+
+def _null_safe(left: DataFrame, right: DataFrame, pairs) -> F.Column:
+    cond = None
+    for a, b in pairs:
+        term = left[a].eqNullSafe(right[b])
+        cond = term if cond is None else cond & term
+    return cond
 
 
 def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "left",
-           max_rows: int = BROADCAST_MAX_ROWS, known_max_rows: int | None = None) -> DataFrame:
-    """Join a per-group statistic back to the rows on ``keys`` (NULL-safe)."""
+           max_rows: int | None = None, known_max_rows: int | None = None,
+           rows_col: str | None = None) -> DataFrame:
+    """Join a per-group statistic back to the rows on ``keys`` (NULL-safe).
+
+    ``rows_col`` names the statistic's count of rows per group; it enables the
+    hot-key split when the statistic is too large to broadcast, and is not
+    part of the output."""
     keys = list(keys)
     renamed = {k: f"__k_{i}" for i, k in enumerate(keys)}
     side = stats.select([F.col(c).alias(renamed.get(c, c)) for c in stats.columns])
-    side = sized_broadcast(side, max_rows, known_max_rows)
-    cond = None
-    for k in keys:
-        term = df[k].eqNullSafe(side[renamed[k]])
-        cond = term if cond is None else cond & term
-    out = df.join(side, cond, how)
-    return out.drop(*renamed.values())
+    values = [c for c in stats.columns if c not in renamed and c != rows_col]
+    side, fits = _measured(side, max_rows, known_max_rows)
+    pairs = [(k, renamed[k]) for k in keys]
+    if fits or rows_col is None or how != "left":
+        side = F.broadcast(side) if fits else side
+        out = df.join(side, _null_safe(df, side, pairs), how)
+        return out.drop(*renamed.values(), *([rows_col] if rows_col else []))
+    total = side.agg(F.sum(rows_col)).first()[0] or 0
+    threshold = max(HOT_MIN_ROWS, math.ceil(total / MAX_HOT_KEYS))
+    hot = side.filter(F.col(rows_col) > threshold).select(
+        *[F.col(renamed[k]).alias(f"__h{renamed[k]}") for k in keys],
+        *[F.col(c).alias(f"__hot_{c}") for c in values], F.lit(True).alias("__hot"))
+    hot = F.broadcast(hot)  # at most MAX_HOT_KEYS rows: total / threshold
+    j1 = df.join(hot, _null_safe(df, hot, [(k, f"__h{renamed[k]}") for k in keys]), "left")
+    j1 = j1.drop(*[f"__h{renamed[k]}" for k in keys])
+    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SALT_BUCKETS)) + 1
+    j1 = j1.withColumn("__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0)))
+    rest = (side.filter(F.col(rows_col) <= threshold).drop(rows_col)
+            .withColumn("__salt_r", F.lit(0).cast("bigint")))
+    cond = _null_safe(j1, rest, pairs) & (j1["__salt"] == rest["__salt_r"])
+    out = j1.join(rest, cond, "left")
+    out = out.select(*df.columns, *[F.coalesce(F.col(f"__hot_{c}"), F.col(c)).alias(c) for c in values])
+    return out

@@ -97,7 +97,8 @@ def iter_k_check(df: DataFrame, qis: Sequence[str], k: int, weight: str | None =
     rows = rows.withColumn("nullSum", F.concat_ws("", *[F.col(n) for n in nf]))
     start = F.col(flag) if (keep_flag and flag in df.columns) else F.lit("False")
     rows = rows.withColumn("__f0", start)
-    tuples = rows.groupBy(*qis, "nullSum", "__f0").agg(F.sum(weight_col(rows, weight)).alias("__n"))
+    tuples = rows.groupBy(*qis, "nullSum", "__f0").agg(F.sum(weight_col(rows, weight)).alias("__n"),
+                                                       F.count(F.lit(1)).alias("__rows"))
     tuples = cut_lineage(tuples.withColumn("__flag", F.col("__f0")))
     patterns = sorted(r["nullSum"] for r in tuples.select("nullSum").distinct().collect())
     for pattern in patterns:
@@ -112,8 +113,8 @@ def iter_k_check(df: DataFrame, qis: Sequence[str], k: int, weight: str | None =
         tuples = cut_lineage(joined.withColumn("__flag", F.when(clear, F.lit("True"))
                                                .otherwise(F.col("__flag")))
                              .drop("__nk", "__size"))
-    flags = tuples.select(*qis, "__f0", F.col("__flag").alias("__flag_new"))
-    out = attach(rows, flags, qis + ["__f0"])
+    flags = tuples.select(*qis, "__f0", F.col("__flag").alias("__flag_new"), "__rows")
+    out = attach(rows, flags, qis + ["__f0"], rows_col="__rows")
     return out.withColumn(flag, F.col("__flag_new")).drop("__flag_new", "__f0")
 
 
@@ -122,8 +123,9 @@ def flag_k(df: DataFrame, qis: Sequence[str], k: int, key: str = "kkey", flag: s
            weight: str | None = "Count", sep: str = "") -> DataFrame:
     """``kkey`` over the QIs and ``kCheckFlag`` = ``'True'`` where the group has at least k rows."""
     keyed = df.withColumn(key, concat_key(list(qis), sep))
-    sizes = keyed.groupBy(key).agg(F.sum(weight_col(keyed, weight)).alias("__size"))
-    out = attach(keyed, sizes, [key])
+    sizes = keyed.groupBy(key).agg(F.sum(weight_col(keyed, weight)).alias("__size"),
+                                   F.count(F.lit(1)).alias("__rows"))
+    out = attach(keyed, sizes, [key], rows_col="__rows")
     return (out.withColumn(flag, F.when(F.col("__size") >= k, F.lit("True")).otherwise(F.lit("False")))
             .drop("__size"))
 
@@ -141,8 +143,8 @@ def l_diversity(df: DataFrame, key: str | Sequence[str], sensitive: str, l: int
     s = F.col(sensitive).cast("string")
     # two plain aggregations (both partial map-side): distinct values per group,
     # then their number; NULL is one of the values
-    values = keyed.select(key_col, s.alias("__v")).distinct()
-    stats = values.groupBy(key_col).agg(F.count(F.lit(1)).alias("__nd"))
-    out = attach(keyed, stats, [key_col])
+    values = keyed.groupBy(key_col, s.alias("__v")).agg(F.count(F.lit(1)).alias("__r"))
+    stats = values.groupBy(key_col).agg(F.count(F.lit(1)).alias("__nd"), F.sum("__r").alias("__rows"))
+    out = attach(keyed, stats, [key_col], rows_col="__rows")
     return (out.withColumn(sensitive, F.when(F.col("__nd") < l, F.lit(blank)).otherwise(s))
             .drop("__nd"))

@@ -31,13 +31,14 @@ def salted_hash(df: DataFrame, column: str, salt: str, out: str | None = None,
 
 
 def pseudonym_table(df: DataFrame, column: str, prefix: str, salt: str | None = None,
-                    out: str = "userid_DI", prefix_digits: int = PREFIX_DIGITS) -> DataFrame:
+                    out: str = "userid_DI", prefix_digits: int = PREFIX_DIGITS,
+                    keep_rows: bool = False) -> DataFrame:
     """Distinct non-NULL ids -> ``prefix`` + zero-padded rank in salted-hash order.
 
     Width is the number of digits of ``10 * n_distinct``."""
     salt = secrets.token_hex(16) if salt is None else salt
     ids = (df.select(F.col(column).cast("string").alias("__id"))
-           .filter(F.col("__id").isNotNull()).distinct()
+           .filter(F.col("__id").isNotNull()).groupBy("__id").agg(F.count(F.lit(1)).alias("__rows"))
            .withColumn("__h", F.sha2(F.concat(F.lit(salt), F.col("__id")), 256))
            .withColumn("__b", F.substring("__h", 1, prefix_digits))
            .persist(StorageLevel.MEMORY_AND_DISK))
@@ -53,14 +54,15 @@ def pseudonym_table(df: DataFrame, column: str, prefix: str, salt: str | None =
     rank = F.col("__off") + pos
     return ranked.select(
         F.col("__id").alias(column),
-        F.concat(F.lit(prefix), F.lpad(rank.cast("string"), width, "0")).alias(out))
+        F.concat(F.lit(prefix), F.lpad(rank.cast("string"), width, "0")).alias(out),
+        *(["__rows"] if keep_rows else []))
 
 
 def pseudonymize(df: DataFrame, column: str, prefix: str, salt: str | None = None,
                  out: str = "userid_DI") -> DataFrame:
     """Add the pseudonym column: same id, same pseudonym; NULL id -> NULL."""
-    table = pseudonym_table(df, column, prefix, salt, out)
+    table = pseudonym_table(df, column, prefix, salt, out, keep_rows=True)
     keyed = df.withColumn("__id", F.col(column).cast("string"))
-    side = table.select(F.col(column).alias("__id"), F.col(out).alias("__pseudo"))
-    joined = attach(keyed, side, ["__id"])
+    side = table.select(F.col(column).alias("__id"), F.col(out).alias("__pseudo"), "__rows")
+    joined = attach(keyed, side, ["__id"], rows_col="__rows")
     return joined.withColumn(out, F.col("__pseudo")).drop("__id", "__pseudo")

@@ -48,7 +48,8 @@ def user_course_sets(df: DataFrame, user: str, course: str) -> DataFrame:
     to disk) because the course list and the bitstrings are both read from it.
     """
     return (df.filter(F.col(user).isNotNull())
-            .groupBy(user).agg(F.array_sort(F.collect_set(F.col(course).cast("string"))).alias("__set"))
+            .groupBy(user).agg(F.array_sort(F.collect_set(F.col(course).cast("string"))).alias("__set"),
+                               F.count(F.lit(1)).alias("__rows"))
             .persist(StorageLevel.MEMORY_AND_DISK))
 
 
@@ -74,14 +75,17 @@ def _with_pos(df: DataFrame, course: str, courses: Sequence[str], out: str = "__
     return joined.drop("__course")
 
 
-def combos_of(sets: DataFrame, user: str, courses: Sequence[str], out: str = "course_combo") -> DataFrame:
-    """(user, bitstring) from the per-user sets: one character per catalogue course."""
+def combos_of(sets: DataFrame, user: str, courses: Sequence[str], out: str = "course_combo",
+              with_rows: bool = False) -> DataFrame:
+    """(user, bitstring) from the per-user sets: one character per catalogue course
+    (plus the user's row count ``__rows`` with ``with_rows``)."""
+    extra = ["__rows"] if with_rows else []
     if not courses:
-        return sets.select(user, F.lit("").alias(out))
+        return sets.select(user, F.lit("").alias(out), *extra)
     catalogue = F.array(*[F.lit(c) for c in courses])
     combo = F.array_join(F.transform(catalogue, lambda c: F.when(
         F.array_contains(F.col("__set"), c), F.lit("1")).otherwise(F.lit("0"))), "")
-    return sets.select(user, combo.alias(out))
+    return sets.select(user, combo.alias(out), *extra)
 
 
 def course_combos(df: DataFrame, user: str, course: str, courses: Sequence[str] | None = None,
@@ -95,8 +99,9 @@ def course_combos(df: DataFrame, user: str, course: str, courses: Sequence[str]
 def with_course_combo(df: DataFrame, user: str, course: str, courses: Sequence[str] | None = None,
                       out: str = "course_combo") -> DataFrame:
     """Rows with their user's bitstring (NULL user -> NULL bitstring)."""
-    combos = course_combos(df, user, course, courses, out)
-    return attach(df, combos, [user])
+    sets = user_course_sets(df, user, course)
+    courses = list(courses) if courses is not None else courses_of(sets)
+    return attach(df, combos_of(sets, user, courses, out, with_rows=True), [user], rows_col="__rows")
 
 
 # U2 - U5 --------------------------------------------------------------------
@@ -287,8 +292,8 @@ def apply_state(df: DataFrame, user: str, course: str, courses: Sequence[str], s
 
     Returns (rows, tally).  Rows keep their user's current combo."""
     sets = sets if sets is not None else user_course_sets(df, user, course)
-    origin = combos_of(sets, user, courses, "__origin")
-    rows = _with_pos(attach(df, origin, [user]), course, courses)
+    origin = combos_of(sets, user, courses, "__origin", with_rows=True)
+    rows = _with_pos(attach(df, origin, [user], rows_col="__rows"), course, courses)
     st = state.select(F.col("origin").alias("__origin"), F.col("current").alias("__current"),
                       F.col("dropped").alias("__dropped"))
     rows = attach(rows, st, ["__origin"])
