@@ -107,8 +107,8 @@ def iter_k_check(df: DataFrame, qis: Sequence[str], k: int, weight: str | None =
         valid = [q for q, bit in zip(qis, pattern) if bit == "1"]
         keyed = tuples.withColumn("__nk", concat_key(valid, sep))
         sizes = (keyed.filter(F.col("__flag") == "False").groupBy("__nk")
-                 .agg(F.sum("__n").alias("__size")))
-        joined = attach(keyed, sizes, ["__nk"])
+                 .agg(F.sum("__n").alias("__size"), F.count(F.lit(1)).alias("__tuples")))
+        joined = attach(keyed, sizes, ["__nk"], rows_col="__tuples")
         clear = (F.col("nullSum") == pattern) & (F.coalesce(F.col("__size"), F.lit(0)) >= k)
         tuples = cut_lineage(joined.withColumn("__flag", F.when(clear, F.lit("True"))
                                                .otherwise(F.col("__flag")))

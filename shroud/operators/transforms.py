@@ -12,7 +12,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shroud.functions.columns import MISSING_TEXT, col_of, concat_key, missing_flag, to_double
+from shroud.functions.columns import concat_key, missing_flag, to_double, weight_col
 from shroud.functions.joins import attach
 
 # Maps up to this many entries become a literal map expression (no join).
@@ -143,8 +143,6 @@ def incomplete_counts(df: DataFrame, weight: str | None = "Count", nevents: str
                       nchapters: str = "nchapters", nforum_posts: str = "nforum_posts",
                       ndays_act: str = "ndays_act", zero_values: Sequence[str] = ("0", "zero")) -> DataFrame:
     """Weighted row counts for each of the three conditions and for their union (one pass)."""
-    from shroud.functions.columns import weight_col
-
     w = weight_col(df, weight)
     a, b, c = _incomplete_terms(nevents, nchapters, nforum_posts, ndays_act, zero_values)
     return df.agg(
@@ -226,5 +224,5 @@ __all__ = [
     "EDUCATION_MAP", "STAFF_ROLES", "set_constant", "recode", "date_part_only", "drop_roles",
     "blank_missing", "recode_education", "mark_value", "incomplete_flag", "incomplete_counts",
     "mark_nulls", "with_kkey", "censor", "censor_to_parent", "to_number", "suppress_unique_users",
-    "suppress_below_k", "lookup_name", "lookup_parent", "col_of", "MISSING_TEXT",
+    "suppress_below_k", "lookup_name", "lookup_parent",
 ]
