@@ -250,3 +250,14 @@ def test_generalize_numeric_equals_chain(spark, column, bw, low, high):
     cols = ("user_id", "course_id", column, f"{column}_DI", f"{column}_DI_avg")
     assert rows(got, *cols) == rows(chain, *cols)
     assert set(got.columns) == set(pc.columns) | {f"{column}_DI", f"{column}_DI_avg"}
+
+
+def test_export_csv_and_mapping_round_trip(spark, tmp_path):
+    df = spark.createDataFrame([("u1", "x", "1", "True"), ("u2", "y", "", "False"), ("u3", "z, w", None, "True")],
+                               "user_id string, a string, b string, kCheckFlag string")
+    S.export_csv(df, ["a", "b"], str(tmp_path / "out"))
+    back = S.load_source(spark, str(tmp_path / "out"))
+    assert rows(back, "a", "b") == [("x", "1"), ("z, w", "")]
+    m = S.derive_mapping(spark.createDataFrame([("DE", "EU"), ("DE", "AS"), ("FR", "EU")], "c string, p string"), "c", "p")
+    S.write_mapping(m, str(tmp_path / "map"))
+    assert rows(spark.read.parquet(str(tmp_path / "map"))) == [("DE", "AS"), ("FR", "EU")]
