@@ -90,14 +90,17 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
     part of the output."""
     keys = list(keys)
     renamed = {k: f"__k_{i}" for i, k in enumerate(keys)}
+    if rows_col is not None:
+        renamed[rows_col] = "__attach_rows"
     side = stats.select([F.col(c).alias(renamed.get(c, c)) for c in stats.columns])
-    values = [c for c in stats.columns if c not in renamed and c != rows_col]
+    values = [c for c in stats.columns if c not in renamed]
+    rows_col = renamed.get(rows_col) if rows_col is not None else None
     side, fits = _measured(side, max_rows, known_max_rows)
     pairs = [(k, renamed[k]) for k in keys]
     if fits or rows_col is None or how != "left":
         side = F.broadcast(side) if fits else side
         out = df.join(side, _null_safe(df, side, pairs), how)
-        return out.drop(*renamed.values(), *([rows_col] if rows_col else []))
+        return out.drop(*renamed.values())
     total = side.agg(F.sum(rows_col)).first()[0] or 0
     threshold = max(HOT_MIN_ROWS, math.ceil(total / MAX_HOT_KEYS))
     hot = side.filter(F.col(rows_col) > threshold).select(

@@ -135,8 +135,25 @@ def unique_user_share(df: DataFrame, user: str, k: int, combo: str = "course_com
 
 
 def flag_unique_users(df: DataFrame, user: str, k: int, flag: str = "uniqUserFlag",
-                      combo: str = "course_combo") -> DataFrame:
-    """``uniqUserFlag`` = ``'True'`` on rows whose combo has fewer than k users."""
+                      combo: str = "course_combo", course: str | None = None) -> DataFrame:
+    """``uniqUserFlag`` = ``'True'`` on rows whose combo has fewer than k users.
+
+    With ``course`` given (and no combo column yet) the combos and flags are
+    computed on the per-user table and joined to the rows once, adding both
+    ``course_combo`` and the flag: two passes over the rows."""
+    if combo not in df.columns:
+        if course is None:
+            raise ValueError(f"no {combo} column: pass course= to build it")
+        sets = user_course_sets(df, user, course)
+        per_user = combos_of(sets, user, courses_of(sets), combo, with_rows=True)
+        counts = per_user.groupBy(combo).agg(F.count(F.lit(1)).alias("__users"))
+        status = counts.select(combo, (F.col("__users") < k).alias("__unique"), F.col("__users").alias("__rows"))
+        per_user = attach(per_user, status, [combo], rows_col="__rows")
+        per_user = per_user.select(
+            user, combo, "__rows",
+            F.when(F.coalesce(F.col("__unique"), F.lit(False)), F.lit("True")).otherwise(F.lit("False")).alias(flag))
+        return attach(df, per_user, [user], rows_col="__rows").withColumn(
+            flag, F.coalesce(F.col(flag), F.lit("False")))
     st = combo_status(df, user, k, combo).select(combo, "is_unique")
     out = attach(df, st, [combo])
     return (out.withColumn(flag, F.when(F.coalesce(F.col("is_unique"), F.lit(False)), F.lit("True"))

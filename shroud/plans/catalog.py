@@ -138,8 +138,7 @@ def q_to_number(spark, sf):
 
 
 def _user_flags(spark, sf):
-    df = U.with_course_combo(_pc(spark, sf), "user_id", "course_id")
-    return U.flag_unique_users(df, "user_id", K_ROWS)
+    return U.flag_unique_users(_pc(spark, sf), "user_id", K_ROWS, course="course_id")
 
 
 def q_suppress_unique_users(spark, sf):

@@ -261,3 +261,12 @@ def test_export_csv_and_mapping_round_trip(spark, tmp_path):
     m = S.derive_mapping(spark.createDataFrame([("DE", "EU"), ("DE", "AS"), ("FR", "EU")], "c string, p string"), "c", "p")
     S.write_mapping(m, str(tmp_path / "map"))
     assert rows(spark.read.parquet(str(tmp_path / "map"))) == [("DE", "AS"), ("FR", "EU")]
+
+
+def test_flag_unique_users_both_paths_agree(spark):
+    df = _users(spark)
+    a = U.flag_unique_users(df, "user_id", 2, course="course_id")
+    b = U.flag_unique_users(U.with_course_combo(df, "user_id", "course_id"), "user_id", 2)
+    cols = ("user_id", "course_id", "course_combo", "uniqUserFlag")
+    assert rows(a, *cols) == rows(b, *cols)
+    assert {r["user_id"] for r in a.filter("uniqUserFlag = 'True'").collect()} == {"u3", "u6"}
