@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from shroud.functions.columns import r6, weight_col
 from shroud.functions.joins import attach
-from shroud.session import cut_lineage
+from shroud.session import cut_lineage, keep
 
 LITERAL_MAP_MAX = 1000
 LOSS_EPS = 1e-9
@@ -195,7 +195,7 @@ def _candidates(flagged: DataFrame, n: int, n_comb: int) -> DataFrame:
 
 
 def score_drops(flagged: DataFrame, safe: DataFrame, n_positions: int, k: int, n_comb: int = 1,
-                shadow_k: bool = False) -> tuple[DataFrame, DataFrame]:
+                shadow_k: bool = False, kept: list | None = None) -> tuple[DataFrame, DataFrame]:
     """Score every candidate drop of ``n_comb`` positions for the rare combos.
 
     ``flagged``: (combo, n) users per rare combo; ``safe``: (combo) combos
@@ -204,6 +204,7 @@ def score_drops(flagged: DataFrame, safe: DataFrame, n_positions: int, k: int, n
     accepted (D, combo) - the rare combos a drop of D makes safe: the combo
     after the drop has at least k rare users (``hits - 1`` with
     ``shadow_k=True``, the reference's shadowed k) or is a safe combo.
+    Frames kept in memory for the scoring are appended to ``kept``.
     """
     spark = flagged.sparkSession
     if n_positions == 0:
@@ -220,8 +221,10 @@ def score_drops(flagged: DataFrame, safe: DataFrame, n_positions: int, k: int, n
         "D", "g", "cnt", (F.col("A") + F.coalesce("n_g", F.lit(0))).alias("post"),
         F.coalesce("n_g", F.lit(0)).alias("n_g"), F.coalesce("g_safe", F.lit(False)).alias("g_safe"))
     thr = (F.col("hits") - F.lit(1)) if shadow_k else F.lit(k)
-    judged = cut_lineage(aff.join(groups, ["D", "g"]).withColumn(
+    judged, _ = keep(aff.join(groups, ["D", "g"]).withColumn(
         "acc", (F.col("post") >= thr) | F.col("g_safe")))
+    if kept is not None:
+        kept.append(judged)  # the caller releases it once the drop is applied
     # sum over post groups of f(post) - f(n_g), spread over the group's rows
     scores = judged.groupBy("D").agg(
         F.sum((_flx(F.col("post")) - _flx(F.col("n_g"))) / F.col("cnt") - _flx(F.col("n"))).alias("dS"),
@@ -263,7 +266,7 @@ def best_drop(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
     counts = combos.groupBy("combo").agg(F.count(F.lit(1)).alias("n"))
     flagged, safe = _rare_and_safe(counts, k)
     scores, _ = score_drops(flagged, safe, len(courses), k, n_comb, shadow_k)
-    scores = cut_lineage(scores)
+    scores, _ = keep(scores)
     best = pick_drop(scores, positive_loss=(strategy == "multi"))
     names = F.array(*[F.lit(c) for c in courses]) if courses else F.array().cast("array<string>")
     chosen = F.lit(False) if best is None else (F.col("D") == F.lit(best["D"]).cast("array<int>"))
@@ -343,9 +346,10 @@ def apply_drops(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
     sets = user_course_sets(df, user, course)
     courses = courses_of(sets)
     st = cut_lineage(initial_state(sets, user, courses))
-    flagged, safe = _rare_and_safe(_state_counts(st), k)
+    counts, _ = keep(_state_counts(st))
+    flagged, safe = _rare_and_safe(counts, k)
     scores, accepted = score_drops(flagged, safe, len(courses), k, n_comb, shadow_k)
-    best = pick_drop(cut_lineage(scores), positive_loss=(strategy == "multi"))
+    best = pick_drop(scores, positive_loss=(strategy == "multi"))
     if best is not None:
         positions = list(best["D"])
         chosen = accepted.filter(F.col("D") == F.lit(positions).cast("array<int>"))
@@ -368,13 +372,19 @@ def user_k_anonymity(df: DataFrame, user: str, course: str, k: int, strategy: st
     st = cut_lineage(initial_state(sets, user, courses))
     n_comb, steps = 1, []
     while max_steps is None or len(steps) < max_steps:
-        flagged, safe = _rare_and_safe(_state_counts(st), k)
-        flagged = cut_lineage(flagged)
+        # per iteration only the state is checkpointed; the combo counts are
+        # kept (one aggregation away from the checkpointed state)
+        counts, _ = keep(_state_counts(st))
+        flagged, safe = _rare_and_safe(counts, k)
         if flagged.isEmpty():
+            counts.unpersist()
             break
-        scores, accepted = score_drops(flagged, safe, len(courses), k, n_comb, shadow_k)
-        best = pick_drop(cut_lineage(scores), positive_loss=(strategy == "multi"))
+        kept: list = [counts]
+        scores, accepted = score_drops(flagged, safe, len(courses), k, n_comb, shadow_k, kept)
+        best = pick_drop(scores, positive_loss=(strategy == "multi"))
         if best is None:
+            for frame in kept:
+                frame.unpersist()
             if strategy == "multi" and n_comb < max_comb:
                 n_comb += 1
                 continue
@@ -382,6 +392,8 @@ def user_k_anonymity(df: DataFrame, user: str, course: str, k: int, strategy: st
         positions = list(best["D"])
         chosen = accepted.filter(F.col("D") == F.lit(positions).cast("array<int>"))
         st = cut_lineage(_apply_to_state(st, chosen, positions))
+        for frame in kept:
+            frame.unpersist()
         steps.append(([courses[p] for p in positions], float(best["loss"])))
     rows, tally = apply_state(df, user, course, courses, st, k, weight, sets=sets)
     return UserKResult(rows=rows, tally=tally, steps=steps, state=st)

@@ -75,6 +75,14 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return out
 
 
+def keep(df: DataFrame) -> tuple[DataFrame, int]:
+    """Persist ``df`` (memory, spilling to disk) and compute it now; returns the
+    kept frame and its row count.  For small tables one step away from a
+    checkpoint: a lost block is recomputed from that short lineage."""
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    return kept, kept.count()
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
