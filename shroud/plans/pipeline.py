@@ -58,7 +58,7 @@ class ReleaseConfig:
     as_written: bool = False
     export_columns: tuple | None = None
     entropy_columns: tuple | None = None
-    readings: dict = field(default_factory=dict)
+    utility_columns: tuple | None = None
 
     def release_qis(self) -> list[str]:
         return [self.course, f"{self.country}_DI", f"{self.gender}_DI", f"{self.loe}_DI",
@@ -72,22 +72,34 @@ class Release:
     tally: DataFrame        # rows dropped per course by the user-wise step
     steps: list             # user-wise drops chosen
     config: ReleaseConfig
+    readings: dict = field(default_factory=dict)  # lazy one-row / small DataFrames
 
 
 def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
+    """Run the release pipeline; readings taken along the way are lazy
+    DataFrames in ``Release.readings`` (computed only when read):
+    ``entropy_before`` / ``perplexity_change`` (whole-row entropy of the
+    input columns before and after the user-wise step), ``utility_before`` / ``utility_after`` /
+    ``utility_diff``, ``k_generalized`` (suppression needed after
+    generalisation) and ``incomplete_counts``."""
     cfg = cfg or ReleaseConfig()
+    original = df
     ent_cols = list(cfg.entropy_columns or df.columns)
+    util_cols = [c for c in (cfg.utility_columns or (cfg.posts, cfg.yob, cfg.sensitive)) if c in df.columns]
     for c in cfg.date_columns:
         if c in df.columns:
             df = P.date_part_only(df, c)
     if cfg.roles in df.columns:
         df = P.drop_roles(df, cfg.roles)
     df = materialize(pseudonymize(df, cfg.user, cfg.prefix, cfg.salt), "release-ids")
+    entering = df
+    readings = {"entropy_before": A.table_entropy(entering, ent_cols)}
 
     # user-wise k-anonymity, then delete users still rare
     uk = U.user_k_anonymity(df, cfg.user, cfg.course, cfg.k, strategy=cfg.strategy,
                             max_comb=cfg.max_comb)
     df = materialize(P.suppress_unique_users(uk.rows), "release-users")
+    readings["perplexity_change"] = A.perplexity_change(entering, df, ent_cols)
 
     # generalise quasi-identifiers
     df = G.roll_up_rare(df, cfg.country, cfg.continent, cfg.country_threshold)
@@ -100,7 +112,9 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
         # the notebook blanks the sensitive value on an intermediate key
         df = K.l_diversity(df, [f"{cfg.country}_DI", f"{cfg.gender}_DI", f"{cfg.loe}_DI",
                                 f"{cfg.posts}_DI", f"{cfg.yob}_DI"], cfg.sensitive, cfg.l)
+    readings["incomplete_counts"] = P.incomplete_counts(df)
     df = materialize(P.incomplete_flag(df), "release-generalized")
+    readings["k_generalized"] = K.k_anonymity(df, cfg.k, qis=cfg.release_qis(), flag=None)
 
     # final key, flag, delete rows below k
     df = K.flag_k(df, cfg.release_qis(), cfg.k)
@@ -110,8 +124,11 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
     export_cols = list(cfg.export_columns or (
         ["userid_DI"] + cfg.release_qis() + [cfg.sensitive, "incomplete_flag"]))
     export = df.filter(F.col("kCheckFlag") == "True").select(*export_cols)
-    cfg.readings["entropy_columns"] = ent_cols
-    return Release(table=df, export=export, tally=uk.tally, steps=uk.steps, config=cfg)
+    if util_cols:
+        readings["utility_before"] = A.utility_matrix(original, util_cols)
+        readings["utility_after"] = A.utility_matrix(df, util_cols)
+        readings["utility_diff"] = A.utility_diff(readings["utility_after"], readings["utility_before"])
+    return Release(table=df, export=export, tally=uk.tally, steps=uk.steps, config=cfg, readings=readings)
 
 
 def release_report(original: DataFrame, released: DataFrame, cfg: ReleaseConfig | None = None,

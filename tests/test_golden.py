@@ -270,3 +270,20 @@ def test_flag_unique_users_both_paths_agree(spark):
     cols = ("user_id", "course_id", "course_combo", "uniqUserFlag")
     assert rows(a, *cols) == rows(b, *cols)
     assert {r["user_id"] for r in a.filter("uniqUserFlag = 'True'").collect()} == {"u3", "u6"}
+
+
+def test_load_source_ragged_rows_fail(spark, tmp_path):
+    p = tmp_path / "bad.csv"
+    p.write_text("a,b\n1,2\n3,4,5\n")
+    with pytest.raises(Exception):
+        S.load_source(spark, str(p)).collect()
+
+
+def test_iter_k_check_keep_flag(spark):
+    data = [(1, "f", "", "True"), (2, "f", "", "False"), (3, "f", "1990", "False")]
+    df = spark.createDataFrame(data, "row int, g string, y string, kCheckFlag string")
+    # with the flag kept, row 1 is already cleared and does not count for row 2's group
+    kept = K.iter_k_check(df, ["g", "y"], 2, keep_flag=True)
+    assert rows(kept, "row", "kCheckFlag") == [(1, "True"), (2, "True"), (3, "False")]
+    reset = K.iter_k_check(df, ["g", "y"], 3)
+    assert rows(reset, "row", "kCheckFlag") == [(1, "True"), (2, "True"), (3, "False")]

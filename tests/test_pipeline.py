@@ -56,3 +56,13 @@ def test_report_totals(spark, release):
     assert rep["records"]["released"] == rel.table.count()
     assert rep["release:suppress_fraction"]["released"] == 0.0
     assert rep["release:uniform_groups_shown"]["released"] == 0.0
+
+
+def test_readings(release):
+    pc, rel, cfg = release
+    r = rel.readings
+    p = r["perplexity_change"].first()
+    assert p["entropy_after"] <= p["entropy_before"] and p["perplexity_change"] >= 0
+    k = r["k_generalized"].first()
+    assert 0.0 <= k["suppress_fraction"] <= 1.0
+    assert {x["variable"] for x in r["utility_diff"].collect()} == {cfg.posts, cfg.yob, cfg.sensitive}
