@@ -15,7 +15,8 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "conversations")
 
 # The fixture view text (identical rows in Spark and DuckDB).
-PERSON_COURSE_SQL = """
+# Table names are placeholders: plain names for the oracle, DataFrames for Spark.
+PERSON_COURSE_TEMPLATE = """
 SELECT CAST(o.o_custkey AS STRING) AS user_id,
        o.o_orderpriority AS course_id,
        n.n_name AS country, r.r_name AS continent,
@@ -36,22 +37,27 @@ SELECT CAST(o.o_custkey AS STRING) AS user_id,
        CASE WHEN COUNT(*) > 1 THEN '1' ELSE '0' END AS viewed,
        CASE WHEN COUNT(*) > 2 THEN '1' ELSE '0' END AS explored,
        CASE WHEN COUNT(*) > 4 THEN '1' ELSE '0' END AS certified
-FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
-JOIN nation n ON c.c_nationkey = n.n_nationkey JOIN region r ON n.n_regionkey = r.r_regionkey
+FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
+JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionkey = r.r_regionkey
 GROUP BY o.o_custkey, o.o_orderpriority, n.n_name, r.r_name, c.c_mktsegment
 """
+VIEW_TABLES = ("orders", "customer", "nation", "region")
+PERSON_COURSE_SQL = PERSON_COURSE_TEMPLATE.format(**{t: t for t in VIEW_TABLES})
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def register_tables(spark: SparkSession, sf_dir: str, names=("region", "nation", "customer", "orders")) -> None:
+def register_tables(spark: SparkSession, sf_dir: str, names=VIEW_TABLES) -> None:
+    """Register driver tables as session temp views (for interactive SQL)."""
     for name in names:
         table(spark, sf_dir, name).createOrReplaceTempView(name)
 
 
 def person_course(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The fixture view as a DataFrame (reads only the columns it uses)."""
-    register_tables(spark, sf_dir)
-    return spark.sql(PERSON_COURSE_SQL)
+    """The fixture view as a DataFrame (reads only the columns it uses).
+
+    The tables are passed to ``spark.sql`` as DataFrame parameters, so no
+    session view is created or replaced."""
+    return spark.sql(PERSON_COURSE_TEMPLATE, **{t: table(spark, sf_dir, t) for t in VIEW_TABLES})
