@@ -36,6 +36,7 @@ from shroud.functions.joins import attach
 from shroud.session import cut_lineage, keep
 
 LITERAL_MAP_MAX = 1000
+MAX_COURSES = 100_000
 LOSS_EPS = 1e-9
 
 
@@ -53,16 +54,23 @@ def user_course_sets(df: DataFrame, user: str, course: str) -> DataFrame:
             .persist(StorageLevel.MEMORY_AND_DISK))
 
 
-def courses_of(sets: DataFrame) -> list[str]:
-    """Sorted course catalogue from the per-user sets (bounded by the catalogue)."""
-    rows = sets.select(F.explode("__set").alias("c")).distinct().collect()
+def _catalogue(courses: DataFrame) -> list[str]:
+    """Collect a distinct course column; refuses more than ``MAX_COURSES``
+    (one bitstring character per course: a larger "catalogue" is not one)."""
+    rows = courses.limit(MAX_COURSES + 1).collect()
+    if len(rows) > MAX_COURSES:
+        raise ValueError(f"more than {MAX_COURSES} distinct courses: not a course catalogue")
     return sorted(r["c"] for r in rows)
 
 
+def courses_of(sets: DataFrame) -> list[str]:
+    """Sorted course catalogue from the per-user sets."""
+    return _catalogue(sets.select(F.explode("__set").alias("c")).distinct())
+
+
 def course_list(df: DataFrame, course: str) -> list[str]:
-    """Sorted distinct non-NULL courses (bounded by the course catalogue)."""
-    rows = df.select(F.col(course).cast("string").alias("c")).filter("c IS NOT NULL").distinct().collect()
-    return sorted(r["c"] for r in rows)
+    """Sorted distinct non-NULL courses."""
+    return _catalogue(df.select(F.col(course).cast("string").alias("c")).filter("c IS NOT NULL").distinct())
 
 
 def _with_pos(df: DataFrame, course: str, courses: Sequence[str], out: str = "__pos") -> DataFrame:
