@@ -18,7 +18,9 @@ from shroud.operators import transforms as P
 from shroud.operators import stats as A
 from shroud.operators import users as U
 from shroud.operators.pseudonym import pseudonymize, salted_hash
-from shroud.plans.pipeline import ReleaseConfig, anonymize, release_report
+from shroud.plans.pipeline import (
+    ReleaseConfig, anonymize, generalize_stage, release_report, release_stage,
+)
 from shroud.session import scratch_path
 from shroud.sources import io as S
 from shroud.sources.fixture import person_course, table
@@ -363,6 +365,16 @@ def _release_config() -> ReleaseConfig:
                          yob_bw=5, salt=SALT, prefix=PREFIX)
 
 
+def _stage_config() -> ReleaseConfig:
+    return ReleaseConfig(k=3, country_threshold=COUNTRY_TH, posts_high=5, posts_bw=2, yob_bw=5)
+
+
+def q_release_stages(spark, sf):
+    cfg = _stage_config()
+    df = release_stage(generalize_stage(_pc(spark, sf), cfg), cfg)
+    return df.select("user_id", "course_id", "kkey", "grade", "nforum_posts_DI_avg", "incomplete_flag")
+
+
 def q_anonymize(spark, sf):
     return anonymize(_pc(spark, sf), _release_config()).export
 

@@ -336,4 +336,28 @@ def oracle_sql() -> dict[str, str]:
     sql["apply_drops"] = _with(*_drop_ctes(k, 1, False)) + "SELECT user_id, course_id FROM gone WHERE NOT dropped"
     sql["drop_tally"] = _with(*_drop_ctes(k, 1, False)) + \
         "SELECT course_id, COUNT(*) AS rows_dropped FROM gone WHERE dropped GROUP BY course_id"
+    # pipeline stages (roll-up, recodes, posts recipe, birth-year bins,
+    # incomplete flag, then final key, k = 3, suppression, l-diversity)
+    qis = ["course_id", "country_DI", "gender_DI", "LoE_DI", "nforum_posts_DI", "YoB_DI"]
+    pm = "posts_m"
+    stages = list(roll) + [
+        f"rs2 AS (SELECT ru.*, CASE WHEN gender = 'NA' THEN '' ELSE gender END AS gender_DI, "
+        f"{edu} AS LoE_DI, {zero} AS {pm} FROM ru)",
+        f"rs3 AS (SELECT *, CASE WHEN {_canon(pm)} AND {_int(pm)} >= 5 THEN '>= 5' ELSE {pm} END AS pt FROM rs2)",
+        f"rs4 AS ({_bins('pt', 2, 'rs3', 'nforum_posts_DI')})",
+        f"rs5 AS (SELECT nforum_posts_DI AS b, CAST(ROUND(AVG({_dbl(pm)}), 2) AS VARCHAR) AS av FROM rs4 "
+        "WHERE nforum_posts_DI IS NOT NULL GROUP BY nforum_posts_DI)",
+        "rs6 AS (SELECT rs4.*, rs5.av AS nforum_posts_DI_avg FROM rs4 LEFT JOIN rs5 ON rs4.nforum_posts_DI = rs5.b)",
+        f"rs7 AS ({_bins('YoB', 5, 'rs6', 'YoB_DI')})",
+        f"rs8 AS (SELECT *, CASE WHEN (nevents = '' AND nchapters != '') OR (nevents = '' AND {pm} NOT IN ('0', 'zero')) "
+        "OR (nevents = '' AND ndays_act != '') THEN '1' END AS incomplete_flag FROM rs7)",
+        f"rs9 AS (SELECT *, {_key(qis)} AS kkey FROM rs8)",
+        "rs10 AS (SELECT kkey, COUNT(*) AS n FROM rs9 GROUP BY kkey)",
+        "rs11 AS (SELECT rs9.* FROM rs9 JOIN rs10 ON rs9.kkey = rs10.kkey WHERE rs10.n >= 3)",
+        "rs12 AS (SELECT kkey, COUNT(DISTINCT grade) + MAX(CASE WHEN grade IS NULL THEN 1 ELSE 0 END) AS nd "
+        "FROM rs11 GROUP BY kkey)",
+    ]
+    sql["release_stages"] = _with(*stages) + (
+        "SELECT user_id, course_id, rs11.kkey, CASE WHEN nd < 2 THEN ' ' ELSE grade END AS grade, "
+        "nforum_posts_DI_avg, incomplete_flag FROM rs11 JOIN rs12 ON rs11.kkey = rs12.kkey")
     return sql

@@ -101,7 +101,25 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
     df = materialize(P.suppress_unique_users(uk.rows), "release-users")
     readings["perplexity_change"] = A.perplexity_change(entering, df, ent_cols)
 
-    # generalise quasi-identifiers
+    readings["incomplete_counts"] = P.incomplete_counts(
+        P.mark_value(df, cfg.posts, "0", "zero") if cfg.posts in df.columns else df)
+    df = materialize(generalize_stage(df, cfg), "release-generalized")
+    readings["k_generalized"] = K.k_anonymity(df, cfg.k, qis=cfg.release_qis(), flag=None)
+    df = release_stage(df, cfg)
+    export_cols = list(cfg.export_columns or (
+        ["userid_DI"] + cfg.release_qis() + [cfg.sensitive, "incomplete_flag"]))
+    export = df.filter(F.col("kCheckFlag") == "True").select(*export_cols)
+    if util_cols:
+        readings["utility_before"] = A.utility_matrix(original, util_cols)
+        readings["utility_after"] = A.utility_matrix(df, util_cols)
+        readings["utility_diff"] = A.utility_diff(readings["utility_after"], readings["utility_before"])
+    return Release(table=df, export=export, tally=uk.tally, steps=uk.steps, config=cfg, readings=readings)
+
+
+def generalize_stage(df: DataFrame, cfg: ReleaseConfig) -> DataFrame:
+    """Generalise the quasi-identifiers: small countries to continents, gender
+    and education recodes, forum posts (zeros, tails, bins, bin means), birth
+    year (tails, bins); then the incomplete-record flag."""
     df = G.roll_up_rare(df, cfg.country, cfg.continent, cfg.country_threshold)
     df = P.blank_missing(df, cfg.gender)
     df = P.recode_education(df, cfg.loe)
@@ -112,23 +130,17 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
         # the notebook blanks the sensitive value on an intermediate key
         df = K.l_diversity(df, [f"{cfg.country}_DI", f"{cfg.gender}_DI", f"{cfg.loe}_DI",
                                 f"{cfg.posts}_DI", f"{cfg.yob}_DI"], cfg.sensitive, cfg.l)
-    readings["incomplete_counts"] = P.incomplete_counts(df)
-    df = materialize(P.incomplete_flag(df), "release-generalized")
-    readings["k_generalized"] = K.k_anonymity(df, cfg.k, qis=cfg.release_qis(), flag=None)
+    return P.incomplete_flag(df)
+
 
-    # final key, flag, delete rows below k
+def release_stage(df: DataFrame, cfg: ReleaseConfig) -> DataFrame:
+    """Final key over the release QIs, flag and delete rows below k, then
+    blank the sensitive value in groups that are not l-diverse."""
     df = K.flag_k(df, cfg.release_qis(), cfg.k)
     df = P.suppress_below_k(df)
     if not cfg.as_written:
         df = K.l_diversity(df, "kkey", cfg.sensitive, cfg.l)
-    export_cols = list(cfg.export_columns or (
-        ["userid_DI"] + cfg.release_qis() + [cfg.sensitive, "incomplete_flag"]))
-    export = df.filter(F.col("kCheckFlag") == "True").select(*export_cols)
-    if util_cols:
-        readings["utility_before"] = A.utility_matrix(original, util_cols)
-        readings["utility_after"] = A.utility_matrix(df, util_cols)
-        readings["utility_diff"] = A.utility_diff(readings["utility_after"], readings["utility_before"])
-    return Release(table=df, export=export, tally=uk.tally, steps=uk.steps, config=cfg, readings=readings)
+    return df
 
 
 def release_report(original: DataFrame, released: DataFrame, cfg: ReleaseConfig | None = None,
