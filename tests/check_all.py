@@ -21,7 +21,7 @@ from shroud.session import local_session  # noqa: E402
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = local_session(8, 8)
+    spark = local_session(8, int(os.environ.get("CHECK_SHUFFLE_PARTITIONS", "8")))
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf)
     qs, sqls = E.queries(), E.oracle_sql()
