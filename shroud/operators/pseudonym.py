@@ -35,19 +35,24 @@ def pseudonym_table(df: DataFrame, column: str, prefix: str, salt: str | None =
                     keep_rows: bool = False) -> DataFrame:
     """Distinct non-NULL ids -> ``prefix`` + zero-padded rank in salted-hash order.
 
-    Width is the number of digits of ``10 * n_distinct``."""
+    Width is the number of digits of ``10 * n_distinct``, where a NULL id
+    counts as one distinct value (it gets no pseudonym)."""
     salt = secrets.token_hex(16) if salt is None else salt
+    # the NULL id is a group here (it counts for the width) but gets no number
     ids = (df.select(F.col(column).cast("string").alias("__id"))
-           .filter(F.col("__id").isNotNull()).groupBy("__id").agg(F.count(F.lit(1)).alias("__rows"))
+           .groupBy("__id").agg(F.count(F.lit(1)).alias("__rows"))
            .withColumn("__h", F.sha2(F.concat(F.lit(salt), F.col("__id")), 256))
            .withColumn("__b", F.substring("__h", 1, prefix_digits))
            .persist(StorageLevel.MEMORY_AND_DISK))
-    sizes = sorted((r["__b"], r["n"]) for r in ids.groupBy("__b").agg(F.count(F.lit(1)).alias("n")).collect())
+    counted = ids.groupBy("__b").agg(F.count(F.lit(1)).alias("n")).collect()
+    has_null = any(r["__b"] is None for r in counted)
+    sizes = sorted((r["__b"], r["n"]) for r in counted if r["__b"] is not None)
     offsets, running = [], 0
     for bucket, n in sizes:
         offsets.append((bucket, running))
         running += n
-    width = len(str(10 * running))
+    width = len(str(10 * (running + int(has_null))))
+    ids = ids.filter(F.col("__id").isNotNull())
     side = df.sparkSession.createDataFrame(offsets, "__b string, __off bigint")
     ranked = attach(ids, side, ["__b"], known_max_rows=len(offsets))
     pos = F.row_number().over(Window.partitionBy("__b").orderBy("__h", "__id"))

@@ -209,7 +209,8 @@ def oracle_sql() -> dict[str, str]:
     sql["pseudonymize"] = _with(
         "ids AS (SELECT DISTINCT user_id FROM pc WHERE user_id IS NOT NULL)",
         f"rk AS (SELECT user_id, row_number() OVER (ORDER BY sha256('{Q.SALT}' || user_id), user_id) AS r, "
-        "COUNT(*) OVER () AS t FROM ids)") + (
+        "(SELECT COUNT(DISTINCT user_id) + MAX(CASE WHEN user_id IS NULL THEN 1 ELSE 0 END) FROM pc) AS t "
+        "FROM ids)") + (
         f"SELECT pc.user_id, pc.course_id, '{Q.PREFIX}' || lpad(CAST(r AS VARCHAR), "
         "CAST(length(CAST(10 * t AS VARCHAR)) AS INTEGER), '0') AS userid_DI FROM pc LEFT JOIN rk USING (user_id)")
     sql["value_counts"] = _with() + "SELECT gender, COUNT(*) AS n FROM pc GROUP BY gender"

@@ -287,3 +287,12 @@ def test_iter_k_check_keep_flag(spark):
     assert rows(kept, "row", "kCheckFlag") == [(1, "True"), (2, "True"), (3, "False")]
     reset = K.iter_k_check(df, ["g", "y"], 3)
     assert rows(reset, "row", "kCheckFlag") == [(1, "True"), (2, "True"), (3, "False")]
+
+
+def test_pseudonym_width_counts_null(spark):
+    ids = [(str(i),) for i in range(99)] + [(None,)]
+    df = spark.createDataFrame(ids, "user_id string")
+    out = pseudonymize(df, "user_id", "P", salt="w")
+    widths = {len(r["userid_DI"]) - 1 for r in out.collect() if r["userid_DI"] is not None}
+    assert widths == {len(str(10 * 100))}
+    assert out.filter("user_id IS NULL").first()["userid_DI"] is None
