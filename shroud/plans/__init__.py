@@ -1,3 +1,3 @@
 """Composite plans (X1 anonymize, X2 release_report) and the query catalogue."""
 
-from shroud.plans.pipeline import ReleaseConfig, anonymize, release_report  # noqa: F401
+from shroud.plans.release import ReleaseConfig, anonymize, release_report  # noqa: F401

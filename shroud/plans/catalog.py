@@ -18,7 +18,7 @@ from shroud.operators import transforms as P
 from shroud.operators import stats as A
 from shroud.operators import users as U
 from shroud.operators.pseudonym import pseudonymize, salted_hash
-from shroud.plans.pipeline import (
+from shroud.plans.release import (
     ReleaseConfig, anonymize, generalize_stage, release_report, release_stage,
 )
 from shroud.session import scratch_path

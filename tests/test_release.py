@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import pytest
 
-from shroud.plans.pipeline import ReleaseConfig, anonymize, release_report
+from shroud.plans.release import ReleaseConfig, anonymize, release_report
 from shroud.sources.fixture import person_course
 
 SF = "/root/testdata/sf0.01"
