@@ -55,14 +55,22 @@ def missing_flag(c: str | Column) -> Column:
     return F.when(is_missing(c), F.lit("0")).otherwise(F.lit("1"))
 
 
-def concat_key(cols: Sequence[str | Column], sep: str = "") -> Column:
+EXACT = None  # pass as ``sep`` for a collision-free key
+
+
+def concat_key(cols: Sequence[str | Column], sep: str | None = "") -> Column:
     """Group key: the columns' text joined by ``sep``, NULL spelled ``'NULL'``.
 
     With ``sep=''`` distinct tuples can share a key (``('a','bc')`` and
-    ``('ab','c')``); that is the reference behaviour and the default.
+    ``('ab','c')``, NULL and the text ``'NULL'``); that is the reference
+    behaviour and the default.  ``sep=EXACT`` (None) gives an exact key: the
+    JSON text of the tuple with NULLs kept, one key per distinct tuple.
     """
     if not cols:
         return F.lit("")
+    if sep is None:
+        fields = [col_of(c).cast("string").alias(f"c{i}") for i, c in enumerate(cols)]
+        return F.to_json(F.struct(*fields), {"ignoreNullFields": "false"})
     parts = [F.coalesce(col_of(c).cast("string"), F.lit("NULL")) for c in cols]
     return F.concat_ws(sep, *parts)
 

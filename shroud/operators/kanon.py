@@ -32,7 +32,7 @@ def _key(df: DataFrame, qis: Sequence[str] | None, key: str, sep: str):
 
 # K1 / K2 --------------------------------------------------------------------
 def k_anonymity(df: DataFrame, k: int, qis: Sequence[str] | None = None, key: str = "kkey",
-                weight: str | None = "Count", flag: str | None = "kCheckFlag", sep: str = "") -> DataFrame:
+                weight: str | None = "Count", flag: str | None = "kCheckFlag", sep: str | None = "") -> DataFrame:
     """One row: (k_anonymous, suppress_fraction, rows, rows_below_k).
 
     Rows below k are weighted, the denominator counts raw rows.  Only rows
@@ -51,7 +51,7 @@ def k_anonymity(df: DataFrame, k: int, qis: Sequence[str] | None = None, key: st
 # K3 -------------------------------------------------------------------------
 def k_anonymity_path(df: DataFrame, k: int, core: Sequence[str], optional: Sequence[str],
                      weight: str | None = "Count", flag: str | None = "kCheckFlag",
-                     sep: str = "") -> DataFrame:
+                     sep: str | None = "") -> DataFrame:
     """Suppression needed for the core QIs, then with each optional QI added in
     turn: (level, added_variable, k_anonymous, suppress_fraction).
 
@@ -81,7 +81,7 @@ def k_anonymity_path(df: DataFrame, k: int, core: Sequence[str], optional: Seque
 
 # K4 -------------------------------------------------------------------------
 def iter_k_check(df: DataFrame, qis: Sequence[str], k: int, weight: str | None = "Count",
-                 flag: str = "kCheckFlag", sep: str = "", keep_flag: bool = False) -> DataFrame:
+                 flag: str = "kCheckFlag", sep: str | None = "", keep_flag: bool = False) -> DataFrame:
     """Sequential check of partly missing rows.
 
     ``nullSum`` concatenates the ``<q>_NF`` flags.  For each pattern with a
@@ -120,7 +120,7 @@ def iter_k_check(df: DataFrame, qis: Sequence[str], k: int, weight: str | None =
 
 # K5 -------------------------------------------------------------------------
 def flag_k(df: DataFrame, qis: Sequence[str], k: int, key: str = "kkey", flag: str = "kCheckFlag",
-           weight: str | None = "Count", sep: str = "") -> DataFrame:
+           weight: str | None = "Count", sep: str | None = "") -> DataFrame:
     """``kkey`` over the QIs and ``kCheckFlag`` = ``'True'`` where the group has at least k rows."""
     keyed = df.withColumn(key, concat_key(list(qis), sep))
     sizes = keyed.groupBy(key).agg(F.sum(weight_col(keyed, weight)).alias("__size"),
@@ -132,7 +132,7 @@ def flag_k(df: DataFrame, qis: Sequence[str], k: int, key: str = "kkey", flag: s
 
 # K6 -------------------------------------------------------------------------
 def l_diversity(df: DataFrame, key: str | Sequence[str], sensitive: str, l: int = 2,
-                blank: str = " ", sep: str = "") -> DataFrame:
+                blank: str = " ", sep: str | None = "") -> DataFrame:
     """Blank the sensitive value in groups with fewer than ``l`` distinct values
     (NULL counts as a value; a one-row group is always blanked)."""
     if isinstance(key, str):

@@ -89,7 +89,7 @@ def entropy(df: DataFrame, columns: Sequence[str], weight: str | None = "Count",
 
 
 def table_entropy(df: DataFrame, columns: Sequence[str], weight: str | None = "Count",
-                  base: float = 2.0, sep: str = "") -> DataFrame:
+                  base: float = 2.0, sep: str | None = "") -> DataFrame:
     """Entropy of the whole-row key over ``columns`` (one row)."""
     key = concat_key(list(columns), sep)
     counts = df.groupBy(key.alias("__row")).agg(F.sum(weight_col(df, weight)).alias("n"))

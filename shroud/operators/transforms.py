@@ -160,8 +160,9 @@ def mark_nulls(df: DataFrame, columns: Sequence[str], suffix: str = "_NF") -> Da
 
 
 # P11 ------------------------------------------------------------------------
-def with_kkey(df: DataFrame, columns: Sequence[str], out: str = "kkey", sep: str = "") -> DataFrame:
-    """Group key column: the QIs' text concatenated (NULL as ``'NULL'``)."""
+def with_kkey(df: DataFrame, columns: Sequence[str], out: str = "kkey", sep: str | None = "") -> DataFrame:
+    """Group key column: the QIs' text concatenated (NULL as ``'NULL'``);
+    ``sep=EXACT`` (None) for a collision-free key."""
     return df.withColumn(out, concat_key(list(columns), sep))
 
 

@@ -27,6 +27,7 @@ from shroud.operators import stats as A
 from shroud.operators import users as U
 from shroud.operators.pseudonym import pseudonymize
 from shroud.session import materialize
+from shroud.sources.io import export_view
 
 
 @dataclass
@@ -108,7 +109,7 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
     df = release_stage(df, cfg)
     export_cols = list(cfg.export_columns or (
         ["userid_DI"] + cfg.release_qis() + [cfg.sensitive, "incomplete_flag"]))
-    export = df.filter(F.col("kCheckFlag") == "True").select(*export_cols)
+    export = export_view(df, export_cols, direct_identifiers=(cfg.user,))
     if util_cols:
         readings["utility_before"] = A.utility_matrix(original, util_cols)
         readings["utility_after"] = A.utility_matrix(df, util_cols)

@@ -296,3 +296,13 @@ def test_pseudonym_width_counts_null(spark):
     widths = {len(r["userid_DI"]) - 1 for r in out.collect() if r["userid_DI"] is not None}
     assert widths == {len(str(10 * 100))}
     assert out.filter("user_id IS NULL").first()["userid_DI"] is None
+
+
+def test_exact_key_separates_colliding_tuples(spark):
+    from shroud.functions.columns import EXACT
+    df = spark.createDataFrame([("a", "bc"), ("ab", "c"), (None, "x"), ("NULL", "x")], "g string, y string")
+    assert P.with_kkey(df, ["g", "y"]).select("kkey").distinct().count() == 2
+    assert P.with_kkey(df, ["g", "y"], sep=EXACT).select("kkey").distinct().count() == 4
+    r = K.k_anonymity(df, 2, qis=["g", "y"], sep=EXACT).first()
+    assert r["rows_below_k"] == 4
+    assert K.k_anonymity(df, 2, qis=["g", "y"]).first()["rows_below_k"] == 0
