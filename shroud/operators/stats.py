@@ -109,12 +109,14 @@ def perplexity_change(before: DataFrame, after: DataFrame, columns_before: Seque
 
 # A9 / A10 -------------------------------------------------------------------
 def grain_size(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(variable, grain_size) = distinct values (NULL counts) / rows, unweighted; one scan."""
+    """(variable, pos, grain_size) = distinct values (NULL counts) / rows,
+    unweighted; one scan.  An empty table gives NULL grains."""
     pairs = _pairs(df, columns, None)
     per_value = pairs.groupBy("variable", "pos", "value").agg(F.count(F.lit(1)).alias("n"))
-    return (per_value.groupBy("variable", "pos")
-            .agg(r6(F.count(F.lit(1)) / F.sum("n")).alias("grain_size"))
-            .select("variable", "pos", "grain_size"))
+    grains = (per_value.groupBy("variable", "pos")
+              .agg(r6(F.count(F.lit(1)) / F.sum("n")).alias("grain_size")))
+    asked = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(columns)], "variable string, pos int")
+    return asked.join(F.broadcast(grains), ["variable", "pos"], "left").select("variable", "pos", "grain_size")
 
 
 def pick_next_to_generalize(df: DataFrame, columns: Sequence[str]) -> DataFrame:

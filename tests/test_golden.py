@@ -306,3 +306,11 @@ def test_exact_key_separates_colliding_tuples(spark):
     r = K.k_anonymity(df, 2, qis=["g", "y"], sep=EXACT).first()
     assert r["rows_below_k"] == 4
     assert K.k_anonymity(df, 2, qis=["g", "y"]).first()["rows_below_k"] == 0
+
+
+def test_grain_size_values_and_empty(spark):
+    df = spark.createDataFrame([("a", None), ("a", "x"), ("b", None), ("c", "y")], "g string, h string")
+    assert rows(A.grain_size(df, ["g", "h"]), "variable", "grain_size") == [("g", 0.75), ("h", 0.75)]
+    assert rows(A.pick_next_to_generalize(df, ["g", "h"])) == [("g", 0.75)]
+    empty = df.filter("g = 'none'")
+    assert rows(A.grain_size(empty, ["g", "h"]), "variable", "grain_size") == [("g", None), ("h", None)]
