@@ -162,8 +162,10 @@ def flag_unique_users(df: DataFrame, user: str, k: int, flag: str = "uniqUserFla
             F.when(F.coalesce(F.col("__unique"), F.lit(False)), F.lit("True")).otherwise(F.lit("False")).alias(flag))
         return attach(df, per_user, [user], rows_col="__rows").withColumn(
             flag, F.coalesce(F.col(flag), F.lit("False")))
-    st = combo_status(df, user, k, combo).select(combo, "is_unique")
-    out = attach(df, st, [combo])
+    per_user = (df.filter(F.col(user).isNotNull()).groupBy(user, combo)
+                .agg(F.count(F.lit(1)).alias("__r")))
+    st = per_user.groupBy(combo).agg((F.count(F.lit(1)) < k).alias("is_unique"), F.sum("__r").alias("__rows"))
+    out = attach(df, st, [combo], rows_col="__rows")
     return (out.withColumn(flag, F.when(F.coalesce(F.col("is_unique"), F.lit(False)), F.lit("True"))
                            .otherwise(F.lit("False"))).drop("is_unique"))
 
@@ -255,12 +257,14 @@ def pick_drop(scores: DataFrame, positive_loss: bool = False):
 
 
 def _state_counts(st: DataFrame) -> DataFrame:
+    """(combo, n users, rows) per current combo; users with no course left are gone.
+    ``rows`` counts the users' original rows (an upper bound after drops)."""
     return (st.filter(F.col("current").contains("1")).groupBy("current")
-            .agg(F.sum("n").alias("n")).withColumnRenamed("current", "combo"))
+            .agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")).withColumnRenamed("current", "combo"))
 
 
 def _rare_and_safe(counts: DataFrame, k: int):
-    return counts.filter(F.col("n") < k), counts.filter(F.col("n") >= k).select("combo")
+    return counts.filter(F.col("n") < k).select("combo", "n"), counts.filter(F.col("n") >= k).select("combo")
 
 
 def best_drop(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
@@ -307,10 +311,10 @@ def _apply_to_state(st: DataFrame, accepted: DataFrame, positions: list[int]) ->
     # New values get fresh names first: a lambda inside the same select would
     # otherwise resolve ``current`` to the new alias (lateral column alias).
     out = j.select(
-        "origin", "n",
+        "origin", "n", "rows",
         F.when(hit, _zero_bits(F.col("current"), d)).otherwise(F.col("current")).alias("__cur"),
         F.when(hit, _or_bits(F.col("dropped"), F.col("current"), d)).otherwise(F.col("dropped")).alias("__drp"))
-    return out.select("origin", F.col("__cur").alias("current"), F.col("__drp").alias("dropped"), "n")
+    return out.select("origin", F.col("__cur").alias("current"), F.col("__drp").alias("dropped"), "n", "rows")
 
 
 def apply_state(df: DataFrame, user: str, course: str, courses: Sequence[str], state: DataFrame,
@@ -323,16 +327,17 @@ def apply_state(df: DataFrame, user: str, course: str, courses: Sequence[str], s
     origin = combos_of(sets, user, courses, "__origin", with_rows=True)
     rows = _with_pos(attach(df, origin, [user], rows_col="__rows"), course, courses)
     st = state.select(F.col("origin").alias("__origin"), F.col("current").alias("__current"),
-                      F.col("dropped").alias("__dropped"))
-    rows = attach(rows, st, ["__origin"])
+                      F.col("dropped").alias("__dropped"), F.col("rows").alias("__st_rows"))
+    rows = attach(rows, st, ["__origin"], rows_col="__st_rows")
     dropped = F.coalesce(F.substr(F.col("__dropped"), F.col("__pos") + 1, F.lit(1)) == F.lit("1"),
                          F.lit(False))
     rows = rows.withColumn("__gone", dropped)
     tally = (rows.filter("__gone").groupBy(F.col(course).alias(course))
              .agg(F.sum(weight_col(rows, weight)).alias("rows_dropped")))
     counts = _state_counts(state)
-    rare = counts.filter(F.col("n") < k).select(F.col("combo").alias("__current"), F.lit(True).alias("__rare"))
-    kept = attach(rows.filter(~F.col("__gone")), rare, ["__current"])
+    rare = counts.filter(F.col("n") < k).select(F.col("combo").alias("__current"), F.lit(True).alias("__rare"),
+                                                F.col("rows").alias("__rare_rows"))
+    kept = attach(rows.filter(~F.col("__gone")), rare, ["__current"], rows_col="__rare_rows")
     kept = kept.withColumn(flag, F.when(F.coalesce(F.col("__rare"), F.lit(False)), F.lit("True"))
                            .otherwise(F.lit("False")))
     kept = kept.withColumn(combo, F.col("__current"))
@@ -340,11 +345,11 @@ def apply_state(df: DataFrame, user: str, course: str, courses: Sequence[str], s
 
 
 def initial_state(sets: DataFrame, user: str, courses: Sequence[str]) -> DataFrame:
-    """(origin, current, dropped, n): users per original combo."""
-    combos = combos_of(sets, user, courses, "origin")
+    """(origin, current, dropped, n, rows): users and their rows per original combo."""
+    combos = combos_of(sets, user, courses, "origin", with_rows=True)
     n = len(courses)
-    return (combos.groupBy("origin").agg(F.count(F.lit(1)).alias("n"))
-            .select("origin", F.col("origin").alias("current"), F.lit("0" * n).alias("dropped"), "n"))
+    return (combos.groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.sum("__rows").alias("rows"))
+            .select("origin", F.col("origin").alias("current"), F.lit("0" * n).alias("dropped"), "n", "rows"))
 
 
 def apply_drops(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
