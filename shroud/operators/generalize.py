@@ -29,10 +29,10 @@ def roll_up_rare(df: DataFrame, column: str, parent: str, threshold: int,
     w = weight_col(df, weight)
     stats = (df.filter(F.col(column).isNotNull())
              .groupBy(column)
-             .agg(F.sum(w).alias("__n"), F.min(parent).alias("__parent")))
+             .agg(F.sum(w).alias("__n"), F.min(parent).alias("__parent"), F.count(F.lit(1)).alias("__rows")))
     keep = (F.col("__n") >= threshold) & ~F.col(column).isin(*special)
-    stats = stats.select(column, F.when(keep, F.col(column)).otherwise(F.col("__parent")).alias("__di"))
-    joined = attach(df, stats, [column])
+    stats = stats.select(column, F.when(keep, F.col(column)).otherwise(F.col("__parent")).alias("__di"), "__rows")
+    joined = attach(df, stats, [column], rows_col="__rows")
     return joined.withColumn(out or f"{column}_DI", F.col("__di")).drop("__di")
 
 
@@ -111,7 +111,9 @@ def generalize_numeric(df: DataFrame, column: str, bw: int = 5, low: int | None
                  .select(F.col(di).alias("__bin"), F.round("__mean", 2).cast("string").alias(avg)))
         table = table.join(means, table[di] == means["__bin"], "left").drop("__bin")
         cols.append(avg)
-    mapping = table.select(F.col(column).alias("__value"), *[F.col(k).alias(f"__{k}") for k in cols[1:]])
+    mapping = table.select(F.col(column).alias("__value"), *[F.col(k).alias(f"__{k}") for k in cols[1:]],
+                           F.col("__n").alias("__rows"))
     base = df.drop(*cols[1:])
-    out = attach(base.withColumn(column, marked).withColumn("__value", F.col(column)), mapping, ["__value"])
+    out = attach(base.withColumn(column, marked).withColumn("__value", F.col(column)), mapping, ["__value"],
+                 rows_col="__rows")
     return out.select(*base.columns, *[F.col(f"__{k}").alias(k) for k in cols[1:]])

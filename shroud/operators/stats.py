@@ -168,6 +168,6 @@ def bin_average(df: DataFrame, bin_column: str, value_column: str, out: str | No
     out = out or f"{bin_column}_avg"
     x = to_double(value_column)
     stats = df.groupBy(bin_column).agg(
-        F.round(F.avg(x), 2).cast("string").alias("__avg"))
-    joined = attach(df, stats.filter(F.col(bin_column).isNotNull()), [bin_column])
+        F.round(F.avg(x), 2).cast("string").alias("__avg"), F.count(F.lit(1)).alias("__rows"))
+    joined = attach(df, stats.filter(F.col(bin_column).isNotNull()), [bin_column], rows_col="__rows")
     return joined.withColumn(out, F.col("__avg")).drop("__avg")
