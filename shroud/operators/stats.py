@@ -116,6 +116,7 @@ def grain_size(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     grains = (per_value.groupBy("variable", "pos")
               .agg(r6(F.count(F.lit(1)) / F.sum("n")).alias("grain_size")))
     asked = df.sparkSession.createDataFrame([(c, i) for i, c in enumerate(columns)], "variable string, pos int")
+    # one row per requested column: a bound by construction
     return asked.join(F.broadcast(grains), ["variable", "pos"], "left").select("variable", "pos", "grain_size")
 
 
