@@ -17,11 +17,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shroud.session import persisted
+
 # Default bounds for broadcasting a small side: rows, and bytes estimated
 # from the schema.  The table is built on the driver and sent to every
 # executor, so it must stay far below driver and executor memory.
@@ -53,7 +54,7 @@ def _measured(small: DataFrame, max_rows: int, known_max_rows: int | None) -> tu
     max_rows = min(max_rows, BROADCAST_MAX_BYTES // _row_bytes(small.schema))
     if known_max_rows is not None and known_max_rows <= max_rows:
         return small, True
-    kept = small.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = persisted(small)
     return kept, kept.count() <= max_rows
 
 

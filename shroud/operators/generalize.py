@@ -9,12 +9,12 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shroud.functions.columns import canonical_int, to_double, to_int, weight_col
 from shroud.functions.joins import attach
+from shroud.session import persisted
 
 # Country codes always replaced by their continent.
 SPECIAL_CODES = ("A1", "A2", "AP", "EU", "")
@@ -98,8 +98,7 @@ def generalize_numeric(df: DataFrame, column: str, bw: int = 5, low: int | None
     c = F.col(column)
     marked = F.when(c == "0", F.lit(zero_label)).otherwise(c) if zero_label is not None else c
     di, avg = f"{column}_DI", f"{column}_DI_avg"
-    values = (df.groupBy(marked.alias(column)).agg(F.count(F.lit(1)).alias("__n"))
-              .persist(StorageLevel.MEMORY_AND_DISK))
+    values = persisted(df.groupBy(marked.alias(column)).agg(F.count(F.lit(1)).alias("__n")))
     table = trim_tails(values, column, low=low, high=high, out=di)
     table = bin_numeric(table, di, bw=bw, overwrite=True)
     cols = [column, di]

@@ -14,11 +14,11 @@ from __future__ import annotations
 
 import secrets
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shroud.functions.joins import attach
+from shroud.session import persisted
 
 PREFIX_DIGITS = 4  # 65,536 buckets
 
@@ -39,11 +39,10 @@ def pseudonym_table(df: DataFrame, column: str, prefix: str, salt: str | None =
     counts as one distinct value (it gets no pseudonym)."""
     salt = secrets.token_hex(16) if salt is None else salt
     # the NULL id is a group here (it counts for the width) but gets no number
-    ids = (df.select(F.col(column).cast("string").alias("__id"))
-           .groupBy("__id").agg(F.count(F.lit(1)).alias("__rows"))
-           .withColumn("__h", F.sha2(F.concat(F.lit(salt), F.col("__id")), 256))
-           .withColumn("__b", F.substring("__h", 1, prefix_digits))
-           .persist(StorageLevel.MEMORY_AND_DISK))
+    ids = persisted(df.select(F.col(column).cast("string").alias("__id"))
+                    .groupBy("__id").agg(F.count(F.lit(1)).alias("__rows"))
+                    .withColumn("__h", F.sha2(F.concat(F.lit(salt), F.col("__id")), 256))
+                    .withColumn("__b", F.substring("__h", 1, prefix_digits)))
     counted = ids.groupBy("__b").agg(F.count(F.lit(1)).alias("n")).collect()
     has_null = any(r["__b"] is None for r in counted)
     sizes = sorted((r["__b"], r["n"]) for r in counted if r["__b"] is not None)

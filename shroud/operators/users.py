@@ -27,13 +27,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shroud.functions.columns import r6, weight_col
 from shroud.functions.joins import attach
-from shroud.session import cut_lineage, keep
+from shroud.session import cut_lineage, keep, persisted
 
 LITERAL_MAP_MAX = 1000
 MAX_COURSES = 100_000
@@ -48,10 +47,9 @@ def user_course_sets(df: DataFrame, user: str, course: str) -> DataFrame:
     ships at most one set per map task.  The table is kept (memory, spilling
     to disk) because the course list and the bitstrings are both read from it.
     """
-    return (df.filter(F.col(user).isNotNull())
-            .groupBy(user).agg(F.array_sort(F.collect_set(F.col(course).cast("string"))).alias("__set"),
-                               F.count(F.lit(1)).alias("__rows"))
-            .persist(StorageLevel.MEMORY_AND_DISK))
+    return persisted(df.filter(F.col(user).isNotNull())
+                     .groupBy(user).agg(F.array_sort(F.collect_set(F.col(course).cast("string"))).alias("__set"),
+                                        F.count(F.lit(1)).alias("__rows")))
 
 
 def _catalogue(courses: DataFrame) -> list[str]:

@@ -15,6 +15,9 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+_CACHE_COALESCE_KEY = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
+
+
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
                   app: str = "shroud") -> SparkSession:
     """A local session with AQE on and the web UI off (tests and bench)."""
@@ -27,6 +30,7 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        .config(_CACHE_COALESCE_KEY, "true")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "16g")
         .getOrCreate()
@@ -69,17 +73,30 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     checkpoint write reads the computed partitions instead of recomputing them.
     """
     checkpoint_dir(df.sparkSession)
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = persisted(df)
     out = kept.checkpoint(eager=True)
     kept.unpersist()
     return out
 
 
+def persisted(df: DataFrame) -> DataFrame:
+    """``df.persist(MEMORY_AND_DISK)``, letting AQE coalesce the kept table.
+
+    By default a cached plan keeps ``spark.sql.shuffle.partitions`` output
+    partitions (hundreds of thousands on a large cluster) even for a tiny
+    aggregate; the session option that lets AQE coalesce them is switched on
+    here when it is still off."""
+    spark = df.sparkSession
+    if spark.conf.get(_CACHE_COALESCE_KEY, "false") == "false":
+        spark.conf.set(_CACHE_COALESCE_KEY, "true")
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def keep(df: DataFrame) -> tuple[DataFrame, int]:
     """Persist ``df`` (memory, spilling to disk) and compute it now; returns the
     kept frame and its row count.  For small tables one step away from a
     checkpoint: a lost block is recomputed from that short lineage."""
-    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = persisted(df)
     return kept, kept.count()
 
 
