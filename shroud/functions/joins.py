@@ -7,8 +7,8 @@ proven small: bounded by construction, or measured on the table (computed
 once, kept, counted).  Beyond the bound the join shuffles; when the statistic
 carries each group's row count, keys that hold many rows are split off: their
 values come from a broadcast table (at most ``MAX_HOT_KEYS`` keys, a proven
-bound) and their rows are spread over ``SALT_BUCKETS`` partitions of the
-shuffle join, where they match nothing.  A window over the group key would
+bound) and their rows, exact copies included, are spread over
+``SALT_BUCKETS`` partitions of the shuffle join, where they match nothing.  A window over the group key would
 instead put a whole hot group into one task.
 """
 
@@ -110,7 +110,10 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
     hot = F.broadcast(hot)  # at most MAX_HOT_KEYS rows: total / threshold
     j1 = df.join(hot, _null_safe(df, hot, [(k, f"__h{renamed[k]}") for k in keys]), "left")
     j1 = j1.drop(*[f"__h{renamed[k]}" for k in keys])
-    spread = F.pmod(F.xxhash64(*[F.col(c) for c in df.columns]), F.lit(SALT_BUCKETS)) + 1
+    # content hash plus input partition: exact copies of a row are spread too
+    # (the salt only places rows that match nothing, so results do not depend on it)
+    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]),
+                    F.lit(SALT_BUCKETS)) + 1
     j1 = j1.withColumn("__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0)))
     rest = (side.filter(F.col(rows_col) <= threshold).drop(rows_col)
             .withColumn("__salt_r", F.lit(0).cast("bigint")))

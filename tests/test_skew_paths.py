@@ -45,3 +45,11 @@ def test_hot_split_plan(spark, tiny_bounds):
     assert "BroadcastHashJoin" in plan and "xxhash64" in plan
     got = {(r["k"], r["s"]) for r in out.collect()}
     assert got == {("a", sum(range(20))), ("b", 1), ("c", 2)}
+
+
+def test_hot_copies_spread(spark, tiny_bounds):
+    copies = spark.createDataFrame([("a", 1)] * 400 + [("b", 2), ("c", 3)], "k string, v int").repartition(8)
+    stats = copies.groupBy("k").agg(F.sum("v").alias("s"), F.count(F.lit(1)).alias("__rows"))
+    out = joins.attach(copies, stats, ["k"], rows_col="__rows")
+    assert sorted({(r["k"], r["s"]) for r in out.collect()}) == [("a", 400), ("b", 2), ("c", 3)]
+    assert out.count() == 402
