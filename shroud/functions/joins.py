@@ -86,9 +86,10 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
            rows_col: str | None = None) -> DataFrame:
     """Join a per-group statistic back to the rows on ``keys`` (NULL-safe).
 
-    ``rows_col`` names the statistic's count of rows per group; it enables the
-    hot-key split when the statistic is too large to broadcast, and is not
-    part of the output."""
+    ``rows_col`` names the statistic's count of rows per group (not part of
+    the output); it drives the hot-key split when the statistic is too large
+    to broadcast.  Without it (a lookup table), the rows per key are counted
+    on the data side in that case."""
     keys = list(keys)
     renamed = {k: f"__k_{i}" for i, k in enumerate(keys)}
     if rows_col is not None:
@@ -98,10 +99,18 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
     rows_col = renamed.get(rows_col) if rows_col is not None else None
     side, fits = _measured(side, max_rows, known_max_rows)
     pairs = [(k, renamed[k]) for k in keys]
-    if fits or rows_col is None or how != "left":
+    if fits or how != "left":
         side = F.broadcast(side) if fits else side
         out = df.join(side, _null_safe(df, side, pairs), how)
         return out.drop(*renamed.values())
+    if rows_col is None:
+        # a large lookup table without row counts: count the rows per key on
+        # the data side (one aggregation of the key columns, combined map-side)
+        rows_col = "__attach_rows"
+        per_key = df.groupBy(*[F.col(k).alias(renamed[k]) for k in keys]).agg(
+            F.count(F.lit(1)).alias(rows_col))
+        side = side.join(per_key, [renamed[k] for k in keys], "left").fillna(0, subset=[rows_col])
+        side = persisted(side)
     total = side.agg(F.sum(rows_col)).first()[0] or 0
     threshold = max(HOT_MIN_ROWS, math.ceil(total / MAX_HOT_KEYS))
     hot = side.filter(F.col(rows_col) > threshold).select(
