@@ -29,7 +29,7 @@ def main():
     out = ["# Physical plans of key queries (sf0.1, initial AQE plans, trimmed)", "",
            "Generated by `python tests/plans_report.py`. Lines kept: scans with their",
            "read schema and pushed filters, exchanges, joins, aggregates, expands,",
-           "generators and windows. `*` marks whole-stage codegen.", ""]
+           "generators and windows.", ""]
     for name in KEYS:
         buf = io.StringIO()
         with redirect_stdout(buf):
