@@ -66,3 +66,14 @@ def test_readings(release):
     k = r["k_generalized"].first()
     assert 0.0 <= k["suppress_fraction"] <= 1.0
     assert {x["variable"] for x in r["utility_diff"].collect()} == {cfg.posts, cfg.yob, cfg.sensitive}
+
+
+def test_as_written_variant(spark):
+    cfg = ReleaseConfig(k=3, country_threshold=250, posts_high=5, posts_bw=2, yob_bw=10,
+                        salt="pipeline-test", prefix="T", as_written=True, strategy="multi", max_comb=1)
+    pc = person_course(spark, "/root/testdata/sf0.001")
+    rel = anonymize(pc, cfg)
+    out = rel.export.collect()
+    groups = Counter(tuple(r[q] for q in cfg.release_qis()) for r in out)
+    assert all(n >= cfg.k for n in groups.values())
+    assert "user_id" not in rel.export.columns
