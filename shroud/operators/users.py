@@ -94,6 +94,33 @@ def combos_of(sets: DataFrame, user: str, courses: Sequence[str], out: str = "co
     return sets.select(user, combo.alias(out), *extra)
 
 
+def positions_of(sets: DataFrame, user: str, courses: Sequence[str], out: str = "combo",
+                 with_rows: bool = False) -> DataFrame:
+    """(user, sorted catalogue positions of the user's courses): the compact
+    form of a course set used by the greedy loop (size = courses taken, not
+    catalogue size).  The catalogue is sorted, so sorted names map to sorted
+    positions."""
+    extra = ["__rows"] if with_rows else []
+    if len(courses) <= LITERAL_MAP_MAX:
+        m = F.create_map(*[x for i, c in enumerate(courses) for x in (F.lit(c), F.lit(i))])
+        pos = F.transform("__set", lambda c: F.try_element_at(m, c))
+        return sets.select(user, pos.cast("array<int>").alias(out), *extra)
+    side = sets.sparkSession.createDataFrame(list(enumerate(courses)), "__p int, __c string")
+    exploded = sets.select(user, F.explode("__set").alias("__c"))
+    mapped = attach(exploded, side, ["__c"], known_max_rows=len(courses))
+    per_user = mapped.groupBy(user).agg(F.array_sort(F.collect_list("__p")).alias(out))
+    per_user = sets.select(user, *extra).join(per_user, user, "left")
+    return per_user.select(user, F.coalesce(out, F.array().cast("array<int>")).alias(out), *extra)
+
+
+def bitstring(positions: Column, n: int) -> Column:
+    """The bitstring of a position array (one character per catalogue course)."""
+    if n == 0:
+        return F.lit("")
+    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(
+        F.array_contains(positions, i), F.lit("1")).otherwise(F.lit("0"))), "")
+
+
 def course_combos(df: DataFrame, user: str, course: str, courses: Sequence[str] | None = None,
                   out: str = "course_combo") -> DataFrame:
     """(user, bitstring of the user's courses); NULL users are left out."""
@@ -175,20 +202,10 @@ def _flx(x: Column) -> Column:
     return F.when(x > 0, x * F.log2(x)).otherwise(F.lit(0.0))
 
 
-def _set_bits(combo: Column, n: int) -> Column:
-    return F.filter(F.sequence(F.lit(0), F.lit(n - 1)),
-                    lambda i: F.substr(combo, i + 1, F.lit(1)) == F.lit("1"))
-
-
-def _zero_bits(combo: Column, positions: Column) -> Column:
-    return F.array_join(F.transform(F.split(combo, ""), lambda ch, i: F.when(
-        F.array_contains(positions, i), F.lit("0")).otherwise(ch)), "")
-
-
 def _candidates(flagged: DataFrame, n: int, n_comb: int) -> DataFrame:
     """(D, combo, n) for every candidate position set D of size ``n_comb``
     that meets the combo; D is generated once per combo by its first hit."""
-    x = flagged.select("combo", "n", _set_bits(F.col("combo"), n).alias("__S"))
+    x = flagged.select("combo", "n", F.col("combo").alias("__S"))
     x = x.select("*", F.explode("__S").alias("__h"))
     allowed = F.filter(F.sequence(F.lit(0), F.lit(n - 1)),
                        lambda j: ((j < F.col("__h")) & ~F.array_contains(F.col("__S"), j)) | (j > F.col("__h")))
@@ -206,7 +223,8 @@ def score_drops(flagged: DataFrame, safe: DataFrame, n_positions: int, k: int, n
                 shadow_k: bool = False, kept: list | None = None) -> tuple[DataFrame, DataFrame]:
     """Score every candidate drop of ``n_comb`` positions for the rare combos.
 
-    ``flagged``: (combo, n) users per rare combo; ``safe``: (combo) combos
+    Combos are sorted position arrays.  ``flagged``: (combo, n) users per
+    rare combo; ``safe``: (combo) combos
     with at least k users.  Returns (scores, accepted):
     scores (D, loss, n_change) for candidates meeting some rare combo, and
     accepted (D, combo) - the rare combos a drop of D makes safe: the combo
@@ -217,9 +235,9 @@ def score_drops(flagged: DataFrame, safe: DataFrame, n_positions: int, k: int, n
     spark = flagged.sparkSession
     if n_positions == 0:
         empty = spark.createDataFrame([], "D array<int>, loss double, n_change bigint")
-        return empty, spark.createDataFrame([], "D array<int>, combo string")
+        return empty, spark.createDataFrame([], "D array<int>, combo array<int>")
     total = flagged.agg(F.sum("n")).scalar()
-    aff = _candidates(flagged, n_positions, n_comb).withColumn("g", _zero_bits(F.col("combo"), F.col("D")))
+    aff = _candidates(flagged, n_positions, n_comb).withColumn("g", F.array_except("combo", "D"))
     # one lookup table for the post combos: rare users already there, or safe
     known = (flagged.select("combo", F.col("n").alias("n_g"), F.lit(False).alias("g_safe"))
              .unionByName(safe.select("combo", F.lit(0).cast("bigint").alias("n_g"), F.lit(True).alias("g_safe")))
@@ -257,7 +275,7 @@ def pick_drop(scores: DataFrame, positive_loss: bool = False):
 def _state_counts(st: DataFrame) -> DataFrame:
     """(combo, n users, rows) per current combo; users with no course left are gone.
     ``rows`` counts the users' original rows (an upper bound after drops)."""
-    return (st.filter(F.col("current").contains("1")).groupBy("current")
+    return (st.filter(F.size("current") > 0).groupBy("current")
             .agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")).withColumnRenamed("current", "combo"))
 
 
@@ -272,7 +290,7 @@ def best_drop(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
     (drop_courses, loss, n_change, chosen)."""
     sets = user_course_sets(df, user, course)
     courses = list(courses) if courses is not None else courses_of(sets)
-    combos = combos_of(sets, user, courses, "combo")
+    combos = positions_of(sets, user, courses, "combo")
     counts = combos.groupBy("combo").agg(F.count(F.lit(1)).alias("n"))
     flagged, safe = _rare_and_safe(counts, k)
     scores, _ = score_drops(flagged, safe, len(courses), k, n_comb, shadow_k)
@@ -295,12 +313,6 @@ class UserKResult:
     state: DataFrame         # (origin, current, dropped, n) per original combo
 
 
-def _or_bits(dropped: Column, current: Column, positions: Column) -> Column:
-    return F.array_join(F.transform(F.split(dropped, ""), lambda ch, i: F.when(
-        F.array_contains(positions, i) & (F.substr(current, i + 1, F.lit(1)) == F.lit("1")),
-        F.lit("1")).otherwise(ch)), "")
-
-
 def _apply_to_state(st: DataFrame, accepted: DataFrame, positions: list[int]) -> DataFrame:
     d = F.lit(positions).cast("array<int>")
     acc = accepted.select(F.col("combo").alias("current"), F.lit(True).alias("__acc")).distinct()
@@ -310,8 +322,9 @@ def _apply_to_state(st: DataFrame, accepted: DataFrame, positions: list[int]) ->
     # otherwise resolve ``current`` to the new alias (lateral column alias).
     out = j.select(
         "origin", "n", "rows",
-        F.when(hit, _zero_bits(F.col("current"), d)).otherwise(F.col("current")).alias("__cur"),
-        F.when(hit, _or_bits(F.col("dropped"), F.col("current"), d)).otherwise(F.col("dropped")).alias("__drp"))
+        F.when(hit, F.array_except("current", d)).otherwise(F.col("current")).alias("__cur"),
+        F.when(hit, F.array_sort(F.array_union("dropped", F.array_intersect("current", d))))
+        .otherwise(F.col("dropped")).alias("__drp"))
     return out.select("origin", F.col("__cur").alias("current"), F.col("__drp").alias("dropped"), "n", "rows")
 
 
@@ -322,13 +335,14 @@ def apply_state(df: DataFrame, user: str, course: str, courses: Sequence[str], s
 
     Returns (rows, tally).  Rows keep their user's current combo."""
     sets = sets if sets is not None else user_course_sets(df, user, course)
-    origin = combos_of(sets, user, courses, "__origin", with_rows=True)
+    origin = positions_of(sets, user, courses, "__origin", with_rows=True)
     rows = _with_pos(attach(df, origin, [user], rows_col="__rows"), course, courses)
+    # per original combo (a small table): current set, dropped positions, bitstring
     st = state.select(F.col("origin").alias("__origin"), F.col("current").alias("__current"),
-                      F.col("dropped").alias("__dropped"), F.col("rows").alias("__st_rows"))
+                      F.col("dropped").alias("__dropped"), F.col("rows").alias("__st_rows"),
+                      bitstring(F.col("current"), len(courses)).alias("__combo"))
     rows = attach(rows, st, ["__origin"], rows_col="__st_rows")
-    dropped = F.coalesce(F.substr(F.col("__dropped"), F.col("__pos") + 1, F.lit(1)) == F.lit("1"),
-                         F.lit(False))
+    dropped = F.coalesce(F.array_contains(F.col("__dropped"), F.col("__pos")), F.lit(False))
     rows = rows.withColumn("__gone", dropped)
     tally = (rows.filter("__gone").groupBy(F.col(course).alias(course))
              .agg(F.sum(weight_col(rows, weight)).alias("rows_dropped")))
@@ -338,16 +352,17 @@ def apply_state(df: DataFrame, user: str, course: str, courses: Sequence[str], s
     kept = attach(rows.filter(~F.col("__gone")), rare, ["__current"], rows_col="__rare_rows")
     kept = kept.withColumn(flag, F.when(F.coalesce(F.col("__rare"), F.lit(False)), F.lit("True"))
                            .otherwise(F.lit("False")))
-    kept = kept.withColumn(combo, F.col("__current"))
-    return kept.drop("__origin", "__pos", "__current", "__dropped", "__gone", "__rare"), tally
+    kept = kept.withColumn(combo, F.col("__combo"))
+    return kept.drop("__origin", "__pos", "__current", "__dropped", "__gone", "__rare", "__combo"), tally
 
 
 def initial_state(sets: DataFrame, user: str, courses: Sequence[str]) -> DataFrame:
-    """(origin, current, dropped, n, rows): users and their rows per original combo."""
-    combos = combos_of(sets, user, courses, "origin", with_rows=True)
-    n = len(courses)
+    """(origin, current, dropped, n, rows): users and their rows per original
+    course set (sorted position arrays)."""
+    combos = positions_of(sets, user, courses, "origin", with_rows=True)
     return (combos.groupBy("origin").agg(F.count(F.lit(1)).alias("n"), F.sum("__rows").alias("rows"))
-            .select("origin", F.col("origin").alias("current"), F.lit("0" * n).alias("dropped"), "n", "rows"))
+            .select("origin", F.col("origin").alias("current"), F.array().cast("array<int>").alias("dropped"),
+                    "n", "rows"))
 
 
 def apply_drops(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,

@@ -41,3 +41,16 @@ def test_generated_matches_brute_force(spark, rows, k, mode):
     df = spark.createDataFrame(rows, "user_id string, course_id string")
     kept, tally = brute(rows, k, strategy, max_comb, shadow_k)
     assert _spark_run(df, k, strategy, max_comb, shadow_k) == (sorted(kept), tally)
+
+
+def test_large_catalogue_matches_brute_force(spark):
+    # more than 1000 courses: positions come from a broadcast join, not a literal map
+    courses = [f"c{i:04d}" for i in range(1100)]
+    rows = [(f"u{u}", courses[(u * 37 + j * 101) % 1100]) for u in range(12) for j in range(1 + u % 3)]
+    rows += [(f"v{u}", courses[5]) for u in range(4)] + [(f"w{u}", c) for u in range(3) for c in courses[:1100]]
+    df = spark.createDataFrame(rows, "user_id string, course_id string")
+    kept, tally = brute(rows, 3, "single", 1)
+    assert _spark_run(df, 3, "single", 1) == (sorted(kept), tally)
+    pos = {r["user_id"]: r["combo"] for r in U.positions_of(U.user_course_sets(df, "user_id", "course_id"),
+                                                             "user_id", courses).collect()}
+    assert pos["w0"] == list(range(1100)) and pos["v1"] == [5]
