@@ -58,6 +58,7 @@ class ReleaseConfig:
     max_comb: int = 1
     as_written: bool = False
     export_columns: tuple | None = None
+    null_check_qis: tuple | None = None  # K4 before the k reading (the notebook's iterKcheck)
     entropy_columns: tuple | None = None
     utility_columns: tuple | None = None
 
@@ -82,7 +83,9 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
     ``entropy_before`` / ``perplexity_change`` (whole-row entropy of the
     input columns before and after the user-wise step), ``utility_before`` / ``utility_after`` /
     ``utility_diff``, ``k_generalized`` (suppression needed after
-    generalisation) and ``incomplete_counts``."""
+    generalisation, over the rows not cleared by the null-pattern check when
+    ``null_check_qis`` is set; then also ``null_check``) and
+    ``incomplete_counts``."""
     cfg = cfg or ReleaseConfig()
     original = df
     ent_cols = list(cfg.entropy_columns or df.columns)
@@ -105,7 +108,14 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
     readings["incomplete_counts"] = P.incomplete_counts(
         P.mark_value(df, cfg.posts, "0", "zero") if cfg.posts in df.columns else df)
     df = materialize(generalize_stage(df, cfg), "release-generalized")
-    readings["k_generalized"] = K.k_anonymity(df, cfg.k, qis=cfg.release_qis(), flag=None)
+    if cfg.null_check_qis:
+        # K4 clears partly missing rows; the reading then covers the rows not
+        # cleared (K5 below decides the release on its own, as in the notebook)
+        checked = K.iter_k_check(df, list(cfg.null_check_qis), cfg.k)
+        readings["null_check"] = checked.groupBy("nullSum", "kCheckFlag").agg(F.count(F.lit(1)).alias("rows"))
+        readings["k_generalized"] = K.k_anonymity(checked, cfg.k, qis=cfg.release_qis())
+    else:
+        readings["k_generalized"] = K.k_anonymity(df, cfg.k, qis=cfg.release_qis(), flag=None)
     df = release_stage(df, cfg)
     export_cols = list(cfg.export_columns or (
         ["userid_DI"] + cfg.release_qis() + [cfg.sensitive, "incomplete_flag"]))

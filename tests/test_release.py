@@ -77,3 +77,14 @@ def test_as_written_variant(spark):
     groups = Counter(tuple(r[q] for q in cfg.release_qis()) for r in out)
     assert all(n >= cfg.k for n in groups.values())
     assert "user_id" not in rel.export.columns
+
+
+def test_null_check_reading(spark):
+    cfg = ReleaseConfig(k=3, country_threshold=250, posts_high=5, posts_bw=2, yob_bw=10, salt="s", prefix="T",
+                        null_check_qis=("gender_DI", "YoB_DI"))
+    pc = person_course(spark, "/root/testdata/sf0.001")
+    rel = anonymize(pc, cfg)
+    checked = {(r["nullSum"], r["kCheckFlag"]): r["rows"] for r in rel.readings["null_check"].collect()}
+    assert all(flag == "False" for (pattern, flag) in checked if pattern == "11")
+    k = rel.readings["k_generalized"].first()
+    assert k["rows"] == sum(n for (_, flag), n in checked.items() if flag == "False")
