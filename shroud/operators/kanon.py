@@ -110,6 +110,8 @@ def iter_k_check(df: DataFrame, qis: Sequence[str], k: int, weight: str | None =
                  .agg(F.sum("__n").alias("__size"), F.count(F.lit(1)).alias("__tuples")))
         joined = attach(keyed, sizes, ["__nk"], rows_col="__tuples")
         clear = (F.col("nullSum") == pattern) & (F.coalesce(F.col("__size"), F.lit(0)) >= k)
+        # every pass cuts the lineage: both join sides derive from ``tuples``,
+        # so an uncut plan would double with each pass
         tuples = cut_lineage(joined.withColumn("__flag", F.when(clear, F.lit("True"))
                                                .otherwise(F.col("__flag")))
                              .drop("__nk", "__size"))

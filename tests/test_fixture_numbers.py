@@ -74,3 +74,17 @@ def test_iter_k_check_passes(pc01):
     assert got[("00", "True")] == 213 and ("00", "False") not in got
     assert got[("01", "True")] == 1252 and got[("01", "False")] == 345
     assert got[("11", "False")] == 4166
+
+
+def test_iter_k_check_many_passes_matches_sql(spark):
+    # four QIs: up to 15 null patterns, so the kept/checkpointed pass logic is crossed
+    from oracle_compare import duck
+    from shroud.plans.oracle import _iter_k_check, _with
+
+    qis = ["gender", "YoB", "nevents", "ndays_act"]
+    sql = _with(*_iter_k_check(qis, 20)) + "SELECT user_id, course_id, nullSum, kCheckFlag FROM ikc"
+    want = sorted(duck(SF01).execute(sql).fetchall())
+    got = K.iter_k_check(person_course(spark, SF01), qis, 20).select("user_id", "course_id", "nullSum", "kCheckFlag")
+    got = sorted(tuple(r) for r in got.collect())
+    assert len({r[2] for r in got}) > 8
+    assert got == want
