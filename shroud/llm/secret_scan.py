@@ -171,7 +171,7 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     base = spans.filter("kind < 3").select("row", "kind", "start", "end")
     tokens = spans.filter("kind = 3").select("row", "kind", "start", "end", F.col("match").alias("token"),
                                              _encoding(F.col("match")).alias("encoding"))
-    tested = randomness(tokens.filter("encoding IS NOT NULL"))
+    tested, _ = write_stage(randomness(tokens.filter("encoding IS NOT NULL")), "secret-tests")
     random = _not_rejected(tested, fdr).select("row", "kind", "start", "end")
     ordered = Window.partitionBy("row").orderBy("start", "kind")
     before = ordered.rowsBetween(Window.unboundedPreceding, -1)
