@@ -12,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -31,7 +32,8 @@ def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1").rstrip("/")
     cpus = os.environ.get("BENCH_CPUS", "8")
     names = sys.argv[1:] or HEADLINE
-    spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="shroud-bench")
+    spark = local_session(cpus, int(os.environ.get("BENCH_SHUFFLE_PARTITIONS", "8")), app="shroud-bench",
+                          checkpoint_dir=os.environ.get("BENCH_CHECKPOINT_DIR") or tempfile.mkdtemp(prefix="shroud-bench-"))
     spark.sparkContext.setLogLevel("ERROR")
     warm_dir = os.environ.get("BENCH_WARMUP_DIR", "/root/testdata/sf0.001").rstrip("/")
     if warm_dir and os.path.isdir(warm_dir) and warm_dir != sf_dir:

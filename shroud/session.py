@@ -1,14 +1,13 @@
 """Session helpers: building a local session for tests and reliable checkpoints.
 
 On a cluster the session is built by the caller; the library only reads
-``spark.checkpoint.dir`` (a shared, fault-tolerant folder) from it.  A private
-folder is created only when the session runs in local mode and no directory
-is configured (tests, the bench).
+``spark.checkpoint.dir`` (a shared, fault-tolerant folder) from it and refuses
+to write intermediate tables anywhere else.  Tests and the bench pass a folder
+of their own to ``local_session``.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark import StorageLevel
@@ -19,10 +18,13 @@ _CACHE_COALESCE_KEY = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning
 
 
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
-                  app: str = "shroud") -> SparkSession:
+                  app: str = "shroud", checkpoint_dir: str | None = None) -> SparkSession:
     """A local session with AQE on and the web UI off (tests and bench)."""
+    builder = SparkSession.builder
+    if checkpoint_dir is not None:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
     return (
-        SparkSession.builder.master(f"local[{cores}]")
+        builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
@@ -40,8 +42,9 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8,
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the session.
 
-    Uses the directory already set on the SparkContext or ``spark.checkpoint.dir``.
-    Only a local-mode session without either gets a private folder.
+    Uses the directory already set on the SparkContext or ``spark.checkpoint.dir``;
+    without either, nothing may be written: a folder that executors don't share
+    would lose data.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -52,11 +55,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; point it at a shared, fault-tolerant folder")
-    sc.setCheckpointDir(tempfile.mkdtemp(prefix="shroud-ckpt-"))
-    return sc.getCheckpointDir()
+    raise RuntimeError("spark.checkpoint.dir is not set; point it at a shared, fault-tolerant folder")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,5 +1,6 @@
 import os
 import sys
+import tempfile
 
 import pytest
 
@@ -12,7 +13,8 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def spark():
     from shroud.session import local_session
 
-    s = local_session("*", 8, app="shroud-tests")
+    s = local_session(os.environ.get("SHROUD_TEST_CORES", "*"), 8, app="shroud-tests",
+                      checkpoint_dir=tempfile.mkdtemp(prefix="shroud-ckpt-"))
     s.sparkContext.setLogLevel("ERROR")
     yield s
     s.stop()
