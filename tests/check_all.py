@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import os
 import sys
+import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -21,7 +22,8 @@ from shroud.session import local_session  # noqa: E402
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
     names = sys.argv[2:]
-    spark = local_session(8, int(os.environ.get("CHECK_SHUFFLE_PARTITIONS", "8")))
+    spark = local_session(8, int(os.environ.get("CHECK_SHUFFLE_PARTITIONS", "8")),
+                          checkpoint_dir=tempfile.mkdtemp(prefix="shroud-check-"))
     spark.sparkContext.setLogLevel("ERROR")
     con = duck(sf)
     qs, sqls = E.queries(), E.oracle_sql()

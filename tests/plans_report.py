@@ -9,6 +9,7 @@ import io
 import os
 import re
 import sys
+import tempfile
 from contextlib import redirect_stdout
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
@@ -24,7 +25,7 @@ KEEP = re.compile(r"(Scan |ReadSchema|PushedFilters|Exchange|Join|HashAggregate|
 
 def main():
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
-    spark = local_session(8, 8)
+    spark = local_session(8, 8, checkpoint_dir=tempfile.mkdtemp(prefix="shroud-plans-"))
     spark.sparkContext.setLogLevel("ERROR")
     out = ["# Physical plans of key queries (sf0.1, initial AQE plans, trimmed)", "",
            "Generated by `python tests/plans_report.py`. Lines kept: scans with their",
