@@ -82,6 +82,12 @@ def weight_col(df: DataFrame, weight: str | None) -> Column:
     return F.lit(1).cast("bigint")
 
 
+def number_text(c: str | Column) -> Column:
+    """A double at 2 decimals as plain text: ``'3.0'``, ``'0.25'``, ``'12345678.5'`` (never an exponent)."""
+    fixed = F.round(col_of(c).cast("double"), 2).cast("decimal(38,2)").cast("string")
+    return F.regexp_replace(fixed, "0$", "")
+
+
 def r6(c: str | Column) -> Column:
     """Round a double to 6 decimals and fold ``-0.0`` into ``0.0``."""
     return F.round(col_of(c).cast("double"), 6) + F.lit(0.0)

@@ -23,9 +23,9 @@ from pyspark.sql import types as T
 
 from shroud.session import persisted
 
-# Default bounds for broadcasting a small side: rows, and bytes estimated
-# from the schema.  The table is built on the driver and sent to every
-# executor, so it must stay far below driver and executor memory.
+# Default bounds for broadcasting a small side: rows, and bytes measured on
+# the table.  The table is built on the driver and sent to every executor, so
+# it must stay far below driver and executor memory.
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
 # Hot keys: more than max(HOT_MIN_ROWS, total / MAX_HOT_KEYS) rows.
@@ -34,28 +34,28 @@ HOT_MIN_ROWS = 1_000_000
 SALT_BUCKETS = 64
 
 
-def _row_bytes(schema: T.StructType) -> int:
-    """Rough in-memory width of a row (strings counted at 32 bytes)."""
-    size = 16
+def _row_bytes(schema: T.StructType) -> F.Column:
+    """In-memory width of a row: the actual bytes of its texts and nested values."""
+    size = F.lit(16)
     for f in schema.fields:
-        t = f.dataType
+        t, c = f.dataType, F.col(f"`{f.name}`")
         if isinstance(t, (T.StringType, T.BinaryType)):
-            size += 32
+            size = size + 16 + F.coalesce(F.octet_length(c), F.lit(0))
         elif isinstance(t, (T.ArrayType, T.MapType, T.StructType)):
-            size += 64
+            size = size + 32 + 4 * F.coalesce(F.length(F.to_json(F.struct(c))), F.lit(0))
         else:
-            size += 8
-    return size
+            size = size + 8
+    return size.cast("long")
 
 
 def _measured(small: DataFrame, max_rows: int, known_max_rows: int | None) -> tuple[DataFrame, bool]:
     """(table, fits): ``fits`` when the row count is proven within the bounds."""
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
-    max_rows = min(max_rows, BROADCAST_MAX_BYTES // _row_bytes(small.schema))
     if known_max_rows is not None and known_max_rows <= max_rows:
         return small, True
     kept = persisted(small)
-    return kept, kept.count() <= max_rows
+    rows, size = kept.agg(F.count(F.lit(1)), F.sum(_row_bytes(small.schema))).first()
+    return kept, rows <= max_rows and (size or 0) <= BROADCAST_MAX_BYTES
 
 
 def sized_broadcast(small: DataFrame, max_rows: int | None = None,
@@ -91,6 +91,8 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
     to broadcast.  Without it (a lookup table), the rows per key are counted
     on the data side in that case."""
     keys = list(keys)
+    # a statistic that the rows already carry is replaced
+    df = df.drop(*[c for c in stats.columns if c in df.columns and c not in keys and c != rows_col])
     renamed = {k: f"__k_{i}" for i, k in enumerate(keys)}
     if rows_col is not None:
         renamed[rows_col] = "__attach_rows"

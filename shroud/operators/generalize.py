@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shroud.functions.columns import canonical_int, to_double, to_int, weight_col
+from shroud.functions.columns import canonical_int, number_text, to_double, to_int, weight_col
 from shroud.functions.joins import attach
 from shroud.session import persisted
 
@@ -107,7 +107,7 @@ def generalize_numeric(df: DataFrame, column: str, bw: int = 5, low: int | None
         means = (table.filter(F.col(di).isNotNull()).groupBy(di)
                  .agg((F.sum(x * F.col("__n")) / F.sum(F.when(x.isNotNull(), F.col("__n"))))
                       .alias("__mean"))
-                 .select(F.col(di).alias("__bin"), F.round("__mean", 2).cast("string").alias(avg)))
+                 .select(F.col(di).alias("__bin"), number_text("__mean").alias(avg)))
         table = table.join(means, table[di] == means["__bin"], "left").drop("__bin")
         cols.append(avg)
     mapping = table.select(F.col(column).alias("__value"), *[F.col(k).alias(f"__{k}") for k in cols[1:]],

@@ -71,12 +71,12 @@ def k_anonymity_path(df: DataFrame, k: int, core: Sequence[str], optional: Seque
     per_level = grouped.groupBy(level.alias("level")).agg(
         F.coalesce(F.sum(F.when(F.col("n") < k, F.col("n"))), F.lit(0)).alias("below"),
         F.sum("raw").alias("rows"))
-    added = F.create_map(*[x for j, v in enumerate(["core"] + optional)
-                           for x in (F.lit(j), F.lit(v))])
-    return per_level.select(
-        "level", F.try_element_at(added, F.col("level")).alias("added_variable"),
-        (F.col("below") == 0).alias("k_anonymous"),
-        r6(F.col("below") / F.col("rows")).alias("suppress_fraction"))
+    # one row for each level asked for; a scope without rows needs no suppression
+    asked = df.sparkSession.createDataFrame(list(enumerate(["core"] + optional)), "level int, added_variable string")
+    below = F.coalesce("below", F.lit(0))
+    return asked.join(F.broadcast(per_level), "level", "left").select(
+        "level", "added_variable", (below == 0).alias("k_anonymous"),
+        r6(F.coalesce(below / F.col("rows"), F.lit(0.0))).alias("suppress_fraction"))
 
 
 # K4 -------------------------------------------------------------------------

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shroud.functions.columns import concat_key, r6, to_double, to_int, weight_col
+from shroud.functions.columns import concat_key, number_text, r6, to_double, to_int, weight_col
 from shroud.functions.entropy import entropy_agg
 from shroud.functions.joins import attach
 
@@ -38,10 +38,13 @@ def total_records(df: DataFrame, weight: str | None = "Count") -> DataFrame:
 
 # A3 / A4 --------------------------------------------------------------------
 def value_shares(df: DataFrame, columns: Sequence[str], weight: str | None = "Count") -> DataFrame:
-    """(variable, value, n, share) for each value of each column; one scan."""
-    total = df.agg(F.sum(weight_col(df, weight))).scalar()
+    """(variable, value, n, share) for each value of each column; one scan (the
+    totals come from the counts, whose exchange is reused)."""
     counts = _pairs(df, columns, weight).groupBy("variable", "value").agg(F.sum("w").alias("n"))
-    return counts.select("variable", "value", "n", r6(F.col("n") / total).alias("share"))
+    totals = counts.groupBy("variable").agg(F.sum("n").alias("__total"))
+    # one row for each of the columns asked for
+    return counts.join(F.broadcast(totals), "variable").select(
+        "variable", "value", "n", r6(F.col("n") / F.col("__total")).alias("share"))
 
 
 def gender_shares(df: DataFrame, column: str = "gender", exclude: Sequence[str] = ("", "NA", "o"),
@@ -52,22 +55,18 @@ def gender_shares(df: DataFrame, column: str = "gender", exclude: Sequence[str]
     off the total only once visited, in SQLite's order (NULL first, then text
     order), so a value is divided by total minus the excluded values before it.
     """
-    w = weight_col(df, weight)
-    c = F.col(column)
-    ex_terms = [F.sum(F.when(c == e, w)) for e in exclude]
-    total = F.sum(w)
     counts = value_counts(df, column, weight)
+    excluded = F.coalesce(F.col(column).isin(*exclude), F.lit(False))
+    kept = counts.filter(~excluded)
     if not as_written:
-        denom = df.agg(total - sum((F.coalesce(t, F.lit(0)) for t in ex_terms), F.lit(0))).scalar()
-        kept = counts.filter(~F.coalesce(F.col(column).isin(*exclude), F.lit(False)))
+        denom = counts.agg(F.sum(F.when(~excluded, F.col("n")))).scalar()
         return kept.select(column, "n", r6(F.col("n") / denom).alias("share"))
-    totals = df.agg(total.alias("__t"), *[F.coalesce(t, F.lit(0)).alias(f"__e{i}")
-                                          for i, t in enumerate(ex_terms)]).first()
-    kept = counts.filter(~F.coalesce(F.col(column).isin(*exclude), F.lit(False)))
-    denom = F.lit(totals["__t"])
-    for i, e in enumerate(exclude):
+    # every total is read from the counts, whose exchange is reused
+    denom = counts.agg(F.sum("n")).scalar()
+    for e in exclude:
         before = F.col(column).isNotNull() & (F.col(column) > F.lit(e))
-        denom = denom - F.when(before, F.lit(totals[f"__e{i}"])).otherwise(F.lit(0))
+        share = counts.agg(F.coalesce(F.sum(F.when(F.col(column) == e, F.col("n"))), F.lit(0))).scalar()
+        denom = denom - F.when(before, share).otherwise(F.lit(0))
     return kept.select(column, "n", r6(F.col("n") / denom).alias("share"))
 
 
@@ -90,8 +89,11 @@ def entropy(df: DataFrame, columns: Sequence[str], weight: str | None = "Count",
 
 def table_entropy(df: DataFrame, columns: Sequence[str], weight: str | None = "Count",
                   base: float = 2.0, sep: str | None = "") -> DataFrame:
-    """Entropy of the whole-row key over ``columns`` (one row)."""
-    key = concat_key(list(columns), sep)
+    """Entropy of the whole-row key over ``columns`` (one row).
+
+    Rows are grouped on the SHA-256 of the key, so the shuffle carries 32
+    bytes for each distinct row and not the text of all columns."""
+    key = F.unhex(F.sha2(concat_key(list(columns), sep).cast("binary"), 256))
     counts = df.groupBy(key.alias("__row")).agg(F.sum(weight_col(df, weight)).alias("n"))
     return counts.agg(entropy_agg("n", base).alias("entropy"))
 
@@ -144,12 +146,15 @@ def utility_matrix(df: DataFrame, columns: Sequence[str], weight: str | None = "
     m = per_value.groupBy("variable", "pos").agg(
         entropy_agg("n", base).alias("entropy"),
         F.sum(F.when(x.isNotNull(), F.col("raw"))).alias("cnt"),
-        F.sum(x * F.col("raw")).alias("s1"),
-        F.sum(x * x * F.col("raw")).alias("s2"))
-    mean = F.col("s1") / F.col("cnt")
-    var = F.greatest(F.col("s2") / F.col("cnt") - mean * mean, F.lit(0.0))
-    return m.select("variable", r6("entropy").alias("entropy"), r6(mean).alias("mean"),
-                    r6(F.sqrt(var)).alias("sd"))
+        (F.sum(x * F.col("raw")) / F.sum(F.when(x.isNotNull(), F.col("raw")))).alias("mean"))
+    # deviations from the mean itself: no cancellation on large values; one
+    # row for each column asked for is broadcast
+    around = per_value.join(F.broadcast(m.select("variable", "mean")), "variable")
+    squares = around.groupBy("variable").agg(
+        F.sum((x - F.col("mean")) * (x - F.col("mean")) * F.col("raw")).alias("s2"))
+    return m.join(F.broadcast(squares), "variable").select(
+        "variable", r6("entropy").alias("entropy"), r6("mean").alias("mean"),
+        r6(F.sqrt(F.col("s2") / F.col("cnt"))).alias("sd"))
 
 
 def utility_diff(after: DataFrame, before: DataFrame) -> DataFrame:
@@ -169,6 +174,6 @@ def bin_average(df: DataFrame, bin_column: str, value_column: str, out: str | No
     out = out or f"{bin_column}_avg"
     x = to_double(value_column)
     stats = df.groupBy(bin_column).agg(
-        F.round(F.avg(x), 2).cast("string").alias("__avg"), F.count(F.lit(1)).alias("__rows"))
+        number_text(F.avg(x)).alias("__avg"), F.count(F.lit(1)).alias("__rows"))
     joined = attach(df, stats.filter(F.col(bin_column).isNotNull()), [bin_column], rows_col="__rows")
     return joined.withColumn(out, F.col("__avg")).drop("__avg")

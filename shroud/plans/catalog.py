@@ -40,6 +40,7 @@ UTILITY_COLS = ["nforum_posts", "grade", "YoB", "nevents", "nchapters", "ndays_a
 PERPLEXITY_COLS = ["country", "gender", "LoE", "YoB", "course_id"]
 COUNTRY_TH = 250
 K4_K = 112
+EXPORT_K = 10
 
 
 def _pc(spark: SparkSession, sf: str) -> DataFrame:
@@ -49,7 +50,7 @@ def _pc(spark: SparkSession, sf: str) -> DataFrame:
 # sources --------------------------------------------------------------------
 def q_load_source(spark, sf):
     path = scratch_path(spark, "csv")
-    _pc(spark, sf).write.option("header", True).option("escape", '"').csv(path)
+    S.write_csv(_pc(spark, sf), path)
     return S.load_source(spark, path)
 
 
@@ -62,6 +63,33 @@ def q_export_view(spark, sf):
     return S.export_view(flagged, ["course_id", "country", "gender", "LoE"])
 
 
+def q_export_csv(spark, sf):
+    """Texts with newlines, blanks and quotes, written for release and read back."""
+    docs = table(spark, sf, "documents").select(F.col("doc_id").cast("string").alias("doc_id"), "text", "lang", "source")
+    path = scratch_path(spark, "export")
+    S.export_csv(K.flag_k(docs, ["lang", "source"], EXPORT_K), ["doc_id", "text", "lang"], path)
+    return S.load_source(spark, path).select("doc_id", "text", "lang")
+
+
+def q_utility_large_values(spark, sf):
+    orders = table(spark, sf, "orders").select(
+        (F.col("o_orderkey") + F.lit(1_000_000_000)).cast("string").alias("far"),
+        (F.col("o_custkey") % 10 + F.lit(1_000_000_000)).cast("string").alias("far_narrow"))
+    return A.utility_matrix(orders, ["far", "far_narrow"])
+
+
+def q_bin_average_large_values(spark, sf):
+    orders = table(spark, sf, "orders").select(
+        "o_orderkey", "o_orderpriority", (F.col("o_custkey") * 12_345 + F.lit(0.25)).cast("string").alias("amount"))
+    return A.bin_average(orders, "o_orderpriority", "amount").select(
+        "o_orderkey", "o_orderpriority", "o_orderpriority_avg")
+
+
+def q_k_anonymity_path_cleared(spark, sf):
+    pc = _pc(spark, sf).withColumn("kCheckFlag", F.lit("True"))
+    return K.k_anonymity_path(pc, K_ROWS, ["continent", "gender"], ["LoE"])
+
+
 # projections, recodes, filters ---------------------------------------------
 def q_set_constant(spark, sf):
     df = _pc(spark, sf).select("user_id", "course_id")
@@ -304,7 +332,7 @@ def q_l_diversity(spark, sf):
 def q_l_diversity_docs(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "lang", "source")
     labels = table(spark, sf, "labels").select("doc_id", "toxic")
-    df = K.l_diversity(docs.join(labels, "doc_id"), ["lang", "source"], "toxic", l=2)
+    df = K.l_diversity(docs.join(labels, "doc_id", "left"), ["lang", "source"], "toxic", l=2)
     return df.select("doc_id", "kkey", "toxic")
 
 
@@ -366,7 +394,8 @@ def _release_config() -> ReleaseConfig:
 
 
 def _stage_config() -> ReleaseConfig:
-    return ReleaseConfig(k=3, country_threshold=COUNTRY_TH, posts_high=5, posts_bw=2, yob_bw=5)
+    # the key's text as the reference writes it
+    return ReleaseConfig(k=3, country_threshold=COUNTRY_TH, posts_high=5, posts_bw=2, yob_bw=5, sep="")
 
 
 def q_release_stages(spark, sf):

@@ -8,10 +8,13 @@ are recognised by the same regex guards as the Spark side.
 
 from __future__ import annotations
 
-from shroud.functions.columns import FLOAT_PATTERN, INT_PATTERN
 from shroud.plans import catalog as Q
 from shroud.sources.fixture import PERSON_COURSE_SQL
 
+# Integer and float text, written out here independently of the engine.
+INT_PATTERN = "^[+-]?[0-9]+$"
+FLOAT_PATTERN = "^[+-]?([0-9]+[.]?[0-9]*|[.][0-9]+)([eE][+-]?[0-9]+)?$"
+
 PC = f"pc AS ({PERSON_COURSE_SQL})"
 
 
@@ -153,6 +156,19 @@ def oracle_sql() -> dict[str, str]:
     sql["derive_mapping"] = _with() + "SELECT country, MIN(continent) AS continent FROM pc GROUP BY country"
     sql["export_view"] = _with(*_flagk(Q.QI4, k)) + \
         "SELECT course_id, country, gender, LoE FROM fk WHERE kCheckFlag = 'True'"
+    sql["export_csv"] = _with() + (
+        "SELECT CAST(d.doc_id AS VARCHAR) AS doc_id, COALESCE(d.text, '') AS text, COALESCE(d.lang, '') AS lang "
+        "FROM documents d JOIN (SELECT lang, source, COUNT(*) AS n FROM documents GROUP BY lang, source) g "
+        f"ON d.lang IS NOT DISTINCT FROM g.lang AND d.source IS NOT DISTINCT FROM g.source WHERE g.n >= {Q.EXPORT_K}")
+    big = ("big AS (SELECT CAST(o_orderkey + 1000000000 AS VARCHAR) AS far, "
+           "CAST(o_custkey % 10 + 1000000000 AS VARCHAR) AS far_narrow FROM orders)")
+    sql["utility_large_values"] = _with(big) + _utility(["far", "far_narrow"], "big")
+    sql["bin_average_large_values"] = _with() + (
+        "SELECT o_orderkey, o_orderpriority, CAST(ROUND(AVG(o_custkey * 12345 + 0.25::DOUBLE) "
+        "OVER (PARTITION BY o_orderpriority), 2) AS VARCHAR) AS o_orderpriority_avg FROM orders")
+    sql["k_anonymity_path_cleared"] = _with() + " UNION ALL ".join(
+        f"SELECT CAST({j} AS INTEGER) AS level, '{name}' AS added_variable, TRUE AS k_anonymous, "
+        "CAST(0.0 AS DOUBLE) AS suppress_fraction" for j, name in enumerate(["core", "LoE"]))
     sql["set_constant"] = _with() + "SELECT user_id, course_id, CAST(NULL AS VARCHAR) AS export_flag, 'v1' AS release FROM pc"
     case = "CASE LoE " + " ".join(f"WHEN '{a}' THEN '{b}'" for a, b in Q.RECODE_MAP.items())
     sql["recode"] = _with() + f"SELECT user_id, course_id, {case} ELSE LoE END AS LoE, {case} END AS LoE_new FROM pc"
@@ -163,6 +179,7 @@ def oracle_sql() -> dict[str, str]:
     sql["drop_roles"] = _with() + "SELECT * FROM pc WHERE roles IS NULL OR roles NOT IN ('instructor', 'staff')"
     sql["blank_missing"] = _with() + \
         "SELECT user_id, course_id, gender, CASE WHEN gender = 'NA' THEN '' ELSE gender END AS gender_DI FROM pc"
+    # The education recode
     edu = "CASE LoE " + " ".join(
         "WHEN '{}' THEN '{}'".format(a, b.replace("'", "''")) for a, b in
         [("", ""), ("NA", "NA"), ("a", "Secondary"), ("b", "Bachelor's"), ("el", "Less than Secondary"),
@@ -313,7 +330,7 @@ def oracle_sql() -> dict[str, str]:
     sql["l_diversity"] = _with(*ld) + \
         "SELECT user_id, course_id, lk.kkey, CASE WHEN nd < 2 THEN ' ' ELSE grade END AS grade FROM lk JOIN ls ON lk.kkey = ls.kkey"
     ldd = [f"dk AS (SELECT d.doc_id, {_key(['lang', 'source'])} AS kkey, CAST(l.toxic AS VARCHAR) AS toxic "
-           "FROM documents d JOIN labels l ON d.doc_id = l.doc_id)",
+           "FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)",
            "ds AS (SELECT kkey, COUNT(DISTINCT toxic) + MAX(CASE WHEN toxic IS NULL THEN 1 ELSE 0 END) AS nd FROM dk GROUP BY kkey)"]
     sql["l_diversity_docs"] = _with(*ldd) + \
         "SELECT doc_id, dk.kkey, CASE WHEN nd < 2 THEN ' ' ELSE toxic END AS toxic FROM dk JOIN ds ON dk.kkey = ds.kkey"

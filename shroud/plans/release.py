@@ -19,7 +19,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shroud.functions.columns import r6
+from shroud.functions.columns import EXACT, concat_key, r6
 from shroud.operators import generalize as G
 from shroud.operators import kanon as K
 from shroud.operators import transforms as P
@@ -57,11 +57,23 @@ class ReleaseConfig:
     strategy: str = "multi"
     max_comb: int = 1
     as_written: bool = False
+    nevents: str = "nevents"
+    nchapters: str = "nchapters"
+    ndays_act: str = "ndays_act"
+    sep: str | None = EXACT  # release key: exact, or '' as the reference writes it
     export_columns: tuple | None = None
     null_check_qis: tuple | None = None  # K4 before the k reading (the notebook's iterKcheck)
     entropy_columns: tuple | None = None
     utility_columns: tuple | None = None
 
+    def key_sep(self) -> str | None:
+        return "" if self.as_written else self.sep
+
+    def incomplete(self) -> dict:
+        """Arguments of ``incomplete_flag`` and ``incomplete_counts``."""
+        return {"nevents": self.nevents, "nchapters": self.nchapters, "nforum_posts": self.posts,
+                "ndays_act": self.ndays_act, "zero_values": ("0",) if self.as_written else ("0", "zero")}
+
     def release_qis(self) -> list[str]:
         return [self.course, f"{self.country}_DI", f"{self.gender}_DI", f"{self.loe}_DI",
                 f"{self.posts}_DI", f"{self.yob}_DI"]
@@ -87,7 +99,8 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
     ``null_check_qis`` is set; then also ``null_check``) and
     ``incomplete_counts``."""
     cfg = cfg or ReleaseConfig()
-    original = df
+    # the untouched copy loses its staff too before any utility is measured
+    original = P.drop_roles(df, cfg.roles) if cfg.roles in df.columns else df
     ent_cols = list(cfg.entropy_columns or df.columns)
     util_cols = [c for c in (cfg.utility_columns or (cfg.posts, cfg.yob, cfg.sensitive)) if c in df.columns]
     for c in cfg.date_columns:
@@ -106,16 +119,16 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
     readings["perplexity_change"] = A.perplexity_change(entering, df, ent_cols)
 
     readings["incomplete_counts"] = P.incomplete_counts(
-        P.mark_value(df, cfg.posts, "0", "zero") if cfg.posts in df.columns else df)
+        P.mark_value(df, cfg.posts, "0", "zero") if cfg.posts in df.columns else df, **cfg.incomplete())
     df = materialize(generalize_stage(df, cfg), "release-generalized")
     if cfg.null_check_qis:
         # K4 clears partly missing rows; the reading then covers the rows not
         # cleared (K5 below decides the release on its own, as in the notebook)
         checked = K.iter_k_check(df, list(cfg.null_check_qis), cfg.k)
         readings["null_check"] = checked.groupBy("nullSum", "kCheckFlag").agg(F.count(F.lit(1)).alias("rows"))
-        readings["k_generalized"] = K.k_anonymity(checked, cfg.k, qis=cfg.release_qis())
+        readings["k_generalized"] = K.k_anonymity(checked, cfg.k, qis=cfg.release_qis(), sep=cfg.key_sep())
     else:
-        readings["k_generalized"] = K.k_anonymity(df, cfg.k, qis=cfg.release_qis(), flag=None)
+        readings["k_generalized"] = K.k_anonymity(df, cfg.k, qis=cfg.release_qis(), flag=None, sep=cfg.key_sep())
     df = release_stage(df, cfg)
     export_cols = list(cfg.export_columns or (
         ["userid_DI"] + cfg.release_qis() + [cfg.sensitive, "incomplete_flag"]))
@@ -141,13 +154,13 @@ def generalize_stage(df: DataFrame, cfg: ReleaseConfig) -> DataFrame:
         # the notebook blanks the sensitive value on an intermediate key
         df = K.l_diversity(df, [f"{cfg.country}_DI", f"{cfg.gender}_DI", f"{cfg.loe}_DI",
                                 f"{cfg.posts}_DI", f"{cfg.yob}_DI"], cfg.sensitive, cfg.l)
-    return P.incomplete_flag(df)
+    return P.incomplete_flag(df, **cfg.incomplete())
 
 
 def release_stage(df: DataFrame, cfg: ReleaseConfig) -> DataFrame:
     """Final key over the release QIs, flag and delete rows below k, then
     blank the sensitive value in groups that are not l-diverse."""
-    df = K.flag_k(df, cfg.release_qis(), cfg.k)
+    df = K.flag_k(df, cfg.release_qis(), cfg.k, sep=cfg.key_sep())
     df = P.suppress_below_k(df)
     if not cfg.as_written:
         df = K.l_diversity(df, "kkey", cfg.sensitive, cfg.l)
@@ -157,7 +170,10 @@ def release_stage(df: DataFrame, cfg: ReleaseConfig) -> DataFrame:
 def release_report(original: DataFrame, released: DataFrame, cfg: ReleaseConfig | None = None,
                    flags: tuple = ("viewed", "explored", "certified")) -> DataFrame:
     """(measure, original, released) for totals, flag shares, gender shares,
-    mean age; plus re-measured k-anonymity and uniform groups of the release."""
+    mean age, the utility matrix (staff left out of the original there) and the
+    share of users with a rare course set; plus re-measured k-anonymity and
+    uniform groups of the release.  Totals and shares of the original are those
+    of the table as given, staff included."""
     cfg = cfg or ReleaseConfig()
 
     def measures(df: DataFrame) -> DataFrame:
@@ -169,7 +185,7 @@ def release_report(original: DataFrame, released: DataFrame, cfg: ReleaseConfig
                 F.concat(F.lit("share:"), "variable", F.lit("="), F.coalesce("value", F.lit("NULL"))).alias("measure"),
                 F.col("share").alias("value")))
         if cfg.gender in df.columns:
-            parts.append(A.gender_shares(df, cfg.gender).select(
+            parts.append(A.gender_shares(df, cfg.gender, as_written=cfg.as_written).select(
                 F.concat(F.lit("gender:"), F.coalesce(cfg.gender, F.lit("NULL"))).alias("measure"),
                 F.col("share").alias("value")))
         if cfg.yob in df.columns:
@@ -180,20 +196,45 @@ def release_report(original: DataFrame, released: DataFrame, cfg: ReleaseConfig
             out = out.unionByName(p)
         return out
 
-    a = measures(original).withColumnRenamed("value", "original")
-    b = measures(released).withColumnRenamed("value", "released")
+    util_cols = [c for c in (cfg.utility_columns or (cfg.posts, cfg.yob, cfg.sensitive))
+                 if c in original.columns and c in released.columns]
+
+    def utility(df: DataFrame) -> DataFrame:
+        if cfg.roles in df.columns:
+            df = P.drop_roles(df, cfg.roles)
+        parts = [F.struct(F.concat(F.lit(f"{name}:"), "variable").alias("measure"), F.col(name).alias("value"))
+                 for name in ("entropy", "mean", "sd")]
+        return A.utility_matrix(df, util_cols).select(F.inline(F.array(*parts)))
+
+    def unique_share(df: DataFrame) -> DataFrame:
+        combos = U.with_course_combo(df.select(cfg.user, cfg.course), cfg.user, cfg.course)
+        return U.unique_user_share(combos, cfg.user, cfg.k).select(
+            F.lit("unique_user_share").alias("measure"), F.col("unique_share").alias("value"))
+
+    def all_measures(df: DataFrame) -> DataFrame:
+        out = measures(df)
+        if util_cols:
+            out = out.unionByName(utility(df))
+        if {cfg.user, cfg.course} <= set(original.columns) & set(released.columns):
+            out = out.unionByName(unique_share(df))
+        return out
+
+    a = all_measures(original).withColumnRenamed("value", "original")
+    b = all_measures(released).withColumnRenamed("value", "released")
     base = a.join(b, "measure", "full_outer")
     qis = [c for c in cfg.release_qis() if c in released.columns]
     extra = []
     if qis:
-        ka = K.k_anonymity(released, cfg.k, qis=qis, flag=None)
+        ka = K.k_anonymity(released, cfg.k, qis=qis, flag=None, sep=cfg.key_sep())
         extra.append(ka.select(F.lit("release:suppress_fraction").alias("measure"),
                                F.lit(None).cast("double").alias("original"),
                                F.col("suppress_fraction").alias("released")))
         if cfg.sensitive in released.columns:
-            keyed = released.withColumn("__key", F.concat_ws("", *[F.coalesce(F.col(q), F.lit("NULL")) for q in qis]))
-            uniform = (keyed.groupBy("__key").agg(F.count_distinct(cfg.sensitive).alias("nd"),
-                                                  F.max(F.col(cfg.sensitive) == " ").alias("blank"))
+            # distinct values per group as in the l-diversity step: NULL is one of them
+            values = released.groupBy(concat_key(qis, cfg.key_sep()).alias("__key"),
+                                      F.col(cfg.sensitive).alias("__v")).agg(F.count(F.lit(1)).alias("__r"))
+            uniform = (values.groupBy("__key").agg(F.count(F.lit(1)).alias("nd"),
+                                                   F.max(F.col("__v") == " ").alias("blank"))
                        .agg(F.count(F.when((F.col("nd") < cfg.l) & ~F.coalesce("blank", F.lit(False)), 1))
                             .cast("double").alias("released")))
             extra.append(uniform.select(F.lit("release:uniform_groups_shown").alias("measure"),

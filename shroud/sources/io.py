@@ -25,13 +25,15 @@ def from_table(df: DataFrame, weight: str = "Count", key: str = "kkey") -> DataF
 
 
 def load_source(spark: SparkSession, path: str, weight: str = "Count",
-                key: str = "kkey", multi_line: bool = False) -> DataFrame:
+                key: str = "kkey", multi_line: bool = True) -> DataFrame:
     """Read a CSV file (or folder of part files) as an all-text table.
 
-    Files are split across tasks.  ``multi_line=True`` accepts quoted
-    newlines, but then each file is read by one task: give such input as many
-    files.  A record broken by an unexpected newline fails the load (ragged
-    row) instead of being read wrongly."""
+    Quoted fields may hold newlines; each file is then read by one task, so
+    give large input as many files.  ``multi_line=False`` splits files across
+    tasks, for input known to have no quoted newlines.  Every record is parsed
+    in full and every file's header is compared with the first one's, whatever
+    columns a query needs: a ragged record or another order of columns fails
+    the load instead of being read wrongly."""
     raw = (
         spark.read.option("header", True)
         .option("inferSchema", False)
@@ -40,6 +42,8 @@ def load_source(spark: SparkSession, path: str, weight: str = "Count",
         .option("emptyValue", "")
         .option("nullValue", "\u0000")
         .option("mode", "FAILFAST")
+        .option("columnPruning", False)
+        .option("enforceSchema", False)
         .csv(path)
     )
     # Unquoted empty fields still read as NULL; the reference keeps them as ''.
@@ -74,6 +78,12 @@ def export_view(df: DataFrame, columns: Sequence[str], flag: str = "kCheckFlag",
 
 def export_csv(df: DataFrame, columns: Sequence[str], path: str, flag: str = "kCheckFlag",
                direct_identifiers: Sequence[str] = ("user_id",)) -> None:
-    """Distributed CSV write (one part file per partition) with header."""
-    (export_view(df, columns, flag, direct_identifiers)
-     .write.mode("overwrite").option("header", True).option("escape", '"').csv(path))
+    """Distributed CSV write (one part file per partition) with header; values
+    are written as they are, leading and trailing blanks included."""
+    write_csv(export_view(df, columns, flag, direct_identifiers), path)
+
+
+def write_csv(df: DataFrame, path: str) -> None:
+    """CSV with header that ``load_source`` reads back value for value."""
+    (df.write.mode("overwrite").option("header", True).option("escape", '"')
+     .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False).csv(path))

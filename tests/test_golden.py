@@ -314,3 +314,47 @@ def test_grain_size_values_and_empty(spark):
     assert rows(A.pick_next_to_generalize(df, ["g", "h"])) == [("g", 0.75)]
     empty = df.filter("g = 'none'")
     assert rows(A.grain_size(empty, ["g", "h"]), "variable", "grain_size") == [("g", None), ("h", None)]
+
+
+def test_pruned_reads_see_broken_records(spark, tmp_path):
+    (tmp_path / "ragged.csv").write_text("a,b,c\n1,2\n1,2,3,4\n")
+    ragged = S.load_source(spark, str(tmp_path / "ragged.csv"))
+    for read in (lambda: ragged.groupBy("a").count().collect(), lambda: ragged.select("c").collect()):
+        with pytest.raises(Exception):
+            read()
+    (tmp_path / "quoted.csv").write_text('a,b\n"x\ny",1\n')
+    assert [r.a for r in S.load_source(spark, str(tmp_path / "quoted.csv")).select("a").collect()] == ["x\ny"]
+
+
+def test_files_with_another_header_order_fail(spark, tmp_path):
+    folder = tmp_path / "mixed"
+    folder.mkdir()
+    (folder / "p1.csv").write_text("a,b\n1,2\n")
+    (folder / "p2.csv").write_text("b,a\n20,10\n")
+    with pytest.raises(Exception):
+        S.load_source(spark, str(folder)).collect()
+
+
+def test_export_keeps_blanks(spark, tmp_path):
+    df = spark.createDataFrame([(" ", " x ", "True"), ('q"q', "a\nb", "True"), ("no", "no", "False")],
+                               "g string, v string, kCheckFlag string")
+    path = str(tmp_path / "out")
+    S.export_csv(df, ["g", "v"], path)
+    assert sorted((r.g, r.v) for r in S.load_source(spark, path).collect()) == [(" ", " x "), ('q"q', "a\nb")]
+
+
+def test_long_strings_are_not_broadcast(spark, monkeypatch):
+    from shroud.functions import joins
+
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 1_000_000)
+    small = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 20_000).alias("bits"))
+    assert not joins._measured(small, None, None)[1]
+    assert joins._measured(small.select("id"), None, None)[1]
+
+
+def test_course_combo_twice_overwrites(spark):
+    df = spark.createDataFrame([("u1", "a"), ("u1", "b"), ("u2", "a")], "user_id string, course_id string")
+    once = U.with_course_combo(df, "user_id", "course_id")
+    twice = U.with_course_combo(once, "user_id", "course_id")
+    assert twice.columns == once.columns
+    assert sorted(map(tuple, twice.collect())) == sorted(map(tuple, once.collect()))
