@@ -172,15 +172,17 @@ def with_contained_items(docs: DataFrame, items: DataFrame, hits_name: str, text
         def batches(parts: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
             index = ItemIndex(block, words, containment)
             for part in parts:
+                at = part.schema.get_field_index(hits_name)
+                kind = part.schema.field(at).type
+                schema = part.schema.set(at, pa.field(hits_name, kind))  # the same for every batch
                 for some in slices(part, text_col, SLICE_BYTES):
-                    at = some.schema.get_field_index(hits_name)
                     found = index.search(some.column(text_col).to_pylist())
+                    columns = list(some.columns)
                     if any(found):
-                        before = some.column(at).to_pylist()
                         lists = [b + [{"item_id": i, "containment": c} for i, c in f]
-                                 for b, f in zip(before, found, strict=True)]
-                        some = some.set_column(at, hits_name, pa.array(lists, some.schema.field(at).type))
-                    yield some
+                                 for b, f in zip(columns[at].to_pylist(), found, strict=True)]
+                        columns[at] = pa.array(lists, kind)
+                    yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
         out = out.mapInArrow(batches, out.schema)
     return out

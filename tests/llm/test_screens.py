@@ -56,6 +56,7 @@ def items_frame(spark, items):
 @pytest.mark.parametrize("block_bytes", [16_000_000, 9000])
 def test_contained_items_are_brute_force(spark, monkeypatch, block_bytes):
     monkeypatch.setattr(decontaminate, "ITEM_BLOCK_BYTES", block_bytes)
+    monkeypatch.setattr(decontaminate, "SLICE_BYTES", 20_000)  # slices with and without hits
     rows, items = planted()
     items += [(70, None), (71, "four words are few"), (72, ""), (3, items[3][1])]
     got = contaminated_documents(documents(spark, rows), items_frame(spark, items)).collect()
