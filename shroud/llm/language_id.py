@@ -157,7 +157,14 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     span = F.greatest(F.length("text") - F.lit(WINDOW), F.lit(0)) + 1
     begin = F.pmod(F.shiftright("mix", 20), span).cast("int") + 1
     drawn = known.select("mix", "lang", F.substring(F.col("text"), begin, F.lit(WINDOW)).alias("text"))
-    rows = drawn.orderBy("mix", "lang", "text").limit(sample_rows).collect()
+    # the smallest hashes lie below a bound that about four times as many rows
+    # reach, so tasks only send those; repeated ids may make the bound miss
+    total = docs.filter(F.col(lang_col).isNotNull()).count()
+    bound = int(-(1 << 63) + min(1.0, 4 * sample_rows / max(total, 1)) * ((1 << 64) - 1))
+    first = drawn.orderBy("mix", "lang", "text").limit(sample_rows)
+    rows = drawn.filter(F.col("mix") <= min(bound, (1 << 63) - 1)).orderBy("mix", "lang", "text").limit(sample_rows).collect()
+    if len(rows) < sample_rows < total:
+        rows = first.collect()
     if not rows:
         return None
     languages = sorted({r.lang for r in rows})
