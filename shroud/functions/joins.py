@@ -4,11 +4,12 @@ A group statistic (group size, distinct count, bin mean, ...) is computed with
 ``groupBy().agg()`` (map-side partial aggregation absorbs hot keys) and joined
 back to the rows.  The statistic table is broadcast only when its size is
 proven small: bounded by construction, or measured on the table (computed
-once, kept, counted).  Beyond the bound the join shuffles; when the statistic
-carries each group's row count, keys that hold many rows are split off: their
-values come from a broadcast table (at most ``MAX_HOT_KEYS`` keys, a proven
-bound) and their rows, exact copies included, are spread over
-``SALT_BUCKETS`` partitions of the shuffle join, where they match nothing.  A window over the group key would
+once, kept, counted).  Beyond the bound the join shuffles; a key with more than
+``TASK_ROWS`` rows is split by its own size: the key gets one salt for every
+``TASK_ROWS`` rows, its statistic is copied to each salt, and its rows, exact
+copies included, are spread over them.  The salts per key are broadcast as
+(64-bit key hash, salts), of which there are at most ``MAX_HOT_KEYS`` by
+construction.  A window over the group key would
 instead put a whole hot group into one task.
 """
 
@@ -28,10 +29,11 @@ from shroud.session import persisted
 # it must stay far below driver and executor memory.
 BROADCAST_MAX_ROWS = 2_000_000
 BROADCAST_MAX_BYTES = 256 * 1024 * 1024
-# Hot keys: more than max(HOT_MIN_ROWS, total / MAX_HOT_KEYS) rows.
-MAX_HOT_KEYS = 10_000
-HOT_MIN_ROWS = 1_000_000
-SALT_BUCKETS = 64
+# Rows of one key that a task should get; a key with more is split.
+TASK_ROWS = 1_000_000
+# Split keys (16 bytes each in the broadcast).  At most total / TASK_ROWS keys
+# can have more than TASK_ROWS rows, so this binds beyond 2 * 10^12 rows only.
+MAX_HOT_KEYS = 2_000_000
 
 
 def _row_bytes(schema: T.StructType) -> F.Column:
@@ -48,7 +50,7 @@ def _row_bytes(schema: T.StructType) -> F.Column:
     return size.cast("long")
 
 
-def _measured(small: DataFrame, max_rows: int, known_max_rows: int | None) -> tuple[DataFrame, bool]:
+def measured(small: DataFrame, max_rows: int | None = None, known_max_rows: int | None = None) -> tuple[DataFrame, bool]:
     """(table, fits): ``fits`` when the row count is proven within the bounds."""
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     if known_max_rows is not None and known_max_rows <= max_rows:
@@ -69,7 +71,7 @@ def sized_broadcast(small: DataFrame, max_rows: int | None = None,
     shuffles and still reads the kept table, so the statistic is never
     computed twice.
     """
-    table, fits = _measured(small, max_rows, known_max_rows)
+    table, fits = measured(small, max_rows, known_max_rows)
     return F.broadcast(table) if fits else table
 
 
@@ -99,7 +101,7 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
     side = stats.select([F.col(c).alias(renamed.get(c, c)) for c in stats.columns])
     values = [c for c in stats.columns if c not in renamed]
     rows_col = renamed.get(rows_col) if rows_col is not None else None
-    side, fits = _measured(side, max_rows, known_max_rows)
+    side, fits = measured(side, max_rows, known_max_rows)
     pairs = [(k, renamed[k]) for k in keys]
     if fits or how != "left":
         side = F.broadcast(side) if fits else side
@@ -114,21 +116,21 @@ def attach(df: DataFrame, stats: DataFrame, keys: Sequence[str], how: str = "lef
         side = side.join(per_key, [renamed[k] for k in keys], "left").fillna(0, subset=[rows_col])
         side = persisted(side)
     total = side.agg(F.sum(rows_col)).first()[0] or 0
-    threshold = max(HOT_MIN_ROWS, math.ceil(total / MAX_HOT_KEYS))
-    hot = side.filter(F.col(rows_col) > threshold).select(
-        *[F.col(renamed[k]).alias(f"__h{renamed[k]}") for k in keys],
-        *[F.col(c).alias(f"__hot_{c}") for c in values], F.lit(True).alias("__hot"))
-    hot = F.broadcast(hot)  # at most MAX_HOT_KEYS rows: total / threshold
-    j1 = df.join(hot, _null_safe(df, hot, [(k, f"__h{renamed[k]}") for k in keys]), "left")
-    j1 = j1.drop(*[f"__h{renamed[k]}" for k in keys])
+    threshold = max(TASK_ROWS, math.ceil(total / MAX_HOT_KEYS))
+    side_hash = F.xxhash64(*[F.col(renamed[k]) for k in keys])
+    hot = (side.filter(F.col(rows_col) > threshold).groupBy(side_hash.alias("__hot_key"))
+           .agg(F.ceil(F.max(rows_col) / TASK_ROWS).cast("int").alias("__salts")))
+    hot = F.broadcast(hot)  # at most total / threshold <= MAX_HOT_KEYS rows
+    types = {f.name: f.dataType for f in side.schema.fields}
+    row_hash = F.xxhash64(*[F.col(k).cast(types[renamed[k]]) for k in keys])
     # content hash plus input partition: exact copies of a row are spread too
-    # (the salt only places rows that match nothing, so results do not depend on it)
-    spread = F.pmod(F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns]),
-                    F.lit(SALT_BUCKETS)) + 1
-    j1 = j1.withColumn("__salt", F.when(F.col("__hot"), spread).otherwise(F.lit(0)))
-    rest = (side.filter(F.col(rows_col) <= threshold).drop(rows_col)
-            .withColumn("__salt_r", F.lit(0).cast("bigint")))
-    cond = _null_safe(j1, rest, pairs) & (j1["__salt"] == rest["__salt_r"])
-    out = j1.join(rest, cond, "left")
-    out = out.select(*df.columns, *[F.coalesce(F.col(f"__hot_{c}"), F.col(c)).alias(c) for c in values])
-    return out
+    spread = F.xxhash64(F.spark_partition_id(), *[F.col(c) for c in df.columns])
+    salted = df.withColumn("__row_hash", row_hash).join(hot, F.col("__row_hash") == F.col("__hot_key"), "left")
+    salted = salted.withColumn("__salt", F.coalesce(F.pmod(spread, F.col("__salts")), F.lit(0)).cast("int"))
+    salted = salted.select(*df.columns, "__salt")
+    # every salt of a key meets one copy of its statistic: results don't depend on the salt
+    copies = side.withColumn("__side_hash", side_hash).join(hot, F.col("__side_hash") == F.col("__hot_key"), "left")
+    copies = copies.select(*[renamed[k] for k in keys], *values, F.explode(
+        F.sequence(F.lit(0), F.coalesce("__salts", F.lit(1)) - 1)).alias("__salt_r"))
+    cond = _null_safe(salted, copies, pairs) & (salted["__salt"] == copies["__salt_r"])
+    return salted.join(copies, cond, "left").select(*df.columns, *values)

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from shroud.functions.columns import concat_key, missing_flag, to_double, weight_col
 from shroud.functions.joins import attach
 
-# Maps up to this many entries become a literal map expression (no join).
-LITERAL_MAP_MAX = 1000
+# A dict of so many characters is broadcast unmeasured (at most a few MB).
+LOCAL_MAP_CHARS = 1_000_000
 
 # Level-of-education recode.
 EDUCATION_MAP = {
@@ -48,27 +48,16 @@ def recode(df: DataFrame, column: str, mapping: Mapping[str, str | None] | DataF
     """Apply an old->new value map, all keys at once (no chaining).
 
     In place (``new_column=None``): unmatched values are kept.  Into a new
-    column: unmatched rows get NULL.  A dict of up to ``LITERAL_MAP_MAX``
-    entries becomes a literal map lookup; a larger map (or a 2-column
-    DataFrame) is joined, broadcast only behind a size check.
+    column: unmatched rows get NULL.  A dict or a 2-column DataFrame is joined,
+    broadcast only behind a size check.
     """
     target = new_column or column
-    if isinstance(mapping, Mapping):
-        mapping = {k: v for k, v in mapping.items() if k is not None}
-    if isinstance(mapping, Mapping) and len(mapping) <= LITERAL_MAP_MAX:
-        mapped = F.try_element_at(_map_expr(mapping), F.col(column)) if mapping else F.lit(None).cast("string")
-        has_key = (F.array_contains(F.map_keys(_map_expr(mapping)), F.col(column))
-                   if mapping else F.lit(False))
-        if new_column is None:
-            value = F.when(F.coalesce(has_key, F.lit(False)), mapped).otherwise(F.col(column))
-        else:
-            value = mapped
-        return df.withColumn(target, value)
     known = None
     if isinstance(mapping, Mapping):
-        known = len(mapping)
-        mapping = df.sparkSession.createDataFrame(list(mapping.items()),
-                                                  f"{key_col} string, {value_col} string")
+        pairs = [(k, v) for k, v in mapping.items() if k is not None]
+        if sum(len(k) + len(v or "") for k, v in pairs) <= LOCAL_MAP_CHARS:
+            known = len(pairs)
+        mapping = df.sparkSession.createDataFrame(pairs, f"{key_col} string, {value_col} string")
     side = (mapping.select(F.col(key_col).cast("string").alias("__map_key"),
                            F.col(value_col).cast("string").alias("__map_val"),
                            F.lit(True).alias("__map_hit"))
@@ -107,7 +96,7 @@ def blank_missing(df: DataFrame, column: str, out: str | None = None, values: Se
 # P6 -------------------------------------------------------------------------
 def recode_education(df: DataFrame, column: str = "LoE", out: str | None = None) -> DataFrame:
     """Fixed education recode into ``<v>_DI``; unlisted values give NULL."""
-    return recode(df, column, EDUCATION_MAP, new_column=out or f"{column}_DI")
+    return df.withColumn(out or f"{column}_DI", F.try_element_at(_map_expr(EDUCATION_MAP), F.col(column)))
 
 
 # P7 -------------------------------------------------------------------------

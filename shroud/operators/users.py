@@ -7,8 +7,9 @@ courses) that loses the least entropy.
 
 Scale design
 * The rows are aggregated once into per-user course sets (``collect_set``,
-  combined map-side); the course catalogue and the bitstrings are derived
-  from that kept table, and joined back to the rows where rows need them.
+  combined map-side); the course catalogue, a numbered table of any size, and
+  the bitstrings are derived from that kept table, and joined back to the rows
+  where rows need them, once by user.
 * Scoring never forms combos x candidates.  Dropping the position set D only
   changes the combos that intersect D, so each rare combo is exploded into
   the candidates that hit one of its set bits (the first hit generates each
@@ -19,7 +20,7 @@ Scale design
   ``(origin, current, dropped, n)`` - all users with one combo are treated
   alike - so row data is touched twice in total (build combos, apply drops).
   The table is written to the shared checkpoint folder every iteration.
-* The driver collects only the course list and the chosen candidate.
+* The driver collects only the number of courses and the chosen candidate.
 """
 
 from __future__ import annotations
@@ -27,15 +28,13 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shroud.functions.columns import r6, weight_col
-from shroud.functions.joins import attach
+from shroud.functions.joins import attach, measured
 from shroud.session import cut_lineage, keep, persisted
 
-LITERAL_MAP_MAX = 1000
-MAX_COURSES = 100_000
 LOSS_EPS = 1e-9
 
 
@@ -52,88 +51,94 @@ def user_course_sets(df: DataFrame, user: str, course: str) -> DataFrame:
                                         F.count(F.lit(1)).alias("__rows")))
 
 
-def _catalogue(courses: DataFrame) -> list[str]:
-    """Collect a distinct course column; refuses more than ``MAX_COURSES``
-    (one bitstring character per course: a larger "catalogue" is not one)."""
-    rows = courses.limit(MAX_COURSES + 1).collect()
-    if len(rows) > MAX_COURSES:
-        raise ValueError(f"more than {MAX_COURSES} distinct courses: not a course catalogue")
-    return sorted(r["c"] for r in rows)
+@dataclass
+class Catalogue:
+    """The distinct courses in ascending order, numbered from 0."""
 
+    table: DataFrame         # (__c course, __p position)
+    size: int
+    bound: int | None        # rows if the table's measured size allows a broadcast
 
-def courses_of(sets: DataFrame) -> list[str]:
-    """Sorted course catalogue from the per-user sets."""
-    return _catalogue(sets.select(F.explode("__set").alias("c")).distinct())
 
+def _numbered(courses: DataFrame) -> Catalogue:
+    """Number the distinct names ``courses(__c)`` in ascending order.
 
-def course_list(df: DataFrame, course: str) -> list[str]:
-    """Sorted distinct non-NULL courses."""
-    return _catalogue(df.select(F.col(course).cast("string").alias("c")).filter("c IS NOT NULL").distinct())
+    The names are sorted in runs, one for each partition; a position is the
+    place in the run plus the sizes of the runs before.  Only these sizes (one
+    row per partition) pass through one task."""
+    runs = cut_lineage(courses.orderBy("__c").withColumn("__id", F.monotonically_increasing_id()))
+    run = F.shiftright("__id", 33)
+    sizes = runs.groupBy(run.alias("__run")).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sizes.select("__run", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    place = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
+    table = runs.join(F.broadcast(starts), run == F.col("__run")).select(
+        "__c", (F.col("__start") + place).cast("int").alias("__p"))
+    table, fits = measured(table)
+    size = table.count()
+    return Catalogue(table, size, size if fits else None)
 
 
-def _with_pos(df: DataFrame, course: str, courses: Sequence[str], out: str = "__pos") -> DataFrame:
-    if len(courses) <= LITERAL_MAP_MAX:
-        m = F.create_map(*[x for i, c in enumerate(courses) for x in (F.lit(c), F.lit(i))])
-        return df.withColumn(out, F.try_element_at(m, F.col(course).cast("string")))
-    side = df.sparkSession.createDataFrame(list(enumerate(courses)), f"{out} int, __course string")
-    joined = attach(df.withColumn("__course", F.col(course).cast("string")), side, ["__course"],
-                    known_max_rows=len(courses))
-    return joined.drop("__course")
+def courses_of(sets: DataFrame) -> Catalogue:
+    """The course catalogue of the per-user sets."""
+    return _numbered(sets.select(F.explode("__set").alias("__c")).distinct())
 
 
-def combos_of(sets: DataFrame, user: str, courses: Sequence[str], out: str = "course_combo",
-              with_rows: bool = False) -> DataFrame:
-    """(user, bitstring) from the per-user sets: one character per catalogue course
-    (plus the user's row count ``__rows`` with ``with_rows``)."""
-    extra = ["__rows"] if with_rows else []
-    if not courses:
-        return sets.select(user, F.lit("").alias(out), *extra)
-    catalogue = F.array(*[F.lit(c) for c in courses])
-    combo = F.array_join(F.transform(catalogue, lambda c: F.when(
-        F.array_contains(F.col("__set"), c), F.lit("1")).otherwise(F.lit("0"))), "")
-    return sets.select(user, combo.alias(out), *extra)
+def course_list(df: DataFrame, course: str) -> Catalogue:
+    """The catalogue of the non-NULL courses of the rows."""
+    return _numbered(df.select(F.col(course).cast("string").alias("__c")).filter("__c IS NOT NULL").distinct())
+
+
+def _given(spark: SparkSession, sets: DataFrame, courses: Catalogue | Sequence[str] | None) -> Catalogue:
+    if courses is None:
+        return courses_of(sets)
+    if isinstance(courses, Catalogue):
+        return courses
+    return _numbered(spark.createDataFrame([(c,) for c in courses], "__c string").distinct())
 
 
-def positions_of(sets: DataFrame, user: str, courses: Sequence[str], out: str = "combo",
+def positions_of(sets: DataFrame, user: str, courses: Catalogue, out: str = "combo",
                  with_rows: bool = False) -> DataFrame:
     """(user, sorted catalogue positions of the user's courses): the compact
     form of a course set used by the greedy loop (size = courses taken, not
-    catalogue size).  The catalogue is sorted, so sorted names map to sorted
-    positions."""
-    extra = ["__rows"] if with_rows else []
-    if len(courses) <= LITERAL_MAP_MAX:
-        m = F.create_map(*[x for i, c in enumerate(courses) for x in (F.lit(c), F.lit(i))])
-        pos = F.transform("__set", lambda c: F.try_element_at(m, c))
-        return sets.select(user, pos.cast("array<int>").alias(out), *extra)
-    side = sets.sparkSession.createDataFrame(list(enumerate(courses)), "__p int, __c string")
-    exploded = sets.select(user, F.explode("__set").alias("__c"))
-    mapped = attach(exploded, side, ["__c"], known_max_rows=len(courses))
-    per_user = mapped.groupBy(user).agg(F.array_sort(F.collect_list("__p")).alias(out))
-    per_user = sets.select(user, *extra).join(per_user, user, "left")
-    return per_user.select(user, F.coalesce(out, F.array().cast("array<int>")).alias(out), *extra)
+    catalogue size), plus the user's row count ``__rows`` with ``with_rows``."""
+    taken = sets.select(user, "__rows", F.explode_outer("__set").alias("__c"))
+    taken = attach(taken, courses.table, ["__c"], known_max_rows=courses.bound)
+    rows = [F.first("__rows").alias("__rows")] if with_rows else []
+    return taken.groupBy(user).agg(F.array_sort(F.collect_list("__p")).alias(out), *rows)
 
 
 def bitstring(positions: Column, n: int) -> Column:
-    """The bitstring of a position array (one character per catalogue course)."""
-    if n == 0:
-        return F.lit("")
-    return F.array_join(F.transform(F.sequence(F.lit(0), F.lit(n - 1)), lambda i: F.when(
-        F.array_contains(positions, i), F.lit("1")).otherwise(F.lit("0"))), "")
+    """The bitstring of a sorted position array (one character per catalogue course)."""
+    # the one before is read from the array itself: an expression here is computed for each element
+    ones = F.transform(positions, lambda p, i: F.concat(
+        F.repeat(F.lit("0"), p - F.coalesce(F.get(positions, i - 1), F.lit(-1)) - 1), F.lit("1")))
+    last = F.when(F.size(positions) > 0, F.element_at(positions, -1)).otherwise(F.lit(-1))
+    return F.concat(F.array_join(ones, ""), F.repeat(F.lit("0"), F.lit(n - 1) - last))
+
+
+def combos_of(sets: DataFrame, user: str, courses: Catalogue, out: str = "course_combo",
+              with_rows: bool = False) -> DataFrame:
+    """(user, bitstring) from the per-user sets: one character per catalogue course
+    (plus the user's row count ``__rows`` with ``with_rows``)."""
+    extra = ["__rows"] if with_rows else []
+    placed = positions_of(sets, user, courses, "__at", with_rows)
+    return placed.select(user, bitstring(F.col("__at"), courses.size).alias(out), *extra)
 
 
-def course_combos(df: DataFrame, user: str, course: str, courses: Sequence[str] | None = None,
+def course_combos(df: DataFrame, user: str, course: str, courses: Catalogue | Sequence[str] | None = None,
                   out: str = "course_combo") -> DataFrame:
     """(user, bitstring of the user's courses); NULL users are left out."""
     sets = user_course_sets(df, user, course)
-    courses = list(courses) if courses is not None else courses_of(sets)
+    courses = _given(df.sparkSession, sets, courses)
     return combos_of(sets, user, courses, out)
 
 
-def with_course_combo(df: DataFrame, user: str, course: str, courses: Sequence[str] | None = None,
+def with_course_combo(df: DataFrame, user: str, course: str, courses: Catalogue | Sequence[str] | None = None,
                       out: str = "course_combo") -> DataFrame:
     """Rows with their user's bitstring (NULL user -> NULL bitstring)."""
     sets = user_course_sets(df, user, course)
-    courses = list(courses) if courses is not None else courses_of(sets)
+    courses = _given(df.sparkSession, sets, courses)
     return attach(df, combos_of(sets, user, courses, out, with_rows=True), [user], rows_col="__rows")
 
 
@@ -264,10 +269,10 @@ def pick_drop(scores: DataFrame, positive_loss: bool = False):
     """The chosen candidate (least loss, ties -> first position set), or None.
 
     Only candidates that make some combo safe qualify; ``positive_loss``
-    also requires ``0 < loss < 99`` (the multi-course rule)."""
+    also requires a loss above 0 (the multi-course rule)."""
     ok = scores.filter(F.col("n_change") > 0)
     if positive_loss:
-        ok = ok.filter((F.col("loss") > LOSS_EPS) & (F.col("loss") < 99))
+        ok = ok.filter(F.col("loss") > LOSS_EPS)
     best = ok.orderBy(F.round("loss", 9), "D").limit(1).collect()
     return best[0] if best else None
 
@@ -285,21 +290,24 @@ def _rare_and_safe(counts: DataFrame, k: int):
 
 def best_drop(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
               strategy: str = "single", shadow_k: bool = False,
-              courses: Sequence[str] | None = None) -> DataFrame:
+              courses: Catalogue | Sequence[str] | None = None) -> DataFrame:
     """One scoring step on the current table: every candidate with
     (drop_courses, loss, n_change, chosen)."""
     sets = user_course_sets(df, user, course)
-    courses = list(courses) if courses is not None else courses_of(sets)
+    courses = _given(df.sparkSession, sets, courses)
     combos = positions_of(sets, user, courses, "combo")
     counts = combos.groupBy("combo").agg(F.count(F.lit(1)).alias("n"))
     flagged, safe = _rare_and_safe(counts, k)
-    scores, _ = score_drops(flagged, safe, len(courses), k, n_comb, shadow_k)
+    scores, _ = score_drops(flagged, safe, courses.size, k, n_comb, shadow_k)
     scores, _ = keep(scores)
     best = pick_drop(scores, positive_loss=(strategy == "multi"))
-    names = F.array(*[F.lit(c) for c in courses]) if courses else F.array().cast("array<string>")
     chosen = F.lit(False) if best is None else (F.col("D") == F.lit(best["D"]).cast("array<int>"))
-    return scores.select(
-        F.array_join(F.transform("D", lambda i: F.element_at(names, i + 1)), ",").alias("drop_courses"),
+    named = attach(scores.select("*", F.explode("D").alias("__p")), courses.table, ["__p"],
+                   known_max_rows=courses.bound)
+    named = named.groupBy("D").agg(F.first("loss").alias("loss"), F.first("n_change").alias("n_change"),
+                                   F.array_sort(F.collect_list("__c")).alias("__names"))
+    return named.select(
+        F.array_join("__names", ",").alias("drop_courses"),
         r6("loss").alias("loss"), F.col("n_change").cast("bigint").alias("n_change"),
         chosen.alias("chosen"))
 
@@ -328,35 +336,36 @@ def _apply_to_state(st: DataFrame, accepted: DataFrame, positions: list[int]) ->
     return out.select("origin", F.col("__cur").alias("current"), F.col("__drp").alias("dropped"), "n", "rows")
 
 
-def apply_state(df: DataFrame, user: str, course: str, courses: Sequence[str], state: DataFrame,
+def apply_state(df: DataFrame, user: str, course: str, courses: Catalogue, state: DataFrame,
                 k: int, weight: str | None = "Count", flag: str = "uniqUserFlag",
                 combo: str = "course_combo", sets: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
     """Delete the dropped (user, course) rows and flag users still rare.
 
-    Returns (rows, tally).  Rows keep their user's current combo."""
+    Returns (rows, tally).  Rows keep their user's current combo.  What a user
+    loses is settled on the table of original combos, brought to the users, and
+    joined to the rows once."""
     sets = sets if sets is not None else user_course_sets(df, user, course)
-    origin = positions_of(sets, user, courses, "__origin", with_rows=True)
-    rows = _with_pos(attach(df, origin, [user], rows_col="__rows"), course, courses)
-    # per original combo (a small table): current set, dropped positions, bitstring
-    st = state.select(F.col("origin").alias("__origin"), F.col("current").alias("__current"),
-                      F.col("dropped").alias("__dropped"), F.col("rows").alias("__st_rows"),
-                      bitstring(F.col("current"), len(courses)).alias("__combo"))
-    rows = attach(rows, st, ["__origin"], rows_col="__st_rows")
-    dropped = F.coalesce(F.array_contains(F.col("__dropped"), F.col("__pos")), F.lit(False))
-    rows = rows.withColumn("__gone", dropped)
+    rare = _state_counts(state).filter(F.col("n") < k).select(F.col("combo").alias("current"),
+                                                              F.lit(True).alias("__rare"))
+    st = attach(state, rare, ["current"]).select("*", F.explode_outer("dropped").alias("__p"))
+    st = attach(st, courses.table, ["__p"], known_max_rows=courses.bound).groupBy("origin").agg(
+        F.first("current").alias("current"), F.first("__rare").alias("__rare"), F.first("n").alias("__users"),
+        F.collect_list("__c").alias("__dropped"))
+    st = st.select(F.col("origin").alias("__origin"), "__users", "__dropped",
+                   bitstring(F.col("current"), courses.size).alias(combo),
+                   F.when(F.col("__rare"), F.lit("True")).otherwise(F.lit("False")).alias(flag))
+    users = attach(positions_of(sets, user, courses, "__origin", with_rows=True), st, ["__origin"],
+                   rows_col="__users").drop("__origin")
+    rows = attach(df, users, [user], rows_col="__rows")
+    gone = F.array_contains("__dropped", F.col(course).cast("string"))
+    rows = rows.withColumn("__gone", F.coalesce(gone, F.lit(False))).drop("__dropped")
     tally = (rows.filter("__gone").groupBy(F.col(course).alias(course))
              .agg(F.sum(weight_col(rows, weight)).alias("rows_dropped")))
-    counts = _state_counts(state)
-    rare = counts.filter(F.col("n") < k).select(F.col("combo").alias("__current"), F.lit(True).alias("__rare"),
-                                                F.col("rows").alias("__rare_rows"))
-    kept = attach(rows.filter(~F.col("__gone")), rare, ["__current"], rows_col="__rare_rows")
-    kept = kept.withColumn(flag, F.when(F.coalesce(F.col("__rare"), F.lit(False)), F.lit("True"))
-                           .otherwise(F.lit("False")))
-    kept = kept.withColumn(combo, F.col("__combo"))
-    return kept.drop("__origin", "__pos", "__current", "__dropped", "__gone", "__rare", "__combo"), tally
+    kept = rows.filter(~F.col("__gone")).withColumn(flag, F.coalesce(F.col(flag), F.lit("False")))
+    return kept.drop("__gone"), tally
 
 
-def initial_state(sets: DataFrame, user: str, courses: Sequence[str]) -> DataFrame:
+def initial_state(sets: DataFrame, user: str, courses: Catalogue) -> DataFrame:
     """(origin, current, dropped, n, rows): users and their rows per original
     course set (sorted position arrays)."""
     combos = positions_of(sets, user, courses, "origin", with_rows=True)
@@ -374,7 +383,7 @@ def apply_drops(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
     st = cut_lineage(initial_state(sets, user, courses))
     counts, _ = keep(_state_counts(st))
     flagged, safe = _rare_and_safe(counts, k)
-    scores, accepted = score_drops(flagged, safe, len(courses), k, n_comb, shadow_k)
+    scores, accepted = score_drops(flagged, safe, courses.size, k, n_comb, shadow_k)
     best = pick_drop(scores, positive_loss=(strategy == "multi"))
     if best is not None:
         positions = list(best["D"])
@@ -406,7 +415,7 @@ def user_k_anonymity(df: DataFrame, user: str, course: str, k: int, strategy: st
             counts.unpersist()
             break
         kept: list = [counts]
-        scores, accepted = score_drops(flagged, safe, len(courses), k, n_comb, shadow_k, kept)
+        scores, accepted = score_drops(flagged, safe, courses.size, k, n_comb, shadow_k, kept)
         best = pick_drop(scores, positive_loss=(strategy == "multi"))
         if best is None:
             for frame in kept:
@@ -420,6 +429,7 @@ def user_k_anonymity(df: DataFrame, user: str, course: str, k: int, strategy: st
         st = cut_lineage(_apply_to_state(st, chosen, positions))
         for frame in kept:
             frame.unpersist()
-        steps.append(([courses[p] for p in positions], float(best["loss"])))
+        names = courses.table.filter(F.col("__p").isin(positions)).orderBy("__p").collect()
+        steps.append(([r["__c"] for r in names], float(best["loss"])))
     rows, tally = apply_state(df, user, course, courses, st, k, weight, sets=sets)
     return UserKResult(rows=rows, tally=tally, steps=steps, state=st)

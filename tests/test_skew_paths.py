@@ -21,7 +21,7 @@ NAMES = ["flag_k", "l_diversity", "l_diversity_docs", "iter_k_check", "pseudonym
 @pytest.fixture()
 def tiny_bounds(monkeypatch):
     monkeypatch.setattr(joins, "BROADCAST_MAX_ROWS", 0)
-    monkeypatch.setattr(joins, "HOT_MIN_ROWS", 3)
+    monkeypatch.setattr(joins, "TASK_ROWS", 3)
     monkeypatch.setattr(joins, "MAX_HOT_KEYS", 50)
 
 
@@ -53,3 +53,19 @@ def test_hot_copies_spread(spark, tiny_bounds):
     out = joins.attach(copies, stats, ["k"], rows_col="__rows")
     assert sorted({(r["k"], r["s"]) for r in out.collect()}) == [("a", 400), ("b", 2), ("c", 3)]
     assert out.count() == 402
+
+
+def test_salts_follow_the_rows_of_a_key(spark, tiny_bounds):
+    df = spark.createDataFrame([(1, i) for i in range(60)] + [(None, i) for i in range(10)] + [(2, 0)], "k int, v int")
+    stats = df.groupBy(F.col("k").cast("bigint").alias("k")).agg(F.count(F.lit(1)).alias("n"),
+                                                                 F.count(F.lit(1)).alias("__rows"))
+    out = joins.attach(df, stats, ["k"], rows_col="__rows")
+    assert out.count() == 71
+    assert {(r["k"], r["n"]) for r in out.collect()} == {(1, 60), (None, 10), (2, 1)}
+
+
+def test_long_strings_aremeasured(spark, monkeypatch):
+    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 1_000_000)
+    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 20_000).alias("text"))
+    assert not joins.measured(wide, None, None)[1]
+    assert joins.measured(wide.select("id"), None, None)[1]

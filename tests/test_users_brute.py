@@ -1,9 +1,12 @@
 """The Spark user-wise loop against the brute-force loop."""
 
+import hashlib
+
 import pytest
 from brute_users import user_k_anonymity as brute
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 
 from shroud.operators import transforms as P
 from shroud.operators import users as U
@@ -44,13 +47,24 @@ def test_generated_matches_brute_force(spark, rows, k, mode):
 
 
 def test_large_catalogue_matches_brute_force(spark):
-    # more than 1000 courses: positions come from a broadcast join, not a literal map
     courses = [f"c{i:04d}" for i in range(1100)]
     rows = [(f"u{u}", courses[(u * 37 + j * 101) % 1100]) for u in range(12) for j in range(1 + u % 3)]
     rows += [(f"v{u}", courses[5]) for u in range(4)] + [(f"w{u}", c) for u in range(3) for c in courses[:1100]]
     df = spark.createDataFrame(rows, "user_id string, course_id string")
     kept, tally = brute(rows, 3, "single", 1)
     assert _spark_run(df, 3, "single", 1) == (sorted(kept), tally)
-    pos = {r["user_id"]: r["combo"] for r in U.positions_of(U.user_course_sets(df, "user_id", "course_id"),
-                                                             "user_id", courses).collect()}
+    sets = U.user_course_sets(df, "user_id", "course_id")
+    pos = {r["user_id"]: r["combo"] for r in U.positions_of(sets, "user_id", U.courses_of(sets)).collect()}
     assert pos["w0"] == list(range(1100)) and pos["v1"] == [5]
+
+
+def test_catalogue_has_no_bound(spark):
+    df = spark.range(120_000).select(F.lit("u").alias("user_id"), F.format_string("c%06d", "id").alias("course_id"))
+    catalogue = U.course_list(df, "course_id")
+    assert catalogue.size == 120_000
+    wrong = catalogue.table.filter(F.col("__c") != F.format_string("c%06d", "__p"))
+    assert wrong.count() == 0
+    bits = U.course_combos(df.unionByName(spark.createDataFrame([("v", "c000002")], df.schema)),
+                           "user_id", "course_id", catalogue)
+    assert {r[0]: r[1] for r in bits.select("user_id", F.sha1("course_combo")).collect()} == {
+        "u": hashlib.sha1(b"1" * 120_000).hexdigest(), "v": hashlib.sha1(b"001" + b"0" * 119_997).hexdigest()}
