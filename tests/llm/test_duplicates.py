@@ -224,6 +224,24 @@ def test_line_decisions_are_brute_force(spark):
     assert wrong <= 0.02 * total, (wrong, total)  # banding may miss a pair near the threshold
 
 
+def dropped_lines(spark, rows):
+    got = line_decisions(documents(spark, rows).coalesce(1)).collect()
+    return [list(d) for _, d in sorted((r.doc_id, r.dropped) for r in got)]
+
+
+def test_every_shingle_of_a_long_line_counts(spark):
+    rng = random.Random(21)
+    rows = []
+    for alphabet in ("日本語文字列長短高低東西南北", "abcdefghijklmnopqrstuvwxyz0123456789+/"):
+        for _ in range(8):
+            body = "".join(rng.choice(alphabet) for _ in range(2000))
+            for _ in range(2):
+                lead = " ".join("".join(rng.choice("abcdefgh") for _ in range(5)) for _ in range(18))
+                rows.append((len(rows), f"{lead} {body}"))
+    want = brute_lines(rows)
+    assert sum(map(len, want)) == 16 and dropped_lines(spark, rows) == want
+
+
 def test_lines_taken_out(spark):
     rows = [(1, "first line of some text\nsecond"), (2, "second\n\nthird"), (3, None), (3, None), (4, "third\nsecond")]
     docs = documents(spark, rows).coalesce(1)
