@@ -8,7 +8,7 @@ import pytest
 import xxhash
 from samples import EXTRA, ROWS, documents, union_find
 
-from shroud.llm import catalog, simhash
+from shroud.llm import catalog, line_dedup, simhash
 from shroud.llm.common import connected_components, release
 from shroud.llm.exact_dedup import dedup_groups, exact_dedup
 from shroud.llm.line_dedup import dedup_lines, line_decisions
@@ -242,6 +242,24 @@ def test_every_shingle_of_a_long_line_counts(spark):
     assert sum(map(len, want)) == 16 and dropped_lines(spark, rows) == want
 
 
+@pytest.mark.parametrize("bucket_lines", [2, 1_000_000])
+def test_families_under_a_frequent_template_line(spark, monkeypatch, bucket_lines):
+    monkeypatch.setattr(line_dedup, "BUCKET_LINES", bucket_lines, raising=False)
+    rng = random.Random(22)
+
+    def text(n):
+        return "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+
+    shared = text(90)
+    rows = [(0, "\n".join([shared + text(20)] * 50))]
+    for _ in range(300):
+        own = text(45)
+        for end in ("one", "two"):
+            rows.append((len(rows), shared + own + end))
+    want = brute_lines(rows)
+    assert sum(map(len, want)) == 49 + 300 and dropped_lines(spark, rows) == want
+
+
 def test_lines_taken_out(spark):
     rows = [(1, "first line of some text\nsecond"), (2, "second\n\nthird"), (3, None), (3, None), (4, "third\nsecond")]
     docs = documents(spark, rows).coalesce(1)
