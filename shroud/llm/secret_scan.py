@@ -15,7 +15,9 @@ p-values are only compared within strata of encoding and length (by powers of
 two): the Benjamini-Hochberg rule rejects randomness in a stratum so that at
 most ``FDR`` of the rejected (ordinary) runs are really random ones, that is
 missed secrets.  Runs that aren't rejected are reported unless they overlap a
-base span.  The rule needs ranks over all texts; they come from a histogram of
+base span.  A run with separators (a path, say, or a flag with a token) is also
+cut at ``+/``, at ``_-`` and at all four, and its parts of ``TOKEN_CHARS`` and
+more are tested like runs; reported spans that overlap are joined to one.  The rule needs ranks over all texts; they come from a histogram of
 p-values (at most ``BINS`` counts for each stratum), never from a sort.
 
 Spans are code points, end exclusive.  Texts are read once: matches and the
@@ -99,6 +101,31 @@ def _encoding(token: Column) -> Column:
     return F.when(mixed, out)
 
 
+def _with_parts(runs: DataFrame) -> DataFrame:
+    """``runs(row, kind, start, end, token)`` and their parts between separators that are long enough."""
+    pieces = F.array(*[F.struct(F.lit(i).alias("cut"), F.split("token", p, -1).alias("pieces"))
+                       for i, p in enumerate(("[+/]", "[_-]", "[+/_-]"))])
+    each = runs.filter(F.col("token").rlike("[+/_-]")).select(
+        "row", "kind", F.col("start").alias("run"), F.length("token").alias("length"), F.explode(pieces).alias("p"))
+    each = each.select("row", "kind", "run", "length", "p.cut", F.posexplode("p.pieces").alias("at", "token"))
+    so_far = Window.partitionBy("row", "run", "cut").orderBy("at").rowsBetween(Window.unboundedPreceding, 0)
+    each = each.withColumn("end", F.col("run") + F.sum(F.length("token") + 1).over(so_far) - 1)
+    size = F.length("token")
+    parts = each.filter((size >= TOKEN_CHARS) & (size < F.col("length"))).select(
+        "row", "kind", (F.col("end") - size).alias("start"), "end", "token")
+    return runs.unionByName(parts.distinct())
+
+
+def _joined(spans: DataFrame) -> DataFrame:
+    """``spans(row, kind, start, end)`` of one kind, those that overlap as one."""
+    ordered = Window.partitionBy("row").orderBy("start", "end")
+    reached = F.max("end").over(ordered.rowsBetween(Window.unboundedPreceding, -1))
+    fresh = spans.select("*", F.coalesce(F.col("start") >= reached, F.lit(True)).cast("int").alias("fresh"))
+    numbered = fresh.select("*", F.sum("fresh").over(ordered.rowsBetween(Window.unboundedPreceding, 0)).alias("number"))
+    return numbered.groupBy("row", "number").agg(
+        F.first("kind").alias("kind"), F.min("start").alias("start"), F.max("end").alias("end")).drop("number")
+
+
 def _two_sided(z: Column) -> Column:
     """P(|Z| >= |z|) for a standard normal Z (rational approximation 26.2.17 of the handbook
     by Abramowitz and Stegun; fixed values)."""
@@ -169,8 +196,8 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     found = _matches(docs, id_col, text_col)
     spans, _ = write_stage(_spans(found), "secret-spans")
     base = spans.filter("kind < 3").select("row", "kind", "start", "end")
-    tokens = spans.filter("kind = 3").select("row", "kind", "start", "end", F.col("match").alias("token"),
-                                             _encoding(F.col("match")).alias("encoding"))
+    runs = spans.filter("kind = 3").select("row", "kind", "start", "end", F.col("match").alias("token"))
+    tokens = _with_parts(runs).select("*", _encoding(F.col("token")).alias("encoding"))
     tested, _ = write_stage(randomness(tokens.filter("encoding IS NOT NULL")), "secret-tests")
     random = _not_rejected(tested, fdr).select("row", "kind", "start", "end")
     ordered = Window.partitionBy("row").orderBy("start", "kind")
@@ -182,7 +209,8 @@ def secret_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.min(F.when(is_base, F.col("start"))).over(after).alias("next"))
     overlaps = F.coalesce(F.col("reached") > F.col("start"), F.lit(False)) | F.coalesce(
         F.col("next") < F.col("end"), F.lit(False))
-    kept = merged.filter(is_base | ~overlaps)
+    apart = merged.filter(~is_base & ~overlaps).select("row", "kind", "start", "end")
+    kept = base.unionByName(_joined(apart))
     by_text = kept.groupBy("row").agg(
         F.sort_array(F.collect_list(F.struct("start", "kind", "end"))).alias("spans"))
     empty = F.array().cast(dict(by_text.dtypes)["spans"])

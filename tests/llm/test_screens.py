@@ -158,6 +158,27 @@ def test_random_runs_are_added_and_ordinary_ones_are_not(spark):
     assert got[300] == "assign:0:46"  # the run within a base span isn't reported again
 
 
+def test_tokens_within_paths_and_flags_are_found(spark):
+    rng = random.Random(13)
+    letters = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789"
+    rows, want = [], {}
+    for i in range(120):
+        token = "".join(rng.choice(letters + "-_" * (i % 2)) for _ in range(40))
+        lead = ["/api/user-keys/", "/some/long_path/of/keys/", "--api-key/of_some/"][i % 3]
+        rows.append((i, f"see {lead}{token} and {lead.replace('/', '-')}x/"))
+        want[i] = (4 + len(lead), 44 + len(lead))
+    rows += [(500, "see /usr/share/some-package_name/internationalisation-of-everything/in/version-2024 here")]
+    got = {r.doc_id: r.spans for r in secret_digest(documents(spark, rows)).collect()}
+
+    def covered(i):
+        spans = [tuple(map(int, s.split(":")[1:])) for s in got[i].split(",") if s.startswith("random")]
+        assert all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
+        return any(a <= want[i][0] and b >= want[i][1] for a, b in spans)
+
+    assert sum(map(covered, want)) >= 0.97 * len(want)
+    assert got[500] == ""
+
+
 def test_randomness_statistics(spark):
     tokens = ["3f2a9c0d1e4b5a6978c0ffee12345678", "00112233445566778899aabbccddeeff"]
     frame = spark.createDataFrame([(t, "hex") for t in tokens], "token string, encoding string")
