@@ -8,10 +8,11 @@ by their bytes, so the whole text counts.  Filters of all widths are one
 matrix (narrower ones have zeros), hence one product for a batch of windows.
 
 Training is numpy stochastic gradient descent (Adam) on windows of
-``SAMPLE_ROWS`` rows at most with a language and an id that isn't held out
-(the ones with the smallest hash of their id, hence the same for any input
-order); one window is drawn from each text at a place that the id's hash
-gives.  Only these windows reach the driver.  Languages, sources and ids are
+``SAMPLE_ROWS`` rows at most with a language and an id that isn't held out.
+Every language of these rows gets an equal share of the sample (what small ones
+leave goes to the others, and each has one row at least): the rows with the
+smallest hashes of their ids, one for each hash, hence the same for any input
+order.  One window is drawn from each text at a place that the id's hash gives.  Only these windows reach the driver.  Languages, sources and ids are
 never inputs of a prediction.
 
 A text that is NULL or has no letter is ``und`` with score 0, and so is every
@@ -21,11 +22,12 @@ text if no row has a language.  Repeated rows give repeated rows.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from shroud.llm.buffers import slices, utf8
@@ -146,6 +148,40 @@ def _softmax(x: np.ndarray) -> np.ndarray:
     return x / x.sum(1, keepdims=True)
 
 
+def _shares(counts: dict[str, int], total: int) -> dict[str, int]:
+    """How many of ``total`` rows each language gets: equal shares, unless it has fewer."""
+    out, left = {}, total
+    for done, (lang, n) in enumerate(sorted(counts.items(), key=lambda x: (x[1], x[0]))):
+        out[lang] = max(1, min(n, left // (len(counts) - done)))
+        left = max(left - out[lang], 0)
+    return out
+
+
+def _sample(drawn: DataFrame, sample_rows: int) -> list:
+    """Rows (lang, mix, text) of ``drawn``: of each language its share, by the smallest hashes."""
+    counts = {r["lang"]: r["n"] for r in drawn.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    share = _shares(counts, sample_rows)
+    rows, width = [], dict.fromkeys(share, 4.0)
+    while share:
+        # the smallest hashes lie below a bound that about ``width`` times as many
+        # rows reach, so tasks only send those; repeated ids may make it miss
+        part = {lang: min(1.0, width[lang] * n / counts[lang]) for lang, n in share.items()}
+        bounds = drawn.sparkSession.createDataFrame(
+            [(lang, min(int(-(1 << 63) + p * ((1 << 64) - 1)), (1 << 63) - 1), share[lang])
+             for lang, p in part.items()],
+            "lang string, bound bigint, share int")
+        near = drawn.join(F.broadcast(bounds), "lang").filter("mix <= bound")
+        near = near.groupBy("lang", "share", "mix").agg(F.min("text").alias("text"))
+        order = Window.partitionBy("lang").orderBy("mix")
+        got = near.withColumn("place", F.row_number().over(order)).filter("place <= share").collect()
+        found = Counter(r["lang"] for r in got)
+        done = {lang for lang, n in share.items() if found[lang] >= n or part[lang] >= 1.0}
+        rows += [r for r in got if r["lang"] in done]
+        share = {lang: n for lang, n in share.items() if lang not in done}
+        width = {lang: 16 * width[lang] for lang in share}
+    return sorted(rows, key=lambda r: (r["mix"], r["lang"], r["text"]))
+
+
 def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
         sample_rows: int = SAMPLE_ROWS) -> Network | None:
     """Train on rows that have a language and aren't held out; None if there are none."""
@@ -157,14 +193,7 @@ def fit(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_co
     span = F.greatest(F.length("text") - F.lit(WINDOW), F.lit(0)) + 1
     begin = F.pmod(F.shiftright("mix", 20), span).cast("int") + 1
     drawn = known.select("mix", "lang", F.substring(F.col("text"), begin, F.lit(WINDOW)).alias("text"))
-    # the smallest hashes lie below a bound that about four times as many rows
-    # reach, so tasks only send those; repeated ids may make the bound miss
-    total = docs.filter(F.col(lang_col).isNotNull()).count()
-    bound = int(-(1 << 63) + min(1.0, 4 * sample_rows / max(total, 1)) * ((1 << 64) - 1))
-    first = drawn.orderBy("mix", "lang", "text").limit(sample_rows)
-    rows = drawn.filter(F.col("mix") <= min(bound, (1 << 63) - 1)).orderBy("mix", "lang", "text").limit(sample_rows).collect()
-    if len(rows) < sample_rows < total:
-        rows = first.collect()
+    rows = _sample(drawn, sample_rows)
     if not rows:
         return None
     languages = sorted({r.lang for r in rows})

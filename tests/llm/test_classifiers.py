@@ -60,6 +60,22 @@ def test_language_edges(spark):
     assert languages(documents(spark, [])).count() == 0
 
 
+def test_every_language_is_learned(spark):
+    many = [(i, f"some plain words {i}", "en" if i % 2 else "de") for i in range(3000)]
+    few = [(5000 + i, "日本語のテキスト", "ja") for i in range(12)] + [(6000, "ελληνικά", None)] * 5
+    docs = spark.createDataFrame(many + few * 2, "doc_id bigint, text string, lang string")
+    assert language_id.fit(docs, sample_rows=40).languages == ["de", "en", "ja"]
+
+
+def test_language_sample_is_bounded_and_shared(spark):
+    drawn = spark.createDataFrame(
+        [(i * 2 ** 50 - 2 ** 63, "en", f"t{i}") for i in range(16000)] + [(2 ** 62 + 1, "ja", "x")] * 900
+        + [(2 ** 62 + i, "ko", f"k{i}") for i in range(5)], "mix bigint, lang string, text string")
+    rows = language_id._sample(drawn, 50)
+    assert [r.mix for r in rows if r.lang == "en"] == [i * 2 ** 50 - 2 ** 63 for i in range(23)]
+    assert sum(r.lang == "ja" for r in rows) == 1 and sum(r.lang == "ko" for r in rows) == 5
+
+
 def test_quality_accuracy(spark):
     truth = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
     got = catalog.op10_quality(spark, SF).collect()
