@@ -18,7 +18,8 @@ needs one look-up for each feature.
 
 NULL and empty texts have no features and get the model's score without any
 (the bias).  Without any labelled row every score is 0.5.  Labels other than
-0 and 1 are ignored; a row labelled twice counts twice.
+0 and 1 are ignored; a row labelled twice counts twice.  Of several documents
+with a labelled id one is trained on, the one with the smallest hash of its text.
 """
 
 from __future__ import annotations
@@ -134,8 +135,9 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                          & (id_remainder("id", MODULUS) != HELD_OUT))
     sample = known.orderBy(F.xxhash64("id"), "id", "label").limit(sample_rows)
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # at most sample_rows rows, by the limit above
-    rows = texts.join(F.broadcast(sample), "id").select("id", "label", "text")
+    times = sample.groupBy("id", "label").agg(F.count(F.lit(1)).alias("times"))
+    rows = texts.join(F.broadcast(times), "id").select(
+        "id", "label", "times", "text", F.xxhash64("text").alias("mix"))
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
@@ -148,18 +150,22 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
                 offsets = pa.array(cuts.astype(np.int32))
                 share = (count / np.maximum(total[of], 1)).astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
-                    [some.column("id"), some.column("label"),
+                    [some.column("id"), some.column("label"), some.column("times"), some.column("mix"),
                      pa.ListArray.from_arrays(offsets, pa.array((code % BUCKETS).astype(np.int16))),
                      pa.ListArray.from_arrays(offsets, pa.array(share))],
-                    names=["id", "label", "bucket", "share"])
+                    names=["id", "label", "times", "mix", "bucket", "share"])
 
     kind = dict(rows.dtypes)["id"]
-    got = rows.mapInArrow(
-        batches, f"id {kind}, label int, bucket array<smallint>, share array<float>").toArrow()
+    made = rows.mapInArrow(
+        batches, f"id {kind}, label int, times bigint, mix bigint, bucket array<smallint>, share array<float>")
+    # repeated ids meet here, combined before the shuffle: at most sample_rows rows reach the driver
+    got = made.groupBy("id", "label", "times").agg(F.min_by(F.struct("bucket", "share"), "mix").alias("f"))
+    got = got.select("id", "label", "times", "f.bucket", "f.share").toArrow()
     got = got.combine_chunks().sort_by([("id", "ascending"), ("label", "ascending")])
     sparse = [(np.asarray(b.values), np.asarray(s.values))
               for b, s in zip(got.column("bucket"), got.column("share"), strict=True)]
-    return train(sparse, got.column("label").to_numpy().astype(np.int64))
+    each = np.repeat(np.arange(len(sparse)), got.column("times").to_numpy())
+    return train([sparse[i] for i in each], got.column("label").to_numpy().astype(np.int64)[each])
 
 
 def with_scores(docs: DataFrame, model: Model | None, score_name: str, text_col: str = "text") -> DataFrame:

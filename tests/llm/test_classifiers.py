@@ -108,6 +108,15 @@ def test_quality_ignores_held_out_labels(spark):
     assert np.allclose(a.weight, b.weight) and a.bias == b.bias
 
 
+def test_quality_trains_on_one_row_of_a_repeated_id(spark):
+    docs = [(i, f"text number {i} " + ("good words" if i % 2 else "bad stuff") * (i % 5 + 1)) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id bigint, quality int")
+    hot = next(i for i in range(60) if zlib.crc32(str(i).encode()) % 3 != 1)
+    once, often = (spark.createDataFrame(docs + [docs[hot]] * n, "doc_id bigint, text string") for n in (0, 400))
+    a, b = quality.fit(once, labels), quality.fit(often.repartition(6), labels)
+    assert np.allclose(a.weight, b.weight) and np.allclose(a.bias, b.bias)
+
+
 def test_quality_edges(spark):
     labels = spark.createDataFrame([(1, 1), (2, 0), (4, 1), (5, None), (None, 1), (6, 7), (8, 0), (8, 0)],
                                    "doc_id bigint, quality int")
