@@ -1,10 +1,13 @@
 """The release pipeline (X1) and the before/after report.
 
 ``anonymize`` chains the operators in the order of the reference notebook:
-cut dates, (optional lookups), drop staff, pseudonyms, user-wise
+cut dates, drop staff, pseudonyms, user-wise
 k-anonymity, roll up small countries, clean gender and education, generalise
 forum posts and birth year, final key, flag and delete rows below k,
 l-diversity of the sensitive value on the released groups, export view.
+Not in the chain: the lookups J1 and J2 (call ``lookup_name`` and
+``lookup_parent`` before it), the K2 reading between G1/P5 and K4, and K4
+before P6; here K4 runs after all generalisation.
 Every step is a DataFrame transform; only the user-wise loop and the K4
 passes run driver-side loops, each over aggregated tables.  The row table is
 written to the shared checkpoint folder (Parquet) at three stage boundaries,
