@@ -1,7 +1,7 @@
 """Operators for preparing training text at scale.
 
-Ten operators over ``documents(doc_id, text, lang, source, n_chars)``-like
-tables, each in a module of its own; ``catalog`` registers one query for each.
+Thirteen operators over ``documents(doc_id, text, lang, source, n_chars)``-like
+tables and ``pages(page_id, url)``, each in a module of its own; ``catalog`` registers one query for each.
 Nothing else in the library imports this subpackage.
 
 Functions that run in tasks are sent by value, so executors need the

@@ -14,14 +14,20 @@ from shroud.llm.decontaminate import contaminated_documents
 from shroud.llm.exact_dedup import dedup_groups
 from shroud.llm.language_id import languages
 from shroud.llm.line_dedup import line_decisions
+from shroud.llm.merkle import tamper_check
+from shroud.llm.periodic_runs import run_digest, with_planted_repeat
 from shroud.llm.quality import quality_scores
 from shroud.llm.secret_scan import secret_digest
 from shroud.llm.sentencepiece_codec import encode_documents
 from shroud.llm.sharding import shard_rows
 from shroud.llm.simhash import simhash_groups
 from shroud.llm.token_counts import token_counts
+from shroud.llm.url_filter import filter_urls
 
 SHARDS = 8
+# The rules that judge a URL first.
+URL_RULES = [("allow", "com/"), ("block", "example.com/en/"), ("allow", "www.example.com/en/"),
+             ("block", "net/es/"), ("block", "net/fr/")]
 
 
 def tokenizer_file(name: str) -> str:
@@ -82,6 +88,19 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op11_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tamper_check(table(spark, sf_dir, "documents"))
+
+
+def op12_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_urls(table(spark, sf_dir, "pages"), table(spark, sf_dir, "labels"), URL_RULES)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return run_digest(docs.select("doc_id", with_planted_repeat(docs).alias("text")))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -91,9 +110,73 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (
         op1_sentencepiece, op2_token_counts, op3_decontaminate, op4_simhash, op5_exact_dedup,
-        op6_language_id, op7_sharding, op8_secret_scan, op9_line_dedup, op10_quality, pipeline)
+        op6_language_id, op7_sharding, op8_secret_scan, op9_line_dedup, op10_quality,
+        op11_merkle, op12_url_filter, op13_periodic_runs, pipeline)
 }
 
+def _merkle_sql() -> str:
+    """The manifest by recursion over levels; the crc32 of an id is computed bit by bit
+    (fixed value: 3988292384 is the reflected polynomial of CRC-32)."""
+    def field(c: str) -> str:
+        return f"CASE WHEN {c} IS NULL THEN '-' ELSE strlen(CAST({c} AS VARCHAR)) || ':' || {c} END"
+
+    def leaf(text: str) -> str:
+        return "sha256(" + " || ".join(field(c) for c in ("doc_id", "source", "lang", "n_chars", text)) + ")"
+
+    return f"""
+WITH RECURSIVE ids AS (SELECT DISTINCT CAST(doc_id AS VARCHAR) AS d FROM documents WHERE doc_id IS NOT NULL),
+crc AS (
+  SELECT d, 0 AS i, CAST(4294967295 AS BIGINT) AS c FROM ids
+  UNION ALL
+  SELECT d, i + 1, CASE WHEN i % 9 = 0 THEN xor(c, ascii(substr(d, i // 9 + 1, 1)))
+                        ELSE xor(c >> 1, 3988292384 * (c & 1)) END
+  FROM crc WHERE i < 9 * length(d)),
+odd AS (SELECT d FROM crc WHERE i = 9 * length(d) AND xor(c, 4294967295) % 2 = 1),
+leaves AS (
+  SELECT doc_id, source, {leaf('text')} AS leaf,
+         CASE WHEN CAST(doc_id AS VARCHAR) IN (SELECT d FROM odd) THEN {leaf('text')}
+              ELSE {leaf("replace(text, chr(10), '')")} END AS shown,
+         dense_rank() OVER (ORDER BY source NULLS FIRST) AS grp FROM documents),
+placed AS (
+  SELECT *, row_number() OVER (PARTITION BY grp ORDER BY doc_id NULLS FIRST, leaf) - 1 AS idx,
+         count(*) OVER (PARTITION BY grp) AS n FROM leaves),
+up AS (
+  SELECT grp, 0 AS lvl, idx, n, leaf AS h FROM placed
+  UNION ALL
+  SELECT grp, lvl + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM up WHERE n > 1 GROUP BY grp, lvl, idx // 3, n),
+subroots AS (SELECT grp, h, lvl AS top, row_number() OVER (ORDER BY grp) - 1 AS idx,
+                   count(*) OVER () AS n FROM up WHERE n = 1),
+above AS (
+  SELECT 0 AS lvl, idx, n, h FROM subroots
+  UNION ALL
+  SELECT lvl + 1, idx // 3, (n + 2) // 3, sha256(string_agg(h, '' ORDER BY idx))
+  FROM above WHERE n > 1 GROUP BY lvl, idx // 3, n),
+nodes AS (
+  SELECT grp, lvl, idx, h FROM up WHERE n > 1
+  UNION ALL
+  SELECT s.grp, s.top + a.lvl, a.idx, a.h FROM above a, subroots s
+  WHERE a.n > 1 AND a.idx // 3 = s.idx // CAST(pow(3, a.lvl + 1) AS BIGINT)),
+walk AS (
+  SELECT p.grp, p.idx AS leaf_idx, 0 AS lvl, CASE WHEN s.top = 0 THEN s.idx ELSE p.idx END AS at,
+         p.shown AS acc, '' AS proof FROM placed p JOIN subroots s ON s.grp = p.grp
+  UNION ALL
+  SELECT w.grp, w.leaf_idx, w.lvl + 1,
+         CASE WHEN w.lvl + 1 = s.top THEN s.idx ELSE w.at // 3 END,
+         sha256(coalesce(string_agg(k.h, '' ORDER BY k.idx) FILTER (k.idx < w.at), '') || w.acc ||
+                coalesce(string_agg(k.h, '' ORDER BY k.idx) FILTER (k.idx > w.at), '')),
+         w.proof || coalesce(string_agg(k.h, '' ORDER BY k.idx) FILTER (k.idx <> w.at), '')
+  FROM walk w JOIN nodes k ON k.grp = w.grp AND k.lvl = w.lvl AND k.idx // 3 = w.at // 3
+  JOIN subroots s ON s.grp = w.grp
+  GROUP BY w.grp, w.leaf_idx, w.lvl, w.at, w.acc, w.proof, s.top, s.idx),
+folded AS (SELECT grp, leaf_idx, arg_max(acc, lvl) AS acc, arg_max(proof, lvl) AS proof FROM walk GROUP BY ALL)
+SELECT p.doc_id, p.leaf, s.h AS subroot, r.h AS root, sha256(f.proof) AS proof_sha256,
+       f.acc AS folded_root, f.acc = r.h AS verified
+FROM placed p JOIN folded f ON f.grp = p.grp AND f.leaf_idx = p.idx
+JOIN subroots s ON s.grp = p.grp, (SELECT h FROM above WHERE n = 1) r
+"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "op5_exact_dedup": """
         WITH normed AS (
@@ -104,4 +187,5 @@ ORACLE_SQL: dict[str, str] = {
                doc_id = max(doc_id) OVER (PARTITION BY norm) AS kept,
                sha256(norm) AS text_sha256
         FROM normed""",
+    "op11_merkle": _merkle_sql(),
 }
