@@ -55,9 +55,16 @@ def measured(small: DataFrame, max_rows: int | None = None, known_max_rows: int
     max_rows = BROADCAST_MAX_ROWS if max_rows is None else max_rows
     if known_max_rows is not None and known_max_rows <= max_rows:
         return small, True
+    kept, _, fits = sized(small, max_rows)
+    return kept, fits
+
+
+def sized(small: DataFrame, max_rows: int | None = None) -> tuple[DataFrame, int, bool]:
+    """(kept table, its rows, whether rows and bytes are within the bounds), from one pass."""
     kept = persisted(small)
     rows, size = kept.agg(F.count(F.lit(1)), F.sum(_row_bytes(small.schema))).first()
-    return kept, rows <= max_rows and (size or 0) <= BROADCAST_MAX_BYTES
+    return kept, rows, rows <= (BROADCAST_MAX_ROWS if max_rows is None else max_rows) and (
+        size or 0) <= BROADCAST_MAX_BYTES
 
 
 def sized_broadcast(small: DataFrame, max_rows: int | None = None,

@@ -31,12 +31,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from shroud.functions import joins
 from shroud.functions.columns import r6, weight_col
-from shroud.functions.joins import attach, measured
+from shroud.functions.joins import attach, sized
+from shroud.operators import drops as D
 from shroud.session import cut_lineage, keep, persisted
 
-LOSS_EPS = 1e-9
-
 
 # U1 -------------------------------------------------------------------------
 def user_course_sets(df: DataFrame, user: str, course: str) -> DataFrame:
@@ -60,22 +60,21 @@ class Catalogue:
     bound: int | None        # rows if the table's measured size allows a broadcast
 
 
-def _numbered(courses: DataFrame) -> Catalogue:
-    """Number the distinct names ``courses(__c)`` in ascending order.
+def _numbered(rows: DataFrame, order: Sequence[str] = ("__c",), out: str = "__p") -> Catalogue:
+    """Number the rows from 0 in ascending order of columns that no two rows share.
 
-    The names are sorted in runs, one for each partition; a position is the
+    The rows are sorted in runs, one for each partition; a position is the
     place in the run plus the sizes of the runs before.  Only these sizes (one
     row per partition) pass through one task."""
-    runs = cut_lineage(courses.orderBy("__c").withColumn("__id", F.monotonically_increasing_id()))
+    runs = cut_lineage(rows.orderBy(*order).withColumn("__id", F.monotonically_increasing_id()))
     run = F.shiftright("__id", 33)
     sizes = runs.groupBy(run.alias("__run")).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.orderBy("__run").rowsBetween(Window.unboundedPreceding, -1)
     starts = sizes.select("__run", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
     place = F.col("__id").bitwiseAND(F.lit((1 << 33) - 1))
     table = runs.join(F.broadcast(starts), run == F.col("__run")).select(
-        "__c", (F.col("__start") + place).cast("int").alias("__p"))
-    table, fits = measured(table)
-    size = table.count()
+        *rows.columns, (F.col("__start") + place).cast("int").alias(out))
+    table, size, fits = sized(table)
     return Catalogue(table, size, size if fits else None)
 
 
@@ -139,7 +138,8 @@ def with_course_combo(df: DataFrame, user: str, course: str, courses: Catalogue
     """Rows with their user's bitstring (NULL user -> NULL bitstring)."""
     sets = user_course_sets(df, user, course)
     courses = _given(df.sparkSession, sets, courses)
-    return attach(df, combos_of(sets, user, courses, out, with_rows=True), [user], rows_col="__rows")
+    rows = attach(df.drop(out), positions_of(sets, user, courses, "__at", with_rows=True), [user], rows_col="__rows")
+    return rows.withColumn(out, bitstring(F.col("__at"), courses.size)).drop("__at")
 
 
 # U2 - U5 --------------------------------------------------------------------
@@ -183,15 +183,18 @@ def flag_unique_users(df: DataFrame, user: str, k: int, flag: str = "uniqUserFla
         if course is None:
             raise ValueError(f"no {combo} column: pass course= to build it")
         sets = user_course_sets(df, user, course)
-        per_user = combos_of(sets, user, courses_of(sets), combo, with_rows=True)
-        counts = per_user.groupBy(combo).agg(F.count(F.lit(1)).alias("__users"))
-        status = counts.select(combo, (F.col("__users") < k).alias("__unique"), F.col("__users").alias("__rows"))
-        per_user = attach(per_user, status, [combo], rows_col="__rows")
+        courses = courses_of(sets)
+        # sets travel as position arrays (as long as the courses taken); strings are built on the rows
+        per_user = positions_of(sets, user, courses, "__at", with_rows=True)
+        counts = per_user.groupBy("__at").agg(F.count(F.lit(1)).alias("__users"))
+        status = counts.select("__at", (F.col("__users") < k).alias("__unique"), F.col("__users").alias("__n"))
+        per_user = attach(per_user, status, ["__at"], rows_col="__n")
         per_user = per_user.select(
-            user, combo, "__rows",
+            user, "__at", "__rows",
             F.when(F.coalesce(F.col("__unique"), F.lit(False)), F.lit("True")).otherwise(F.lit("False")).alias(flag))
-        return attach(df, per_user, [user], rows_col="__rows").withColumn(
-            flag, F.coalesce(F.col(flag), F.lit("False")))
+        rows = attach(df, per_user, [user], rows_col="__rows")
+        return rows.select(*[c for c in df.columns if c != flag], bitstring(F.col("__at"), courses.size).alias(combo),
+                           F.coalesce(F.col(flag), F.lit("False")).alias(flag))
     per_user = (df.filter(F.col(user).isNotNull()).groupBy(user, combo)
                 .agg(F.count(F.lit(1)).alias("__r")))
     st = per_user.groupBy(combo).agg((F.count(F.lit(1)) < k).alias("is_unique"), F.sum("__r").alias("__rows"))
@@ -201,91 +204,38 @@ def flag_unique_users(df: DataFrame, user: str, k: int, flag: str = "uniqUserFla
 
 
 # U6 / U7 --------------------------------------------------------------------
-def _flx(x: Column) -> Column:
-    """x * log2(x), 0 for x = 0."""
-    x = x.cast("double")
-    return F.when(x > 0, x * F.log2(x)).otherwise(F.lit(0.0))
-
-
-def _candidates(flagged: DataFrame, n: int, n_comb: int) -> DataFrame:
-    """(D, combo, n) for every candidate position set D of size ``n_comb``
-    that meets the combo; D is generated once per combo by its first hit."""
-    x = flagged.select("combo", "n", F.col("combo").alias("__S"))
-    x = x.select("*", F.explode("__S").alias("__h"))
-    allowed = F.filter(F.sequence(F.lit(0), F.lit(n - 1)),
-                       lambda j: ((j < F.col("__h")) & ~F.array_contains(F.col("__S"), j)) | (j > F.col("__h")))
-    x = x.withColumn("__allowed", allowed).withColumn("__chosen", F.array().cast("array<int>"))
-    x = x.withColumn("__last", F.lit(-1))
-    for _ in range(n_comb - 1):
-        x = x.select("*", F.explode(F.filter("__allowed", lambda j: j > F.col("__last"))).alias("__nx"))
-        x = (x.withColumn("__chosen", F.concat("__chosen", F.array("__nx")))
-             .withColumn("__last", F.col("__nx")).drop("__nx"))
-    d = F.array_sort(F.concat("__chosen", F.array("__h")))
-    return x.select(d.alias("D"), "combo", "n", F.size(F.array_intersect(d, "__S")).alias("hits"))
-
-
-def score_drops(flagged: DataFrame, safe: DataFrame, n_positions: int, k: int, n_comb: int = 1,
-                shadow_k: bool = False, kept: list | None = None) -> tuple[DataFrame, DataFrame]:
-    """Score every candidate drop of ``n_comb`` positions for the rare combos.
-
-    Combos are sorted position arrays.  ``flagged``: (combo, n) users per
-    rare combo; ``safe``: (combo) combos
-    with at least k users.  Returns (scores, accepted):
-    scores (D, loss, n_change) for candidates meeting some rare combo, and
-    accepted (D, combo) - the rare combos a drop of D makes safe: the combo
-    after the drop has at least k rare users (``hits - 1`` with
-    ``shadow_k=True``, the reference's shadowed k) or is a safe combo.
-    Frames kept in memory for the scoring are appended to ``kept``.
-    """
-    spark = flagged.sparkSession
-    if n_positions == 0:
-        empty = spark.createDataFrame([], "D array<int>, loss double, n_change bigint")
-        return empty, spark.createDataFrame([], "D array<int>, combo array<int>")
-    total = flagged.agg(F.sum("n")).scalar()
-    aff = _candidates(flagged, n_positions, n_comb).withColumn("g", F.array_except("combo", "D"))
-    # one lookup table for the post combos: rare users already there, or safe
-    known = (flagged.select("combo", F.col("n").alias("n_g"), F.lit(False).alias("g_safe"))
-             .unionByName(safe.select("combo", F.lit(0).cast("bigint").alias("n_g"), F.lit(True).alias("g_safe")))
-             .withColumnRenamed("combo", "g"))
-    groups = aff.groupBy("D", "g").agg(F.sum("n").alias("A"), F.count(F.lit(1)).alias("cnt"))
-    groups = attach(groups, known, ["g"]).select(
-        "D", "g", "cnt", (F.col("A") + F.coalesce("n_g", F.lit(0))).alias("post"),
-        F.coalesce("n_g", F.lit(0)).alias("n_g"), F.coalesce("g_safe", F.lit(False)).alias("g_safe"))
-    thr = (F.col("hits") - F.lit(1)) if shadow_k else F.lit(k)
-    judged, _ = keep(aff.join(groups, ["D", "g"]).withColumn(
-        "acc", (F.col("post") >= thr) | F.col("g_safe")))
-    if kept is not None:
-        kept.append(judged)  # the caller releases it once the drop is applied
-    # sum over post groups of f(post) - f(n_g), spread over the group's rows
-    scores = judged.groupBy("D").agg(
-        F.sum((_flx(F.col("post")) - _flx(F.col("n_g"))) / F.col("cnt") - _flx(F.col("n"))).alias("dS"),
-        F.count(F.when(F.col("acc"), 1)).alias("n_change"))
-    scores = scores.select("D", (F.col("dS") / total).alias("loss"), "n_change")
-    accepted = judged.filter("acc").select("D", "combo")
-    return scores, accepted
-
-
-def pick_drop(scores: DataFrame, positive_loss: bool = False):
-    """The chosen candidate (least loss, ties -> first position set), or None.
-
-    Only candidates that make some combo safe qualify; ``positive_loss``
-    also requires a loss above 0 (the multi-course rule)."""
-    ok = scores.filter(F.col("n_change") > 0)
-    if positive_loss:
-        ok = ok.filter(F.col("loss") > LOSS_EPS)
-    best = ok.orderBy(F.round("loss", 9), "D").limit(1).collect()
-    return best[0] if best else None
+def _state_counts(st: DataFrame) -> DataFrame:
+    """(combo, n users) per current combo; users with no course left are gone."""
+    return (st.filter(F.size("current") > 0).groupBy("current").agg(F.sum("n").alias("n"))
+            .withColumnRenamed("current", "combo"))
 
 
-def _state_counts(st: DataFrame) -> DataFrame:
-    """(combo, n users, rows) per current combo; users with no course left are gone.
-    ``rows`` counts the users' original rows (an upper bound after drops)."""
-    return (st.filter(F.size("current") > 0).groupBy("current")
-            .agg(F.sum("n").alias("n"), F.sum("rows").alias("rows")).withColumnRenamed("current", "combo"))
+@dataclass
+class _Counts:
+    """The users of each combo, kept, with what one pass over them tells."""
 
+    table: DataFrame        # (combo, n)
+    rare_users: int
+    bound: int | None       # rows if the measured size allows a broadcast
 
-def _rare_and_safe(counts: DataFrame, k: int):
-    return counts.filter(F.col("n") < k).select("combo", "n"), counts.filter(F.col("n") >= k).select("combo")
+    @classmethod
+    def of(cls, counts: DataFrame, k: int) -> _Counts:
+        kept = persisted(counts)
+        rows, places, rare = kept.agg(F.count(F.lit(1)), F.sum(F.size("combo")),
+                                      F.sum(F.when(F.col("n") < k, F.col("n")))).first()
+        fits = rows <= joins.BROADCAST_MAX_ROWS and 64 * rows + 4 * (places or 0) <= joins.BROADCAST_MAX_BYTES
+        return cls(kept, rare or 0, rows if fits else None)
+
+
+def _ranked(rows: DataFrame, order: Sequence[str], out: str) -> DataFrame:
+    return _numbered(rows, order, out).table
+
+
+def score_drops(counts: DataFrame, k: int, n_comb: int = 1, shadow_k: bool = False,
+                bound: int | None = None) -> DataFrame:
+    """The terms (X, loss, n_change, n_rows, fresh) whose sums over the subsets of a candidate score it
+    (see ``operators.drops``); ``counts``: (combo, n users), combos as sorted position arrays."""
+    return D.summed(D.terms(counts.withColumn("sign", F.lit(1)), k, n_comb, shadow_k, bound=bound))
 
 
 def best_drop(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
@@ -296,13 +246,12 @@ def best_drop(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
     sets = user_course_sets(df, user, course)
     courses = _given(df.sparkSession, sets, courses)
     combos = positions_of(sets, user, courses, "combo")
-    counts = combos.groupBy("combo").agg(F.count(F.lit(1)).alias("n"))
-    flagged, safe = _rare_and_safe(counts, k)
-    scores, _ = score_drops(flagged, safe, courses.size, k, n_comb, shadow_k)
-    scores, _ = keep(scores)
-    best = pick_drop(scores, positive_loss=(strategy == "multi"))
+    counts = _Counts.of(combos.filter(F.size("combo") > 0).groupBy("combo").agg(F.count(F.lit(1)).alias("n")), k)
+    scores, _ = keep(score_drops(counts.table, k, n_comb, shadow_k, counts.bound))
+    best = D.best_set(scores, counts.rare_users, courses.size, n_comb, strategy == "multi", _ranked)
     chosen = F.lit(False) if best is None else (F.col("D") == F.lit(best["D"]).cast("array<int>"))
-    named = attach(scores.select("*", F.explode("D").alias("__p")), courses.table, ["__p"],
+    listed = D.candidates(scores, counts.rare_users, courses.size, n_comb)
+    named = attach(listed.select("*", F.explode("D").alias("__p")), courses.table, ["__p"],
                    known_max_rows=courses.bound)
     named = named.groupBy("D").agg(F.first("loss").alias("loss"), F.first("n_change").alias("n_change"),
                                    F.array_sort(F.collect_list("__c")).alias("__names"))
@@ -319,12 +268,14 @@ class UserKResult:
     tally: DataFrame         # (course, rows_dropped)
     steps: list              # chosen drops: (courses, loss) per iteration
     state: DataFrame         # (origin, current, dropped, n) per original combo
+    scored: list             # rows computed for each scoring
 
 
-def _apply_to_state(st: DataFrame, accepted: DataFrame, positions: list[int]) -> DataFrame:
+def _apply_to_state(st: DataFrame, counts: _Counts, positions: list[int], k: int, shadow_k: bool) -> DataFrame:
     d = F.lit(positions).cast("array<int>")
-    acc = accepted.select(F.col("combo").alias("current"), F.lit(True).alias("__acc")).distinct()
-    j = attach(st, acc, ["current"])
+    safe = D.made_safe(counts.table, positions, k, shadow_k, counts.bound)
+    acc = safe.select(F.col("combo").alias("current"), F.lit(True).alias("__acc"))
+    j = attach(st, acc, ["current"], known_max_rows=counts.bound)
     hit = F.coalesce(F.col("__acc"), F.lit(False))
     # New values get fresh names first: a lambda inside the same select would
     # otherwise resolve ``current`` to the new alias (lateral column alias).
@@ -352,17 +303,17 @@ def apply_state(df: DataFrame, user: str, course: str, courses: Catalogue, state
         F.first("current").alias("current"), F.first("__rare").alias("__rare"), F.first("n").alias("__users"),
         F.collect_list("__c").alias("__dropped"))
     st = st.select(F.col("origin").alias("__origin"), "__users", "__dropped",
-                   bitstring(F.col("current"), courses.size).alias(combo),
+                   F.col("current").alias("__at"),
                    F.when(F.col("__rare"), F.lit("True")).otherwise(F.lit("False")).alias(flag))
     users = attach(positions_of(sets, user, courses, "__origin", with_rows=True), st, ["__origin"],
                    rows_col="__users").drop("__origin")
-    rows = attach(df, users, [user], rows_col="__rows")
+    rows = attach(df.drop(combo), users, [user], rows_col="__rows")
     gone = F.array_contains("__dropped", F.col(course).cast("string"))
     rows = rows.withColumn("__gone", F.coalesce(gone, F.lit(False))).drop("__dropped")
     tally = (rows.filter("__gone").groupBy(F.col(course).alias(course))
              .agg(F.sum(weight_col(rows, weight)).alias("rows_dropped")))
     kept = rows.filter(~F.col("__gone")).withColumn(flag, F.coalesce(F.col(flag), F.lit("False")))
-    return kept.drop("__gone"), tally
+    return kept.withColumn(combo, bitstring(F.col("__at"), courses.size)).drop("__gone", "__at"), tally
 
 
 def initial_state(sets: DataFrame, user: str, courses: Catalogue) -> DataFrame:
@@ -381,14 +332,11 @@ def apply_drops(df: DataFrame, user: str, course: str, k: int, n_comb: int = 1,
     sets = user_course_sets(df, user, course)
     courses = courses_of(sets)
     st = cut_lineage(initial_state(sets, user, courses))
-    counts, _ = keep(_state_counts(st))
-    flagged, safe = _rare_and_safe(counts, k)
-    scores, accepted = score_drops(flagged, safe, courses.size, k, n_comb, shadow_k)
-    best = pick_drop(scores, positive_loss=(strategy == "multi"))
+    counts = _Counts.of(_state_counts(st), k)
+    scores, _ = keep(score_drops(counts.table, k, n_comb, shadow_k, counts.bound))
+    best = D.best_set(scores, counts.rare_users, courses.size, n_comb, strategy == "multi", _ranked)
     if best is not None:
-        positions = list(best["D"])
-        chosen = accepted.filter(F.col("D") == F.lit(positions).cast("array<int>"))
-        st = _apply_to_state(st, chosen, positions)
+        st = _apply_to_state(st, counts, list(best["D"]), k, shadow_k)
     return apply_state(df, user, course, courses, st, k, weight, sets=sets)
 
 
@@ -401,35 +349,42 @@ def user_k_anonymity(df: DataFrame, user: str, course: str, k: int, strategy: st
     strictly positive loss, and when no set of ``n`` courses helps, sets of
     ``n + 1`` are tried up to ``max_comb`` (1 = the reference run).
     Rows of users still rare afterwards are flagged, not deleted (see
-    ``suppress_unique_users``)."""
+    ``suppress_unique_users``).
+
+    The score terms are kept from step to step: a drop computes again only the
+    groups next to combos whose users changed (``scored`` has the rows computed
+    for each scoring).  State and terms are cut from their lineage by a
+    checkpoint in the shared folder at every step."""
     sets = user_course_sets(df, user, course)
     courses = courses_of(sets)
     st = cut_lineage(initial_state(sets, user, courses))
-    n_comb, steps = 1, []
-    while max_steps is None or len(steps) < max_steps:
-        # per iteration only the state is checkpointed; the combo counts are
-        # kept (one aggregation away from the checkpointed state)
-        counts, _ = keep(_state_counts(st))
-        flagged, safe = _rare_and_safe(counts, k)
-        if flagged.isEmpty():
-            counts.unpersist()
-            break
-        kept: list = [counts]
-        scores, accepted = score_drops(flagged, safe, courses.size, k, n_comb, shadow_k, kept)
-        best = pick_drop(scores, positive_loss=(strategy == "multi"))
+    counts = _Counts.of(_state_counts(st), k)
+    n_comb, chosen, scored, scores = 1, [], [], None
+    while counts.rare_users and (max_steps is None or len(chosen) < max_steps):
+        if scores is None:
+            scores = cut_lineage(score_drops(counts.table, k, n_comb, shadow_k, counts.bound))
+            scored.append(scores.agg(F.sum("fresh")).first()[0])
+        best = D.best_set(scores, counts.rare_users, courses.size, n_comb, strategy == "multi", _ranked)
         if best is None:
-            for frame in kept:
+            if strategy != "multi" or n_comb >= max_comb:
+                break
+            n_comb, scores = n_comb + 1, None
+            continue
+        # both tables are cut at every step: each is read several times by the next one's plan
+        st = cut_lineage(_apply_to_state(st, counts, list(best["D"]), k, shadow_k))
+        after = _Counts.of(_state_counts(st), k)
+        chosen.append((list(best["D"]), float(best["loss"])))
+        if after.rare_users:
+            bound = None if counts.bound is None or after.bound is None else counts.bound + after.bound
+            later, held = D.updated(scores, counts.table, after.table, k, n_comb, shadow_k, bound)
+            scores = cut_lineage(later)
+            scored.append(scores.agg(F.sum("fresh")).first()[0])
+            for frame in held:
                 frame.unpersist()
-            if strategy == "multi" and n_comb < max_comb:
-                n_comb += 1
-                continue
-            break
-        positions = list(best["D"])
-        chosen = accepted.filter(F.col("D") == F.lit(positions).cast("array<int>"))
-        st = cut_lineage(_apply_to_state(st, chosen, positions))
-        for frame in kept:
-            frame.unpersist()
-        names = courses.table.filter(F.col("__p").isin(positions)).orderBy("__p").collect()
-        steps.append(([r["__c"] for r in names], float(best["loss"])))
+        counts.table.unpersist()
+        counts = after
+    names = {r["__p"]: r["__c"] for r in courses.table.filter(
+        F.col("__p").isin(sorted({p for d, _ in chosen for p in d}))).collect()} if chosen else {}
+    steps = [([names[p] for p in d], loss) for d, loss in chosen]
     rows, tally = apply_state(df, user, course, courses, st, k, weight, sets=sets)
-    return UserKResult(rows=rows, tally=tally, steps=steps, state=st)
+    return UserKResult(rows=rows, tally=tally, steps=steps, state=st, scored=scored)

@@ -109,6 +109,43 @@ def _drop_ctes(k: int, n_comb: int, positive: bool) -> list[str]:
     ]
 
 
+def _greedy_ctes(k: int, most: int, positive: bool) -> list[str]:
+    """The greedy loop as a recursion over (step, original mask, current mask, users)."""
+    f = "(CASE WHEN {x} > 0 THEN ({x}) * log2({x}) ELSE 0 END)"
+    extra = " AND loss > 1e-9 AND loss < 99" if positive else ""
+    return _USER_MASKS + [
+    "cand AS (SELECT CAST(1 AS BIGINT) << pos AS d, pos AS p1, pos AS p2, 1 AS size FROM courses UNION ALL "
+    "SELECT (CAST(1 AS BIGINT) << a.pos) | (CAST(1 AS BIGINT) << b.pos), a.pos, b.pos, 2 FROM courses a JOIN courses b ON a.pos < b.pos)",
+    f"""st(step, size, origin, cur, n, live) AS (
+  SELECT 0, 1, m, m, CAST(n AS BIGINT), true FROM cnt
+  UNION ALL (
+  WITH now AS (SELECT * FROM st WHERE live),
+  c AS (SELECT cur AS m, SUM(n) AS n FROM now WHERE cur <> 0 GROUP BY cur),
+  fl AS (SELECT m, n FROM c WHERE n < {k}),
+  aff AS (SELECT cand.d, cand.p1, cand.p2, fl.m, fl.n, fl.m & ~cand.d AS g FROM cand JOIN fl ON (fl.m & cand.d) <> 0
+          WHERE cand.size = (SELECT MAX(size) FROM now)),
+  grp AS (SELECT aff.d, aff.g, SUM(aff.n) AS a, MAX(CASE WHEN c.n < {k} THEN c.n ELSE 0 END) AS ng,
+                 COALESCE(MAX(c.n) >= {k}, FALSE) AS gsafe
+          FROM aff LEFT JOIN c ON c.m = aff.g GROUP BY aff.d, aff.g),
+  pg AS (SELECT d, SUM({f.format(x='(a + COALESCE(ng, 0))')} - {f.format(x='COALESCE(ng, 0)')}) AS gain FROM grp GROUP BY d),
+  pcb AS (SELECT aff.d, aff.p1, aff.p2, SUM({f.format(x='aff.n')}) AS own,
+                 COUNT(CASE WHEN grp.a + COALESCE(grp.ng, 0) >= {k} OR grp.gsafe THEN 1 END) AS n_change
+          FROM aff JOIN grp ON aff.d = grp.d AND aff.g = grp.g GROUP BY aff.d, aff.p1, aff.p2),
+  sc AS (SELECT pg.d, (pg.gain - pcb.own) / (SELECT SUM(n) FROM fl) AS loss, pcb.n_change, pcb.p1, pcb.p2
+         FROM pg JOIN pcb ON pg.d = pcb.d),
+  best AS (SELECT d FROM sc WHERE n_change > 0{extra} ORDER BY ROUND(loss, 9), p1, p2 LIMIT 1),
+  acc AS (SELECT aff.m FROM aff JOIN grp ON aff.d = grp.d AND aff.g = grp.g
+          WHERE aff.d IN (SELECT d FROM best) AND (grp.a + COALESCE(grp.ng, 0) >= {k} OR grp.gsafe))
+  SELECT now.step + 1, CASE WHEN b.d IS NULL THEN now.size + 1 ELSE now.size END, now.origin,
+         CASE WHEN now.cur IN (SELECT m FROM acc) THEN now.cur & ~b.d ELSE now.cur END, now.n,
+         b.d IS NOT NULL OR now.size < {most}
+  FROM now LEFT JOIN best b ON true WHERE EXISTS (SELECT 1 FROM fl)))""",
+    "fin AS (SELECT origin, cur, n FROM st WHERE step = (SELECT MAX(step) FROM st))",
+    "left_over AS (SELECT cur, SUM(n) AS users FROM fin GROUP BY cur)",
+    f"""kept AS (SELECT pc.user_id, pc.course_id FROM pc JOIN um USING (user_id) JOIN courses USING (course_id)
+      JOIN fin ON fin.origin = um.m JOIN left_over USING (cur) WHERE (fin.cur >> courses.pos) & 1 = 1 AND left_over.users >= {k})"""]
+
+
 def _iter_k_check(qis, k) -> str:
     q = len(qis)
     nf = [_nf(c) for c in qis]
@@ -351,6 +388,8 @@ def oracle_sql() -> dict[str, str]:
         sql[key] = _with(*_drop_ctes(k, n_comb, positive)) + (
             f"SELECT {names} AS drop_courses, {_r6('loss')} AS loss, n_change, "
             "d IN (SELECT d FROM best) AS chosen FROM sc")
+    for key, most, positive in (("user_k_anonymity_single", 1, False), ("user_k_anonymity_multi", 2, True)):
+        sql[key] = _with(*_greedy_ctes(k, most, positive)).replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT * FROM kept"
     sql["apply_drops"] = _with(*_drop_ctes(k, 1, False)) + "SELECT user_id, course_id FROM gone WHERE NOT dropped"
     sql["drop_tally"] = _with(*_drop_ctes(k, 1, False)) + \
         "SELECT course_id, COUNT(*) AS rows_dropped FROM gone WHERE dropped GROUP BY course_id"

@@ -348,8 +348,8 @@ def test_long_strings_are_not_broadcast(spark, monkeypatch):
 
     monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 1_000_000)
     small = spark.range(100).select(F.col("id"), F.repeat(F.lit("x"), 20_000).alias("bits"))
-    assert not joins._measured(small, None, None)[1]
-    assert joins._measured(small.select("id"), None, None)[1]
+    assert not joins.measured(small, None, None)[1]
+    assert joins.measured(small.select("id"), None, None)[1]
 
 
 def test_course_combo_twice_overwrites(spark):

@@ -63,9 +63,3 @@ def test_salts_follow_the_rows_of_a_key(spark, tiny_bounds):
     assert out.count() == 71
     assert {(r["k"], r["n"]) for r in out.collect()} == {(1, 60), (None, 10), (2, 1)}
 
-
-def test_long_strings_aremeasured(spark, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_MAX_BYTES", 1_000_000)
-    wide = spark.range(100).select("id", F.repeat(F.lit("x"), 20_000).alias("text"))
-    assert not joins.measured(wide, None, None)[1]
-    assert joins.measured(wide.select("id"), None, None)[1]
