@@ -11,7 +11,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shroud.functions.columns import concat_key, missing_flag, r6, weight_col
@@ -89,7 +89,10 @@ def iter_k_check(df: DataFrame, qis: Sequence[str], k: int, weight: str | None =
     pattern; group sizes count every row not yet cleared (any pattern), and
     rows of this pattern in groups of at least k get ``kCheckFlag='True'``.
     Rows with all QIs present are never cleared here.  Runs on the distinct
-    QI tuples (with their weights); at most 2**len(qis) - 1 passes.
+    QI tuples (with their weights): one aggregate gives every pattern's group
+    sizes, one join the tuples that may be cleared; a pass (at most
+    2**len(qis) - 1) reads its pattern's tuples among these and takes from
+    their sizes what earlier passes cleared.
     """
     qis = list(qis)
     nf = [f"{q}_NF" for q in qis]
@@ -99,25 +102,37 @@ def iter_k_check(df: DataFrame, qis: Sequence[str], k: int, weight: str | None =
     rows = rows.withColumn("__f0", start)
     tuples = rows.groupBy(*qis, "nullSum", "__f0").agg(F.sum(weight_col(rows, weight)).alias("__n"),
                                                        F.count(F.lit(1)).alias("__rows"))
-    tuples = cut_lineage(tuples.withColumn("__flag", F.col("__f0")))
-    patterns = sorted(r["nullSum"] for r in tuples.select("nullSum").distinct().collect())
-    for pattern in patterns:
-        if "0" not in pattern:
-            continue
-        valid = [q for q, bit in zip(qis, pattern) if bit == "1"]
-        keyed = tuples.withColumn("__nk", concat_key(valid, sep))
-        sizes = (keyed.filter(F.col("__flag") == "False").groupBy("__nk")
-                 .agg(F.sum("__n").alias("__size"), F.count(F.lit(1)).alias("__tuples")))
-        joined = attach(keyed, sizes, ["__nk"], rows_col="__tuples")
-        clear = (F.col("nullSum") == pattern) & (F.coalesce(F.col("__size"), F.lit(0)) >= k)
-        # every pass cuts the lineage: both join sides derive from ``tuples``,
-        # so an uncut plan would double with each pass
-        tuples = cut_lineage(joined.withColumn("__flag", F.when(clear, F.lit("True"))
-                                               .otherwise(F.col("__flag")))
-                             .drop("__nk", "__size"))
-    flags = tuples.select(*qis, "__f0", F.col("__flag").alias("__flag_new"), "__rows")
+    open_tuples = cut_lineage(tuples.filter(F.col("__f0") == "False"))
+    patterns = sorted(r["nullSum"] for r in open_tuples.select("nullSum").distinct().collect() if "0" in r["nullSum"])
+    if not patterns:
+        return rows.withColumn(flag, F.col("__f0")).drop("__f0")
+
+    def key_in(pattern: str) -> Column:
+        return concat_key([q for q, bit in zip(qis, pattern) if bit == "1"], sep)
+
+    # every pattern's group sizes before any pass, in one aggregate
+    keys = F.array(*[F.struct(F.lit(p).alias("p"), key_in(p).alias("key")) for p in patterns])
+    sizes = (open_tuples.select("__n", F.explode(keys).alias("__in")).groupBy("__in.p", "__in.key")
+             .agg(F.sum("__n").alias("__size"), F.count(F.lit(1)).alias("__tuples")))
+    sizes = sizes.select(F.col("p").alias("nullSum"), F.col("key").alias("__nk"), "__size", "__tuples")
+    own = F.coalesce(*[F.when(F.col("nullSum") == p, key_in(p)) for p in patterns])
+    partly = open_tuples.filter(F.col("nullSum").isin(patterns)).withColumn("__nk", own)
+    # a pass only takes from a size, so no other tuple can be cleared
+    hopeful = cut_lineage(attach(partly, sizes, ["nullSum", "__nk"], rows_col="__tuples").filter(F.col("__size") >= k))
+    cleared = None
+    for pattern in sorted(r["nullSum"] for r in hopeful.select("nullSum").distinct().collect()):
+        mine = hopeful.filter(F.col("nullSum") == pattern)
+        if cleared is not None:
+            taken = cleared.groupBy(key_in(pattern).alias("__nk")).agg(F.sum("__n").alias("__taken"))
+            mine = attach(mine, taken, ["__nk"])
+            # only the pattern's cleared tuples are written, not the table of all
+            mine = cut_lineage(mine.filter(F.col("__size") - F.coalesce("__taken", F.lit(0)) >= k).drop("__taken"))
+        cleared = mine if cleared is None else cleared.unionByName(mine)
+    if cleared is None:
+        return rows.withColumn(flag, F.col("__f0")).drop("__f0")
+    flags = cleared.select(*qis, "__f0", F.lit("True").alias("__new"), "__rows")
     out = attach(rows, flags, qis + ["__f0"], rows_col="__rows")
-    return out.withColumn(flag, F.col("__flag_new")).drop("__flag_new", "__f0")
+    return out.withColumn(flag, F.coalesce("__new", "__f0")).drop("__new", "__f0")
 
 
 # K5 -------------------------------------------------------------------------
@@ -143,10 +158,16 @@ def l_diversity(df: DataFrame, key: str | Sequence[str], sensitive: str, l: int
         key_col = "kkey"
         keyed = df.withColumn(key_col, concat_key(list(key), sep))
     s = F.col(sensitive).cast("string")
-    # two plain aggregations (both partial map-side): distinct values per group,
-    # then their number; NULL is one of the values
-    values = keyed.groupBy(key_col, s.alias("__v")).agg(F.count(F.lit(1)).alias("__r"))
-    stats = values.groupBy(key_col).agg(F.count(F.lit(1)).alias("__nd"), F.sum("__r").alias("__rows"))
+    if l == 2:
+        # least and greatest value and the number of NULLs tell whether there are two: one aggregation
+        many = F.coalesce(F.min(s) < F.max(s), F.lit(False)) | (
+            (F.count(s) > 0) & (F.count(F.lit(1)) > F.count(s)))
+        stats = keyed.groupBy(key_col).agg(F.when(many, 2).otherwise(1).alias("__nd"), F.count(F.lit(1)).alias("__rows"))
+    else:
+        # two aggregations (both partial map-side): distinct values per group,
+        # then their number; NULL is one of the values
+        values = keyed.groupBy(key_col, s.alias("__v")).agg(F.count(F.lit(1)).alias("__r"))
+        stats = values.groupBy(key_col).agg(F.count(F.lit(1)).alias("__nd"), F.sum("__r").alias("__rows"))
     out = attach(keyed, stats, [key_col], rows_col="__rows")
     return (out.withColumn(sensitive, F.when(F.col("__nd") < l, F.lit(blank)).otherwise(s))
             .drop("__nd"))
