@@ -260,6 +260,20 @@ def test_families_under_a_frequent_template_line(spark, monkeypatch, bucket_line
     assert sum(map(len, want)) == 49 + 300 and dropped_lines(spark, rows) == want
 
 
+def test_lines_of_one_template_do_not_meet(spark):
+    rng = random.Random(23)
+    shared = "".join(rng.choice("abcdefghijklmnop ") for _ in range(90))
+    met = []
+    for n in (200, 400, 800):
+        lines = [(f"{i:05d}", f"{i:05d}", 0, shared + "".join(rng.choice("abcdefghijklmnop ") for _ in range(45)))
+                 for i in range(n)]
+        table = spark.createDataFrame(lines, "node string, root string, n int, line string")
+        table = table.withColumn("n", line_dedup.F.size(line_dedup._shingles("line")))
+        pairs, _ = line_dedup._by_prefix(table, 0.8)
+        met.append(pairs.count())
+    assert met[2] <= 8, met
+
+
 def test_lines_taken_out(spark):
     rows = [(1, "first line of some text\nsecond"), (2, "second\n\nthird"), (3, None), (3, None), (4, "third\nsecond")]
     docs = documents(spark, rows).coalesce(1)
