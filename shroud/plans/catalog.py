@@ -40,6 +40,8 @@ UTILITY_COLS = ["nforum_posts", "grade", "YoB", "nevents", "nchapters", "ndays_a
 PERPLEXITY_COLS = ["country", "gender", "LoE", "YoB", "course_id"]
 COUNTRY_TH = 250
 K4_K = 112
+RELEASE_COUNTRY_TH = 1_000_000_000
+RELEASE_YOB_BW = 25
 EXPORT_K = 10
 
 
@@ -389,8 +391,9 @@ def q_user_k_anonymity_multi(spark, sf):
 
 # composite ----------------------------------------------------------------------
 def _release_config() -> ReleaseConfig:
-    return ReleaseConfig(k=K_ROWS, country_threshold=COUNTRY_TH, posts_high=5, posts_bw=2,
-                         yob_bw=5, salt=SALT, prefix=PREFIX)
+    # every country to its continent and wide bins, so that most groups have k rows
+    return ReleaseConfig(k=K_ROWS, country_threshold=RELEASE_COUNTRY_TH, posts_high=2, posts_bw=5,
+                         yob_bw=RELEASE_YOB_BW, salt=SALT, prefix=PREFIX)
 
 
 def _stage_config() -> ReleaseConfig:

@@ -167,6 +167,65 @@ def _iter_k_check(qis, k) -> str:
     return ctes
 
 
+def _pseudonyms() -> tuple[str, str]:
+    """CTEs: the ids of ``pc`` in the order of their salted hash; each id's pseudonym."""
+    return ("ids AS (SELECT DISTINCT user_id FROM pc WHERE user_id IS NOT NULL)",
+            f"rk AS (SELECT user_id, '{Q.PREFIX}' || lpad(CAST(row_number() OVER (ORDER BY sha256('{Q.SALT}' || user_id), "
+            "user_id) AS VARCHAR), CAST(length(CAST(10 * (SELECT COUNT(DISTINCT user_id) + MAX(CASE WHEN user_id IS NULL "
+            "THEN 1 ELSE 0 END) FROM pc) AS VARCHAR)) AS INTEGER), '0') AS userid_DI FROM ids)")
+
+
+def _release_ctes(k: int, edu: str, zero: str) -> list[str]:
+    """The release pipeline: ``pc_all`` all rows, ``pc`` without staff, ``rel`` the released rows."""
+    high, bw, yob_bw = 2, 5, Q.RELEASE_YOB_BW
+    qis = ["course_id", "country_DI", "gender_DI", "LoE_DI", "nforum_posts_DI", "YoB_DI"]
+    a_, b_, c_ = ("(nevents = '' AND nchapters != '')", "(nevents = '' AND nforum_posts NOT IN ('0', 'zero'))",
+                  "(nevents = '' AND ndays_act != '')")
+    same = " AND ".join(f"a.{q} IS NOT DISTINCT FROM b.{q}" for q in qis)
+    cols = ", ".join(qis)
+    plain = [c for c in Q.PC_COLUMNS if c not in ("nforum_posts",)]
+    return [
+        f"pc_all AS ({PERSON_COURSE_SQL})",
+        "pc AS (SELECT * FROM pc_all WHERE roles IS NULL OR roles NOT IN ('instructor', 'staff'))",
+        *_pseudonyms(), *_greedy_ctes(k, 1, True),
+        "uk AS (SELECT pc.* FROM pc JOIN kept USING (user_id, course_id))",
+        "xs AS (SELECT country, COUNT(*) AS n, MIN(continent) AS p FROM uk WHERE country IS NOT NULL GROUP BY country)",
+        f"x1 AS (SELECT {', '.join('uk.' + c for c in plain)}, {zero.replace('nforum_posts', 'uk.nforum_posts')} AS nforum_posts, "
+        f"CASE WHEN xs.n >= {Q.RELEASE_COUNTRY_TH} AND uk.country NOT IN ('A1', 'A2', 'AP', 'EU', '') THEN uk.country ELSE xs.p END "
+        "AS country_DI, CASE WHEN gender = 'NA' THEN '' ELSE gender END AS gender_DI, "
+        f"{edu} AS LoE_DI FROM uk LEFT JOIN xs ON uk.country = xs.country)",
+        f"x2 AS (SELECT *, CASE WHEN {_canon('nforum_posts')} AND {_int('nforum_posts')} >= {high} THEN '>= {high}' "
+        "ELSE nforum_posts END AS pt FROM x1)",
+        f"x3 AS ({_bins('pt', bw, 'x2', 'nforum_posts_DI')})",
+        f"x4 AS ({_bins('YoB', yob_bw, 'x3', 'YoB_DI')})",
+        f"x5 AS (SELECT *, CASE WHEN {a_} OR {b_} OR {c_} THEN '1' END AS incomplete_flag FROM x4)",
+        f"x6 AS (SELECT {cols}, COUNT(*) AS n, COUNT(DISTINCT grade) + MAX(CASE WHEN grade IS NULL THEN 1 ELSE 0 END) AS nd "
+        f"FROM x5 GROUP BY {cols})",
+        "rel AS (SELECT a.* EXCLUDE (grade), CASE WHEN b.nd < 2 THEN ' ' ELSE a.grade END AS grade, rk.userid_DI "
+        f"FROM x5 a JOIN x6 b ON {same} LEFT JOIN rk ON rk.user_id = a.user_id WHERE b.n >= {k})",
+    ]
+
+
+def _report_measures(src: str, staffless: str, k: int) -> str:
+    """(measure, value) of the release report on one table; ``staffless``: its rows without staff."""
+    keep = "(gender IS NULL OR gender NOT IN ('', 'NA', 'o'))"
+    parts = [f"SELECT 'records' AS measure, CAST(COUNT(*) AS DOUBLE) AS value FROM {src}"]
+    parts += [f"SELECT 'share:{v}=' || COALESCE({v}, 'NULL'), {_r6(f'COUNT(*) / (SELECT COUNT(*) FROM {src})')} "
+              f"FROM {src} GROUP BY {v}" for v in ("viewed", "explored", "certified")]
+    parts.append(f"SELECT 'gender:' || COALESCE(gender, 'NULL'), {_r6(f'COUNT(*) / (SELECT COUNT(*) FROM {src} WHERE {keep})')} "
+                 f"FROM {src} WHERE {keep} GROUP BY gender")
+    parts.append(f"SELECT 'mean_age', {_r6('SUM(2013 - y) / COUNT(y)')} FROM (SELECT {_int('YoB')} AS y FROM {src})")
+    for c in ("nforum_posts", "YoB", "grade"):
+        parts += [f"SELECT 'entropy:{c}', {_r6(_entropy_of(c, staffless))}",
+                  f"SELECT 'mean:{c}', {_r6(f'(SELECT AVG({_dbl(c)}) FROM {staffless})')}",
+                  f"SELECT 'sd:{c}', {_r6(f'(SELECT STDDEV_POP({_dbl(c)}) FROM {staffless})')}"]
+    sets = (f"SELECT user_id, string_agg(DISTINCT course_id, ',' ORDER BY course_id) AS s FROM {src} "
+            "WHERE user_id IS NOT NULL GROUP BY user_id")
+    parts.append("SELECT 'unique_user_share', " + _r6(f"COALESCE(SUM(CASE WHEN n < {k} THEN n END), 0) / SUM(n)") +
+                 f" FROM (SELECT s, COUNT(*) AS n FROM ({sets}) GROUP BY s)")
+    return " UNION ALL ".join(parts)
+
+
 def _utility(cols, src="pc") -> str:
     parts = []
     for c in cols:
@@ -393,6 +452,17 @@ def oracle_sql() -> dict[str, str]:
     sql["apply_drops"] = _with(*_drop_ctes(k, 1, False)) + "SELECT user_id, course_id FROM gone WHERE NOT dropped"
     sql["drop_tally"] = _with(*_drop_ctes(k, 1, False)) + \
         "SELECT course_id, COUNT(*) AS rows_dropped FROM gone WHERE dropped GROUP BY course_id"
+    release = _release_ctes(k, edu, zero)
+    sql["anonymize"] = "WITH RECURSIVE " + ",\n".join(release) + (
+        "\nSELECT userid_DI, course_id, country_DI, gender_DI, LoE_DI, nforum_posts_DI, YoB_DI, grade, incomplete_flag FROM rel")
+    sql["release_report"] = "WITH RECURSIVE " + ",\n".join(release + [
+        f"mo AS ({_report_measures('pc_all', 'pc', k)})", f"mr AS ({_report_measures('rel', 'rel', k)})"]) + (
+        f"\nSELECT COALESCE(mo.measure, mr.measure) AS measure, {_r6('mo.value')} AS original, {_r6('mr.value')} AS released "
+        "FROM mo FULL JOIN mr ON mo.measure = mr.measure "
+        "UNION ALL SELECT 'release:suppress_fraction', NULL, 0.0 UNION ALL SELECT 'release:uniform_groups_shown', NULL, "
+        "CAST((SELECT COUNT(*) FROM (SELECT COUNT(DISTINCT grade) + MAX(CASE WHEN grade IS NULL THEN 1 ELSE 0 END) AS nd, "
+        "COUNT(CASE WHEN grade = ' ' THEN 1 END) AS blank FROM rel GROUP BY course_id, country_DI, gender_DI, LoE_DI, "
+        "nforum_posts_DI, YoB_DI) WHERE nd < 2 AND blank = 0) AS DOUBLE)")
     # pipeline stages (roll-up, recodes, posts recipe, birth-year bins,
     # incomplete flag, then final key, k = 3, suppression, l-diversity)
     qis = ["course_id", "country_DI", "gender_DI", "LoE_DI", "nforum_posts_DI", "YoB_DI"]

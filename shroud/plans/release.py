@@ -1,13 +1,12 @@
 """The release pipeline (X1) and the before/after report.
 
 ``anonymize`` chains the operators in the order of the reference notebook:
-cut dates, drop staff, pseudonyms, user-wise
-k-anonymity, roll up small countries, clean gender and education, generalise
-forum posts and birth year, final key, flag and delete rows below k,
-l-diversity of the sensitive value on the released groups, export view.
-Not in the chain: the lookups J1 and J2 (call ``lookup_name`` and
-``lookup_parent`` before it), the K2 reading between G1/P5 and K4, and K4
-before P6; here K4 runs after all generalisation.
+cut dates, country names and continents where their tables are given (J1, J2),
+drop staff, pseudonyms, user-wise k-anonymity, roll up small countries, clean
+gender, k reading (K2), check of partly missing rows (K4) where it is asked
+for, education, forum posts and birth year, second k reading, final key, flag
+and delete rows below k, l-diversity of the sensitive value on the released
+groups, export view.
 Every step is a DataFrame transform; only the user-wise loop and the K4
 passes run driver-side loops, each over aggregated tables.  The row table is
 written to the shared checkpoint folder (Parquet) at three stage boundaries,
@@ -17,7 +16,7 @@ re-running the whole upstream lineage each.
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field
+from dataclasses import dataclass, field, replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -29,7 +28,7 @@ from shroud.operators import transforms as P
 from shroud.operators import stats as A
 from shroud.operators import users as U
 from shroud.operators.pseudonym import pseudonymize
-from shroud.session import materialize
+from shroud.session import delete_tables, materialize
 from shroud.sources.io import export_view
 
 
@@ -45,7 +44,9 @@ class ReleaseConfig:
     yob: str = "YoB"
     sensitive: str = "grade"
     roles: str = "roles"
-    date_columns: tuple = ("start_time",)
+    date_columns: tuple = ("start_time", "last_event")
+    country_names: DataFrame | None = None   # J1: (code, name) of the values in ``country``
+    continents: DataFrame | None = None      # J2: (country, continent), after J1
     k: int = 5
     country_threshold: int = 5000
     posts_low: int | None = None
@@ -65,7 +66,9 @@ class ReleaseConfig:
     ndays_act: str = "ndays_act"
     sep: str | None = EXACT  # release key: exact, or '' as the reference writes it
     export_columns: tuple | None = None
-    null_check_qis: tuple | None = None  # K4 before the k reading (the notebook's iterKcheck)
+    # K4 between the two k readings (the notebook's iterKcheck); a ``_DI`` column that is
+    # generalised only later is checked as it stands
+    null_check_qis: tuple | None = None
     entropy_columns: tuple | None = None
     utility_columns: tuple | None = None
 
@@ -90,6 +93,11 @@ class Release:
     steps: list             # user-wise drops chosen
     config: ReleaseConfig
     readings: dict = field(default_factory=dict)  # lazy one-row / small DataFrames
+    paths: list = field(default_factory=list)     # stage tables, which hold ids next to pseudonyms
+
+    def close(self) -> None:
+        """Delete the stage tables; call it once the results are stored."""
+        delete_tables(self.table.sparkSession, self.paths)
 
 
 def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
@@ -97,11 +105,18 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
     DataFrames in ``Release.readings`` (computed only when read):
     ``entropy_before`` / ``perplexity_change`` (whole-row entropy of the
     input columns before and after the user-wise step), ``utility_before`` / ``utility_after`` /
-    ``utility_diff``, ``k_generalized`` (suppression needed after
+    ``utility_diff``, ``k_rolled_up`` (suppression needed after G1 and P5),
+    ``k_generalized`` (suppression needed after
     generalisation, over the rows not cleared by the null-pattern check when
     ``null_check_qis`` is set; then also ``null_check``) and
     ``incomplete_counts``."""
     cfg = cfg or ReleaseConfig()
+    if cfg.country_names is not None:
+        df = P.lookup_name(df, cfg.country, cfg.country_names, *cfg.country_names.columns[:2])
+        cfg = replace(cfg, country=f"{cfg.country}_cname", country_names=None)
+    if cfg.continents is not None:
+        df = P.lookup_parent(df, cfg.country, cfg.continents, *cfg.continents.columns[:2], out=cfg.continent)
+    paths: list[str] = []
     # the untouched copy loses its staff too before any utility is measured
     original = P.drop_roles(df, cfg.roles) if cfg.roles in df.columns else df
     ent_cols = list(cfg.entropy_columns or df.columns)
@@ -111,27 +126,28 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
             df = P.date_part_only(df, c)
     if cfg.roles in df.columns:
         df = P.drop_roles(df, cfg.roles)
-    df = materialize(pseudonymize(df, cfg.user, cfg.prefix, cfg.salt), "release-ids")
+    df = materialize(pseudonymize(df, cfg.user, cfg.prefix, cfg.salt), "release-ids", paths)
     entering = df
     readings = {"entropy_before": A.table_entropy(entering, ent_cols)}
 
     # user-wise k-anonymity, then delete users still rare
     uk = U.user_k_anonymity(df, cfg.user, cfg.course, cfg.k, strategy=cfg.strategy,
                             max_comb=cfg.max_comb)
-    df = materialize(P.suppress_unique_users(uk.rows), "release-users")
+    df = materialize(P.suppress_unique_users(uk.rows), "release-users", paths)
     readings["perplexity_change"] = A.perplexity_change(entering, df, ent_cols)
 
     readings["incomplete_counts"] = P.incomplete_counts(
         P.mark_value(df, cfg.posts, "0", "zero") if cfg.posts in df.columns else df, **cfg.incomplete())
-    df = materialize(generalize_stage(df, cfg), "release-generalized")
+    df = roll_up_stage(df, cfg)
+    raw = [q if q in df.columns else q.removesuffix("_DI") for q in cfg.release_qis()]
+    readings["k_rolled_up"] = K.k_anonymity(df, cfg.k, qis=raw, flag=None, sep=cfg.key_sep())
+    df = materialize(recode_stage(df, cfg), "release-generalized", paths)
+    # with K4 the reading covers the rows not cleared (K5 below decides the
+    # release on its own, as in the notebook)
+    readings["k_generalized"] = K.k_anonymity(df, cfg.k, qis=cfg.release_qis(), sep=cfg.key_sep(),
+                                              flag="kCheckFlag" if cfg.null_check_qis else None)
     if cfg.null_check_qis:
-        # K4 clears partly missing rows; the reading then covers the rows not
-        # cleared (K5 below decides the release on its own, as in the notebook)
-        checked = K.iter_k_check(df, list(cfg.null_check_qis), cfg.k)
-        readings["null_check"] = checked.groupBy("nullSum", "kCheckFlag").agg(F.count(F.lit(1)).alias("rows"))
-        readings["k_generalized"] = K.k_anonymity(checked, cfg.k, qis=cfg.release_qis(), sep=cfg.key_sep())
-    else:
-        readings["k_generalized"] = K.k_anonymity(df, cfg.k, qis=cfg.release_qis(), flag=None, sep=cfg.key_sep())
+        readings["null_check"] = df.groupBy("nullSum", "kCheckFlag").agg(F.count(F.lit(1)).alias("rows"))
     df = release_stage(df, cfg)
     export_cols = list(cfg.export_columns or (
         ["userid_DI"] + cfg.release_qis() + [cfg.sensitive, "incomplete_flag"]))
@@ -140,15 +156,26 @@ def anonymize(df: DataFrame, cfg: ReleaseConfig | None = None) -> Release:
         readings["utility_before"] = A.utility_matrix(original, util_cols)
         readings["utility_after"] = A.utility_matrix(df, util_cols)
         readings["utility_diff"] = A.utility_diff(readings["utility_after"], readings["utility_before"])
-    return Release(table=df, export=export, tally=uk.tally, steps=uk.steps, config=cfg, readings=readings)
+    return Release(table=df, export=export, tally=uk.tally, steps=uk.steps, config=cfg, readings=readings,
+                   paths=paths)
 
 
 def generalize_stage(df: DataFrame, cfg: ReleaseConfig) -> DataFrame:
-    """Generalise the quasi-identifiers: small countries to continents, gender
-    and education recodes, forum posts (zeros, tails, bins, bin means), birth
-    year (tails, bins); then the incomplete-record flag."""
-    df = G.roll_up_rare(df, cfg.country, cfg.continent, cfg.country_threshold)
-    df = P.blank_missing(df, cfg.gender)
+    """Generalise the quasi-identifiers (``roll_up_stage``, then ``recode_stage``)."""
+    return recode_stage(roll_up_stage(df, cfg), cfg)
+
+
+def roll_up_stage(df: DataFrame, cfg: ReleaseConfig) -> DataFrame:
+    """Small countries to continents, gender recode."""
+    return P.blank_missing(G.roll_up_rare(df, cfg.country, cfg.continent, cfg.country_threshold), cfg.gender)
+
+
+def recode_stage(df: DataFrame, cfg: ReleaseConfig) -> DataFrame:
+    """Check of partly missing rows (if asked for), education recode, forum posts (zeros, tails, bins,
+    bin means), birth year (tails, bins); then the incomplete-record flag."""
+    if cfg.null_check_qis:
+        qis = [q if q in df.columns else q.removesuffix("_DI") for q in cfg.null_check_qis]
+        df = K.iter_k_check(df, qis, cfg.k).drop(*[f"{q}_NF" for q in qis])
     df = P.recode_education(df, cfg.loe)
     df = G.generalize_numeric(df, cfg.posts, bw=cfg.posts_bw, low=cfg.posts_low, high=cfg.posts_high)
     df = G.trim_tails(df, cfg.yob, low=cfg.yob_low, high=cfg.yob_high)

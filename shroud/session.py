@@ -14,6 +14,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 
+_KEPT: dict[str, list[DataFrame]] = {}
 _CACHE_COALESCE_KEY = "spark.sql.optimizer.canChangeCachedPlanOutputPartitioning"
 
 
@@ -88,7 +89,9 @@ def persisted(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     if spark.conf.get(_CACHE_COALESCE_KEY, "false") == "false":
         spark.conf.set(_CACHE_COALESCE_KEY, "true")
-    return df.persist(StorageLevel.MEMORY_AND_DISK)
+    kept = df.persist(StorageLevel.MEMORY_AND_DISK)
+    _KEPT.setdefault(spark.sparkContext.applicationId, []).append(kept)
+    return kept
 
 
 def keep(df: DataFrame) -> tuple[DataFrame, int]:
@@ -99,12 +102,32 @@ def keep(df: DataFrame) -> tuple[DataFrame, int]:
     return kept, kept.count()
 
 
-def materialize(df: DataFrame, name: str) -> DataFrame:
+def materialize(df: DataFrame, name: str, paths: list[str] | None = None) -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it back.
 
     Used at stage boundaries of long pipelines on full-size tables: columnar,
     compressed, and later steps prune columns and push filters into the scan.
+    The folder's name is added to ``paths``, so that its owner can delete it.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
+    if paths is not None:
+        paths.append(path)
     return df.sparkSession.read.parquet(path)
+
+
+def delete_tables(spark: SparkSession, paths: list[str]) -> None:
+    """Delete written stage tables that nothing reads any more."""
+    while paths:
+        path = spark._jvm.org.apache.hadoop.fs.Path(paths.pop())
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def release_kept(spark: SparkSession) -> int:
+    """Let go of every table that the library keeps in memory or on executors' disks; returns their number.
+
+    Results that still read one compute it again.  Call it between jobs of a long-lived session."""
+    kept = _KEPT.pop(spark.sparkContext.applicationId, [])
+    for df in kept:
+        df.unpersist()
+    return len(kept)
