@@ -18,7 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 
 from shroud.plans.catalog import QUERIES  # noqa: E402
-from shroud.session import local_session  # noqa: E402
+from shroud.session import local_session, release_kept  # noqa: E402
 
 HEADLINE = [
     "load_source", "pseudonymize", "utility_matrix", "table_entropy", "roll_up_rare",
@@ -46,6 +46,7 @@ def main() -> None:
         t0 = time.perf_counter()
         QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
         times[name] = round(time.perf_counter() - t0, 3)
+        release_kept(spark)
     sf = os.path.basename(sf_dir).replace("sf", "")
     metric = "headline_queries_warm_total" if warm_dir else "headline_queries_total"
     print(json.dumps({"metric": metric, "value": round(sum(times.values()), 3),

@@ -23,7 +23,7 @@ from shroud.plans.release import (
 )
 from shroud.session import scratch_path
 from shroud.sources import io as S
-from shroud.sources.fixture import person_course, table
+from shroud.sources.fixture import order_brand, person_course, table
 
 # Fixed query parameters (chosen from the measured sf0.01 data, see FIXTURES.md).
 K_ROWS = 5
@@ -369,6 +369,18 @@ def q_best_drop_multi(spark, sf):
     return U.best_drop(_pc(spark, sf), "user_id", "course_id", K_ROWS, n_comb=2, strategy="multi")
 
 
+def q_flag_unique_users_brands(spark, sf):
+    return U.flag_unique_users(order_brand(spark, sf).select("user_id", "course_id"), "user_id", K_ROWS, course="course_id")
+
+
+def q_best_drop_single_brands(spark, sf):
+    return U.best_drop(order_brand(spark, sf), "user_id", "course_id", K_ROWS, n_comb=1, strategy="single")
+
+
+def q_best_drop_multi_brands(spark, sf):
+    return U.best_drop(order_brand(spark, sf), "user_id", "course_id", K_ROWS, n_comb=2, strategy="multi")
+
+
 def q_apply_drops(spark, sf):
     rows, _ = U.apply_drops(_pc(spark, sf), "user_id", "course_id", K_ROWS)
     return rows.select("user_id", "course_id")

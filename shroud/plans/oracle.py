@@ -9,7 +9,7 @@ are recognised by the same regex guards as the Spark side.
 from __future__ import annotations
 
 from shroud.plans import catalog as Q
-from shroud.sources.fixture import PERSON_COURSE_SQL
+from shroud.sources.fixture import ORDER_BRAND_SQL, PERSON_COURSE_SQL
 
 # Integer and float text, written out here independently of the engine.
 INT_PATTERN = "^[+-]?[0-9]+$"
@@ -447,6 +447,8 @@ def oracle_sql() -> dict[str, str]:
         sql[key] = _with(*_drop_ctes(k, n_comb, positive)) + (
             f"SELECT {names} AS drop_courses, {_r6('loss')} AS loss, n_change, "
             "d IN (SELECT d FROM best) AS chosen FROM sc")
+        sql[f"{key}_brands"] = sql[key].replace(PC, f"pc AS ({ORDER_BRAND_SQL})", 1)
+    sql["flag_unique_users_brands"] = sql["flag_unique_users"].replace(PC, f"pc AS ({ORDER_BRAND_SQL})", 1)
     for key, most, positive in (("user_k_anonymity_single", 1, False), ("user_k_anonymity_multi", 2, True)):
         sql[key] = _with(*_greedy_ctes(k, most, positive)).replace("WITH ", "WITH RECURSIVE ", 1) + "SELECT * FROM kept"
     sql["apply_drops"] = _with(*_drop_ctes(k, 1, False)) + "SELECT user_id, course_id FROM gone WHERE NOT dropped"

@@ -41,6 +41,14 @@ FROM {orders} o JOIN {customer} c ON o.o_custkey = c.c_custkey
 JOIN {nation} n ON c.c_nationkey = n.n_nationkey JOIN {region} r ON n.n_regionkey = r.r_regionkey
 GROUP BY o.o_custkey, o.o_orderpriority, n.n_name, r.r_name, c.c_mktsegment
 """
+# Orders as users, the brands they bought as courses (25 courses, many rare sets).
+ORDER_BRAND_TEMPLATE = """
+SELECT CAST(l.l_orderkey AS STRING) AS user_id, p.p_brand AS course_id, COUNT(*) AS items
+FROM {lineitem} l JOIN {part} p ON l.l_partkey = p.p_partkey
+GROUP BY l.l_orderkey, p.p_brand
+"""
+BRAND_TABLES = ("lineitem", "part")
+ORDER_BRAND_SQL = ORDER_BRAND_TEMPLATE.format(**{t: t for t in BRAND_TABLES})
 VIEW_TABLES = ("orders", "customer", "nation", "region")
 PERSON_COURSE_SQL = PERSON_COURSE_TEMPLATE.format(**{t: t for t in VIEW_TABLES})
 
@@ -61,3 +69,8 @@ def person_course(spark: SparkSession, sf_dir: str) -> DataFrame:
     The tables are passed to ``spark.sql`` as DataFrame parameters, so no
     session view is created or replaced."""
     return spark.sql(PERSON_COURSE_TEMPLATE, **{t: table(spark, sf_dir, t) for t in VIEW_TABLES})
+
+
+def order_brand(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(user_id, course_id, items): one row for each order and brand, over a catalogue of 25 brands."""
+    return spark.sql(ORDER_BRAND_TEMPLATE, **{t: table(spark, sf_dir, t) for t in BRAND_TABLES})

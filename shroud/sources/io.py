@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shroud.session import materialize
+
 
 def from_table(df: DataFrame, weight: str = "Count", key: str = "kkey") -> DataFrame:
     """Any DataFrame as the all-text working table: every column cast to string,
@@ -25,12 +27,15 @@ def from_table(df: DataFrame, weight: str = "Count", key: str = "kkey") -> DataF
 
 
 def load_source(spark: SparkSession, path: str, weight: str = "Count",
-                key: str = "kkey", multi_line: bool = True) -> DataFrame:
+                key: str = "kkey", multi_line: bool = True, staged: bool = False) -> DataFrame:
     """Read a CSV file (or folder of part files) as an all-text table.
 
     Quoted fields may hold newlines; each file is then read by one task, so
     give large input as many files.  ``multi_line=False`` splits files across
-    tasks, for input known to have no quoted newlines.  Every record is parsed
+    tasks, for input known to have no quoted newlines.  With ``staged`` the
+    parsed rows are spread over all tasks and written once to the shared
+    checkpoint folder, so that of one large file only the parse is serial and
+    happens once.  Every record is parsed
     in full and every file's header is compared with the first one's, whatever
     columns a query needs: a ragged record or another order of columns fails
     the load instead of being read wrongly."""
@@ -49,6 +54,10 @@ def load_source(spark: SparkSession, path: str, weight: str = "Count",
     # Unquoted empty fields still read as NULL; the reference keeps them as ''.
     texts = [f.name for f in raw.schema.fields if isinstance(f.dataType, T.StringType)]
     raw = raw.na.fill("", subset=texts) if texts else raw
+    if staged:
+        # by the hash of the place, so that repeated rows are spread too
+        spread = F.xxhash64(F.monotonically_increasing_id())
+        raw = materialize(raw.withColumn("__spread", spread).repartition("__spread").drop("__spread"), "source")
     return from_table(raw, weight=weight, key=key)
 
 

@@ -20,6 +20,15 @@ def spark():
     s.stop()
 
 
+@pytest.fixture(autouse=True, scope="module")
+def let_go(spark):
+    """No table stays in memory after a module."""
+    from shroud.session import release_kept
+
+    yield
+    release_kept(spark)
+
+
 def rows(df, *cols):
     """Collected rows as tuples, in a stable order."""
     cols = cols or tuple(df.columns)

@@ -335,6 +335,15 @@ def test_files_with_another_header_order_fail(spark, tmp_path):
         S.load_source(spark, str(folder)).collect()
 
 
+def test_staged_load_spreads_one_file(spark, tmp_path):
+    path = tmp_path / "one.csv"
+    path.write_text("a,b\n" + "".join(f"{i % 3},\"x\n{i}\"\n" for i in range(4000)))
+    plain, staged = S.load_source(spark, str(path)), S.load_source(spark, str(path), staged=True)
+    assert plain.select(F.spark_partition_id()).distinct().count() == 1
+    assert sorted(map(tuple, plain.collect())) == sorted(map(tuple, staged.collect()))
+    assert len(staged.inputFiles()) >= 1 and staged.columns == plain.columns
+
+
 def test_export_keeps_blanks(spark, tmp_path):
     df = spark.createDataFrame([(" ", " x ", "True"), ('q"q', "a\nb", "True"), ("no", "no", "False")],
                                "g string, v string, kCheckFlag string")
