@@ -19,8 +19,8 @@ verified on the shingles themselves (strings, not hashes) over the whole
 document, so nothing is reported wrongly; passages torn apart over more than
 a window can be missed.
 
-Items are few: a block of them (``ITEM_BLOCK_BYTES`` of text at most, measured)
-travels with the task.  A larger benchmark is searched block by block over
+Items are few: a block of distinct ones (``ITEM_BLOCK_BYTES`` of texts and ids at
+most, measured) travels with the task.  A larger benchmark is searched block by block over
 all documents.  Documents are read once for each block and never shuffled.
 
 Items without five words, NULL among them, match nothing; NULL or empty
@@ -40,13 +40,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shroud.functions.joins import attach
 from shroud.llm.buffers import Substrings, mix, powers, slices, utf8, word_spans
-from shroud.llm.common import fresh, whole_text
+from shroud.llm.common import drop_stage, fresh, whole_text, write_stage
 
 SHINGLE_WORDS = 5
 CONTAINMENT = 0.8
 MINHASHES = 32
 ITEM_BLOCK_BYTES = 16_000_000
+ITEM_IDS = 500  # ids of one text that stay together
 SLICE_BYTES = 1_500_000
 _WORD = re.compile(rb"[0-9a-z\x80-\xff]+")
 _IS_WORD = np.zeros(256, bool)
@@ -149,13 +151,30 @@ class ItemIndex:
         return hits
 
 
-def _item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+def _item_blocks(items: DataFrame, id_col: str, text_col: str) -> Iterator[list[tuple[list[tuple[int, int]], str]]]:
+    """Blocks of (ids with their repeats, text), of ``ITEM_BLOCK_BYTES`` at most (a larger item alone).
+
+    Equal texts are one item; one with very many ids is split into parts of about ``ITEM_IDS``."""
     rows = items.select(F.col(id_col).cast("long").alias("id"), whole_text(text_col).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text") + 64)).first()[0] or 0
+    ids = rows.groupBy("id", "text").agg(F.count(F.lit(1)).alias("times"))
+    often = ids.groupBy("text").agg(F.count(F.lit(1)).alias("n"), F.count(F.lit(1)).alias("rows"))
+    part = F.pmod(F.xxhash64("id"), F.ceil(F.col("n") / ITEM_IDS))
+    entries, path = write_stage(
+        attach(ids, often, ["text"], rows_col="rows").groupBy("text", part.alias("part"))
+        .agg(F.collect_list(F.struct("id", "times")).alias("ids"))
+        .withColumn("bytes", F.octet_length("text") + 64 + 32 * F.size("ids")), "decontaminate-items")
+    total = entries.agg(F.sum("bytes")).first()[0] or 0
     blocks = max(1, math.ceil(2 * total / ITEM_BLOCK_BYTES))  # half full on average
+    while True:
+        block = F.pmod(F.xxhash64("text", "part"), F.lit(blocks))
+        sizes = entries.groupBy(block.alias("block")).agg(F.sum("bytes").alias("bytes"), F.count(F.lit(1)).alias("n"))
+        if not sizes.filter((F.col("bytes") > ITEM_BLOCK_BYTES) & (F.col("n") > 1)).limit(1).count():
+            break
+        blocks *= 2
     for b in range(blocks):
-        part = rows.filter(F.pmod(F.xxhash64("id", "text"), F.lit(blocks)) == b)
-        yield [(r.id, r.text) for r in part.orderBy("id", "text").collect()]
+        found = entries.filter(block == b).orderBy("text", "part").collect()
+        yield [([(i.id, i.times) for i in r.ids], r.text) for r in found]
+    drop_stage(items.sparkSession, path)
 
 
 def with_contained_items(docs: DataFrame, items: DataFrame, hits_name: str, text_col: str = "text",
@@ -170,7 +189,7 @@ def with_contained_items(docs: DataFrame, items: DataFrame, hits_name: str, text
             continue
 
         def batches(parts: Iterator[pa.RecordBatch], block=block) -> Iterator[pa.RecordBatch]:
-            index = ItemIndex(block, words, containment)
+            index = ItemIndex([(at, text) for at, (_, text) in enumerate(block)], words, containment)
             for part in parts:
                 at = part.schema.get_field_index(hits_name)
                 kind = part.schema.field(at).type
@@ -179,7 +198,8 @@ def with_contained_items(docs: DataFrame, items: DataFrame, hits_name: str, text
                     found = index.search(some.column(text_col).to_pylist())
                     columns = list(some.columns)
                     if any(found):
-                        lists = [b + [{"item_id": i, "containment": c} for i, c in f]
+                        lists = [b + [{"item_id": i, "containment": c} for at_item, c in f
+                                      for i, times in block[at_item][0] for _ in range(times)]
                                  for b, f in zip(columns[at].to_pylist(), found, strict=True)]
                         columns[at] = pa.array(lists, kind)
                     yield pa.RecordBatch.from_arrays(columns, schema=schema)

@@ -242,3 +242,21 @@ def test_op7_and_op8_queries(spark):
         i: (len(t.encode()) + 1, zlib.crc32(t.encode()), "key") for i, t in rows.items()}
     for r in catalog.op8_secret_scan(spark, "/root/testdata/sf0.001").collect():
         assert r.base_sha256 == hashlib.sha256(joined(base_spans(rows[r.doc_id])).encode()).hexdigest()
+
+
+def test_item_blocks_keep_their_bound(spark, monkeypatch):
+    from shroud.llm import decontaminate as contamination
+
+    monkeypatch.setattr(contamination, "ITEM_BLOCK_BYTES", 10_000)
+    monkeypatch.setattr(contamination, "ITEM_IDS", 100)
+    text = "one two three four five six seven"
+    rows = [(i, text) for i in range(2000)] + [(7, text)] * 3 + [(None, text), (1, "x" * 30_000), (5000, None)]
+    items = spark.createDataFrame(rows, "item_id bigint, text string")
+    blocks = list(contamination._item_blocks(items, "item_id", "text"))
+    sizes = [[len(t) + 64 + 32 * len(ids) for ids, t in block] for block in blocks]
+    assert all(sum(s) <= 10_000 or len(s) == 1 for s in sizes)
+    found = [i for block in blocks for ids, t in block if t == text for i, times in ids for _ in range(times)]
+    assert sorted(found, key=str) == sorted([i for i, t in rows if t == text], key=str)
+    docs = spark.createDataFrame([(1, f"before {text} after"), (2, "none")], "doc_id bigint, text string")
+    got = {r.doc_id: r.n_items for r in contamination.contaminated_documents(docs, items).collect()}
+    assert got == {1: 2004, 2: 0}
