@@ -7,16 +7,22 @@ up to the longest piece are hashed from prefix sums and probed in the sorted
 hashes of the pieces, which gives the lattice of pieces; byte pieces stand in
 for characters that have no piece.
 
-What then picks the segmentation depends on the model's kind:
-
-* unigram: Viterbi.  For every end position, the best score over all last
-  pieces is a vectorised maximum, and its length is the back-pointer.
-* BPE: the vectorised maximum runs over the adjacent pairs of each word; the
-  best-scored pair (the leftmost of equals) is merged in every word of the
-  batch at once.  A Viterbi path maximises the sum of scores, which isn't
-  what a BPE model means by its scores; it would give other ids than the
-  library does.
-
+Viterbi then picks the segmentation: for every end position the best score
+over all last pieces is a vectorised maximum, and its length is the
+back-pointer.  Which last pieces compete depends on the model's kind:
+
+* unigram: all of them; the best sum of scores wins.
+* BPE: those that are stable after the piece that the back-pointer of their
+  start holds, that is, merging the two texts as one gives these two pieces
+  again; others score minus infinity.  A sequence is what merging gives if and
+  only if each neighbouring pair is stable, since merges inside pieces don't
+  depend on what stands beyond the border, so one piece is left at every end.
+  A pair is tested by undoing the merges at its border from the last to the
+  first: at no time may a merge across the border have come before the next
+  one inside.  Verdicts are kept in a table of fixed size.
+
+A BPE model in which some piece isn't built by merges of falling scores (the
+test above needs that) merges the best pair of each word step by step instead.
 Words longer than ``MATRIX_CHARS`` characters are merged one by one with a
 heap (BPE), or in matrices of their own, one row each (unigram), so that
 memory follows the length of a word, not its square.
@@ -52,6 +58,7 @@ _WORDS = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
 _LATIN = "A-Za-zÀ-ÖØ-öø-ɏ"
 _FINE_WORDS = re.compile(f"{SPACE}*(?:[{_LATIN}]+|[^{SPACE}{_LATIN}]+)|{SPACE}+")
 _NONE = -1
+PAIR_SLOTS = 1 << 20
 
 
 class Vocabulary:
@@ -73,6 +80,9 @@ class Vocabulary:
         lengths = np.array([len(pieces[i]) for i in usable], np.uint64)
         with np.errstate(over="ignore"):
             keys = mix((codes * self.pow[:self.longest]).sum(1, dtype=np.uint64) + lengths)
+        self.total = np.zeros(len(pieces), np.uint64)
+        self.total[usable] = (codes * self.pow[:self.longest]).sum(1, dtype=np.uint64)
+        self.length = np.fromiter(map(len, pieces), np.int64, len(pieces))
         order = np.argsort(keys)
         self.keys, self.key_ids = keys[order], np.array(usable, np.int32)[order]
         if len(np.unique(keys)) != len(keys):
@@ -82,6 +92,7 @@ class Vocabulary:
         fine = all(_FINE_WORDS.fullmatch(pieces[i]) for i in usable)
         self.words = (_FINE_WORDS if fine else _WORDS).findall
         self.byte_ids = byte_ids
+        self.by_borders = not unigram and self._learn_merges(usable, pieces)
         raw = []
         of_byte = {i: b for b, i in byte_ids.items()}
         for i, p in enumerate(pieces):
@@ -114,6 +125,77 @@ class Vocabulary:
         return cls(pieces, [p.score for p in spec.pieces], spec.trainer_spec.model_type == 1,
                    [p.type == kind.NORMAL for p in spec.pieces], byte_ids, unknown)
 
+    def _learn_merges(self, usable: list[int], pieces: list[str]) -> bool:
+        """The last merge of every piece that merging its characters gives: its two parts and when it
+        comes (``made``, the score; infinite for a character).  False if the border test can't rest on them."""
+        self.left, self.right = np.zeros((2, len(pieces)), np.int64)
+        self.made = np.full(len(pieces), np.nan)  # NaN: merging never gives this piece
+        ids = np.array(usable, np.int64)
+        self.made[ids[self.length[ids] == 1]] = np.inf
+        for length in range(2, self.longest + 1):
+            some = ids[self.length[ids] == length]
+            if not len(some):
+                continue
+            text = "".join([pieces[i] for i in some.tolist()])
+            chars = np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(-1, length)
+            for rows, _, parts in self.merges(chars, until=2):
+                if parts.shape[1] != 2:
+                    continue
+                if (parts == _NONE).any():
+                    return False
+                self.left[some[rows]], self.right[some[rows]] = parts.T
+                self.made[some[rows]] = self.score[some[rows]]
+        built = ids[(self.length[ids] > 1) & ~np.isnan(self.made[ids])]
+        parts_made = np.minimum(self.made[self.left[built]], self.made[self.right[built]])
+        self.pair_keys = np.full(PAIR_SLOTS, -1, np.int64)
+        self.pair_stable = np.zeros(PAIR_SLOTS, bool)
+        return bool((parts_made >= self.made[built]).all())
+
+    def _pair_score(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Scores of the pieces that are ``a`` and ``b`` joined; minus infinity where there is none."""
+        length = self.length[a] + self.length[b]
+        with np.errstate(over="ignore"):
+            keys = mix(self.total[a] + self.total[b] * self.pow[self.length[a]] + length.astype(np.uint64))
+        out = np.full(len(a), -np.inf)
+        like = np.flatnonzero((length <= self.longest) & self.maybe[(keys & np.uint64(0xFFFFF)).astype(np.int64)])
+        at = np.minimum(np.searchsorted(self.keys, keys[like]), len(self.keys) - 1)
+        hit = self.keys[at] == keys[like]
+        out[like[hit]] = self.score[self.key_ids[at[hit]]]
+        return out
+
+    def _borders_hold(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """Whether merging piece ``a`` followed by piece ``b`` as one text keeps the border, for each pair."""
+        holds = np.ones(len(a), bool)
+        rows = np.arange(len(a))
+        bound, equal = np.full(len(a), -np.inf), np.zeros(len(a), bool)
+        while len(rows):
+            across = self._pair_score(a, b)
+            merged = (across > bound) | (equal & (across == bound))
+            holds[rows[merged]] = False
+            later_b = self.made[b] <= self.made[a]  # of equal merges the left one comes first
+            bound = np.where(later_b, self.made[b], self.made[a])
+            go = ~merged & (bound < np.inf)
+            rows, bound, equal, a, b = rows[go], bound[go], later_b[go], a[go], b[go]
+            a, b = np.where(equal, a, self.right[a]), np.where(equal, self.left[b], b)
+        return holds
+
+    def _stable(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
+        """Whether ``piece`` may follow ``before`` (-1: no piece or the start of the word)."""
+        out = ~np.isnan(self.made[piece])
+        ask = np.flatnonzero(out & (before != _NONE))
+        keys = before[ask] * len(self.made) + piece[ask]
+        slot = (mix(keys.astype(np.uint64)) % np.uint64(PAIR_SLOTS)).astype(np.int64)
+        known = self.pair_keys[slot] == keys
+        out[ask[known]] = self.pair_stable[slot[known]]
+        if not known.all():
+            new, first, back = np.unique(keys[~known], return_index=True, return_inverse=True)
+            holds = self._borders_hold(*np.divmod(new, len(self.made)))
+            out[ask[~known]] = holds[back]
+            slot = slot[~known][first]
+            _, one = np.unique(slot, return_index=True)  # a slot holds one pair
+            self.pair_keys[slot[one]], self.pair_stable[slot[one]] = new[one], holds[one]
+        return out
+
     def lattice(self, chars: np.ndarray) -> np.ndarray:
         """Piece ids of all substrings: [word, start, length - 1], -1 where there is none."""
         n, size = chars.shape
@@ -148,7 +230,8 @@ class Vocabulary:
         return out
 
     def viterbi(self, chars: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(rows, cuts, ids) by number of pieces: the best sums of scores for words of equal length."""
+        """(rows, cuts, ids) by number of pieces for words of equal length: the best sums of scores,
+        for a BPE model over the paths whose neighbouring pieces are stable."""
         n, size = chars.shape
         pieces = self.lattice(chars)
         score = np.where(pieces == _NONE, -np.inf, self.score[np.maximum(pieces, 0)])
@@ -157,12 +240,20 @@ class Vocabulary:
         best = np.full((n, size + 1), -np.inf)
         best[:, 0] = 0.0
         back = np.zeros((n, size + 1), np.int64)
+        last = np.full((n, size + 1), _NONE, np.int64)  # the piece that ends there
+        every = np.arange(n)
         for end in range(1, size + 1):
             lengths = np.arange(1, min(pieces.shape[2], end) + 1)
             reach = best[:, end - lengths] + score[:, end - lengths, lengths - 1]
+            ending = pieces[:, end - lengths, lengths - 1]
+            if self.by_borders:
+                row, k = np.nonzero(ending != _NONE)
+                stable = self._stable(last[row, end - lengths[k]], ending[row, k].astype(np.int64))
+                reach[row[~stable], k[~stable]] = -np.inf
             pick = reach.argmax(1)
-            best[:, end] = reach[np.arange(n), pick]
+            best[:, end] = reach[every, pick]
             back[:, end] = lengths[pick]
+            last[:, end] = ending[every, pick]
         rows, end, path = np.arange(n), np.full(n, size), []
         while len(rows):  # follow the back-pointers of all words at once
             path.append((rows, end))
@@ -184,15 +275,16 @@ class Vocabulary:
         starts = np.c_[np.zeros(len(cuts), np.int64), cuts[:, :-1]]
         return pieces[rows[:, None], starts, cuts - starts - 1]
 
-    def merges(self, chars: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-        """(rows, cuts, ids) by number of pieces: BPE merges, one in each word of equal length a step."""
+    def merges(self, chars: np.ndarray, until: int = 1) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """(rows, cuts, ids) by number of pieces: BPE merges, one in each word of equal length a step,
+        down to ``until`` pieces."""
         n, size = chars.shape
         pieces = self.lattice(chars)
         most = pieces.shape[2]
         score = np.where(pieces == _NONE, -np.inf, self.score[np.maximum(pieces, 0)])
         alive = np.arange(n)
         ends = np.tile(np.arange(1, size + 1), (n, 1))
-        while len(alive) and ends.shape[1] > 1:
+        while len(alive) and ends.shape[1] > until:
             starts = np.c_[np.zeros(len(ends), np.int64), ends[:, :-2]]
             length = ends[:, 1:] - starts
             pair = np.where(length <= most, score[alive[:, None], starts, np.minimum(length, most) - 1], -np.inf)
@@ -250,7 +342,7 @@ class Vocabulary:
                 some = places[lo:lo + most]
                 text = "".join([words[i] for i in some.tolist()])
                 chars = np.frombuffer(text.encode("utf-32-le"), "<u4").reshape(-1, length)
-                for rows, cuts, ids in (self.viterbi if self.unigram else self.merges)(chars):
+                for rows, cuts, ids in (self.viterbi if self.unigram or self.by_borders else self.merges)(chars):
                     whole = (ids != _NONE).all(1)
                     found.append((some[rows[whole]], ids[whole]))
                     for row, c, i in zip(some[rows[~whole]].tolist(), cuts[~whole].tolist(),

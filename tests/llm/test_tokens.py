@@ -36,6 +36,54 @@ def test_bpe_ids_are_the_librarys(spark):
         assert codec.decode(ids, at) == some
 
 
+def random_bpe(rng, letters="abcd", pieces=40, falling=True):
+    """A vocabulary grown by joining pieces at random; scores fall with age, or are shuffled."""
+    names = ["<unk>", *letters]
+    while len(names) < pieces:
+        joined = names[rng.integers(1, len(names))] + names[rng.integers(1, len(names))]
+        if joined not in names and len(joined) <= 9:
+            names.append(joined)
+    scores = [-float(i) for i in range(len(names))]
+    if not falling:
+        scores = [0.0, *rng.permutation(scores[1:]).tolist()]
+    return Vocabulary(names, scores, False, [p != "<unk>" for p in names], {}, 0)
+
+
+@pytest.mark.parametrize("falling", [True, False])
+def test_stable_pairs_give_the_merges(falling):
+    rng = np.random.default_rng(8)
+    by_borders = 0
+    for _ in range(25):
+        vocabulary = random_bpe(rng, falling=falling)
+        by_borders += vocabulary.by_borders
+        words = ["".join(rng.choice(list("abcdx"), size=rng.integers(1, 30))) for _ in range(150)]
+        got = vocabulary.encode_words(words)
+        want = [vocabulary._emit(w, *vocabulary.merge_long(w)) for w in words]
+        assert got[1].tolist() == [len(x) for x in want]
+        assert got[0].tolist() == [i for x in want for i in x]
+    assert by_borders > 0 if falling else by_borders < 25
+
+
+def test_the_public_model_goes_through_the_lattice_path(spark, monkeypatch):
+    import sentencepiece
+
+    vocabulary = Vocabulary.load(MODEL)
+    assert vocabulary.by_borders
+    monkeypatch.setattr(Vocabulary, "merges", None)
+    library = sentencepiece.SentencePieceProcessor(model_file=MODEL)
+    words = sorted({w for t in sample_texts(spark, "sf0.01", 2000) for w in (t or "").split()})
+    codec = Codec(vocabulary)
+    ids, at = codec.encode(words)
+    assert [ids[a:b].tolist() for a, b in itertools.pairwise(at.tolist())] == library.encode(words)
+
+
+def test_pair_slots_may_collide(monkeypatch):
+    from shroud.llm import sentencepiece_codec
+
+    monkeypatch.setattr(sentencepiece_codec, "PAIR_SLOTS", 3)
+    test_stable_pairs_give_the_merges(True)
+
+
 def test_space_mark_in_a_text_becomes_a_space():
     codec = Codec(Vocabulary.load(MODEL))
     assert codec.decode(*codec.encode(["a▁b"])) == ["a b"]
