@@ -55,7 +55,8 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    found = contaminated_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.withColumn("item_ids", F.array_join("item_ids", ","))
 
 
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -177,7 +178,34 @@ JOIN subroots s ON s.grp = p.grp, (SELECT h FROM above WHERE n = 1) r
 """
 
 
+def _containment_sql() -> str:
+    """Exact containment from all shingles of both tables."""
+    def words(table: str, id_col: str) -> str:
+        return f"""SELECT row_number() OVER () AS r, {id_col},
+                     regexp_extract_all(lower(coalesce(text, '')), '[0-9a-z\\x{{80}}-\\x{{10ffff}}]+') AS w
+                   FROM {table}"""
+
+    def shingled(table: str) -> str:
+        return f"""SELECT DISTINCT r, array_to_string(w[p:p + 4], ' ') AS s
+                   FROM (SELECT r, w, unnest(range(1, len(w) - 3)) AS p FROM {table})"""
+
+    return f"""
+        WITH docs AS ({words("documents", "doc_id")}), items AS ({words("benchmark", "item_id")}),
+        doc_shingles AS ({shingled("docs")}), item_shingles AS ({shingled("items")}),
+        sizes AS (SELECT r, count(*) AS n FROM item_shingles GROUP BY r),
+        common AS (SELECT d.r, i.r AS i, count(*) AS both
+                   FROM doc_shingles d JOIN item_shingles i USING (s) GROUP BY d.r, i.r),
+        hits AS (SELECT c.r, items.item_id, c.both / n AS share
+                 FROM common c JOIN sizes ON sizes.r = c.i JOIN items ON items.r = c.i WHERE c.both / n >= 0.8),
+        found AS (SELECT r, count(*) AS n_items, max(share) AS containment,
+                    string_agg(item_id, ',' ORDER BY item_id) AS item_ids FROM hits GROUP BY r)
+        SELECT doc_id, n_items IS NOT NULL AS contaminated, coalesce(n_items, 0) AS n_items,
+               coalesce(item_ids, '') AS item_ids, coalesce(containment, 0.0) AS containment
+        FROM docs LEFT JOIN found USING (r)"""
+
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_decontaminate": _containment_sql(),
     "op5_exact_dedup": """
         WITH normed AS (
           SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
