@@ -47,21 +47,30 @@ _WIDEST = max(WIDTHS)
 _PAD = 256
 
 
-def windows_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(byte codes [window, WINDOW + widest - 1], row, bytes) of the windows that tile each text.
-
-    A window also sees the first bytes after it, so that no n-gram is lost at a border."""
+def window_places(offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, start, bytes left in the text) of the windows that tile each text."""
     size = np.diff(offsets)
     count = -(-size // WINDOW)
     row = np.repeat(np.arange(len(size)), count)
     start = offsets[:-1][row] + WINDOW * (np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count))
-    left = offsets[1:][row] - start
+    return row, start, offsets[1:][row] - start
+
+
+def window_codes(data: np.ndarray, start: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Byte codes [window, WINDOW + widest - 1]; a window also sees the first bytes after it,
+    so that no n-gram is lost at a border."""
     span = WINDOW + _WIDEST - 1
     at = start[:, None] + np.arange(span)
     codes = np.full(at.shape, _PAD, np.int64)
     inside = np.arange(span) < left[:, None]
     codes[inside] = data[at[inside]]
-    return codes, row, np.minimum(left, WINDOW)
+    return codes
+
+
+def windows_of(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(codes, row, bytes) of all windows."""
+    row, start, left = window_places(offsets)
+    return window_codes(data, start, left), row, np.minimum(left, WINDOW)
 
 
 class Network:
@@ -129,10 +138,13 @@ class Network:
 
     def predict(self, column: pa.Array) -> tuple[list[str], np.ndarray]:
         """(language, score) of each text of a column."""
-        codes, row, size = windows_of(*utf8(column))
+        data, offsets = utf8(column)
+        row, start, left = window_places(offsets)
+        size = np.minimum(left, WINDOW)
         total = np.zeros((len(column), len(self.languages)))
-        for lo in range(0, len(codes), 512):
-            p = self.probabilities(codes[lo:lo + 512]) * size[lo:lo + 512, None]
+        for lo in range(0, len(row), 512):  # only these windows are built at a time
+            codes = window_codes(data, start[lo:lo + 512], left[lo:lo + 512])
+            p = self.probabilities(codes) * size[lo:lo + 512, None]
             np.add.at(total, row[lo:lo + 512], p)
         weight = np.bincount(row, size, len(column))
         total /= np.maximum(weight, 1)[:, None]

@@ -14,7 +14,9 @@ executors turn their whole texts into feature counts, and only those reach
 the driver.  Labels with held-out ids are never read.  Scoring covers every
 whole text in one pass without a shuffle: the mean of vectors followed by a
 linear map is the mean of one number for each bucket, so a text of any length
-needs one look-up for each feature.
+needs one look-up for each feature.  A long text is worked through in blocks
+of about ``BLOCK_BYTES`` that end at white space, with the same features as in
+one piece; memory beside the text follows the block (or a longer word).
 
 NULL and empty texts have no features and get the model's score without any
 (the bias).  Without any labelled row every score is 0.5.  Labels other than
@@ -42,35 +44,77 @@ DIMENSIONS = 8
 SAMPLE_ROWS = 4000
 EPOCHS = 12
 SLICE_BYTES = 1_000_000
+BLOCK_BYTES = 1_000_000
 MODULUS, HELD_OUT = 3, 1
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
 
 
-def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """(bucket, row) of every feature of a text column; rows in order."""
+def _blocks(space: np.ndarray, offsets: np.ndarray) -> Iterator[tuple[int, int]]:
+    """(start, end) of blocks of the buffer, ``BLOCK_BYTES`` long at least but for the last one.
+
+    They end between texts or behind a white space, with which the next one begins again; so every
+    word, and every n-gram with white space at its ends only, lies in one block."""
+    start, n = 0, len(space)
+    while start < n:
+        end = start + BLOCK_BYTES
+        if end >= n:
+            yield start, n
+            return
+        border = int(offsets[np.searchsorted(offsets, end)])  # of the text that the block would cut
+        cut = end
+        while cut < border and not space[cut]:
+            found = np.flatnonzero(space[cut:min(cut + BLOCK_BYTES, border)])
+            cut = cut + int(found[0]) if len(found) else min(cut + BLOCK_BYTES, border)
+        yield start, min(cut + 1, border)
+        start = cut
+
+
+def feature_blocks(column: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(bucket, row) of every feature of a text column, by blocks of its bytes."""
     data, offsets = utf8(column)
-    n = len(data)
     space = _SPACE[data]
-    starts, ends = word_spans(~space, offsets)
-    hashes = Substrings(data)
-    text_of = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(offsets))
-    word, word_row = hashes.hashes(starts, ends), text_of[starts]
-    with np.errstate(over="ignore"):
-        pair = mix(word[:-1] * np.uint64(3) + word[1:])
-    pair[word[:-1] == word[1:]] = REPEATED
-    together = word_row[:-1] == word_row[1:]
-    buckets, rows = [word, pair[together]], [word_row, word_row[1:][together]]
-    spaces = np.r_[0, np.cumsum(space)]
-    for size in GRAMS:
-        at = np.arange(max(0, n - size + 1))
-        # inside one text, and white space at its first or last byte only
-        inner = spaces[at + size - 1] - spaces[at + 1]
-        at = at[(inner == 0) & (text_of[at] == text_of[at + size - 1])]
-        buckets.append(hashes.hashes(at, at + size))
-        rows.append(text_of[at])
-    bucket = (np.concatenate(buckets) >> np.uint64(40)).astype(np.int64) % BUCKETS
-    return bucket, np.concatenate(rows)
+    last_word, last_row = np.empty(0, np.uint64), np.empty(0, np.int32)
+    for start, end in _blocks(space, offsets):
+        blank, inside = space[start:end], np.clip(offsets, start, end) - start
+        starts, ends = word_spans(~blank, inside)
+        hashes = Substrings(data[start:end])
+        text_of = np.repeat(np.arange(len(offsets) - 1, dtype=np.int32), np.diff(inside))
+        word, word_row = hashes.hashes(starts, ends), text_of[starts]
+        # neighbours, the last word of the block before among them
+        chain, chain_row = np.r_[last_word, word], np.r_[last_row, word_row]
+        with np.errstate(over="ignore"):
+            pair = mix(chain[:-1] * np.uint64(3) + chain[1:])
+        pair[chain[:-1] == chain[1:]] = REPEATED
+        together = chain_row[:-1] == chain_row[1:]
+        last_word, last_row = chain[-1:], chain_row[-1:]
+        buckets, rows = [word, pair[together]], [word_row, chain_row[1:][together]]
+        spaces = np.r_[0, np.cumsum(blank)]
+        for size in GRAMS:
+            at = np.arange(max(0, end - start - size + 1))
+            # inside one text, and white space at its first or last byte only
+            inner = spaces[at + size - 1] - spaces[at + 1]
+            at = at[(inner == 0) & (text_of[at] == text_of[at + size - 1])]
+            buckets.append(hashes.hashes(at, at + size))
+            rows.append(text_of[at])
+        yield (np.concatenate(buckets) >> np.uint64(40)).astype(np.int64) % BUCKETS, np.concatenate(rows)
+
+
+def features(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """(bucket, row) of every feature of a text column."""
+    none = np.empty(0, np.int64), np.empty(0, np.int32)
+    bucket, row = zip(none, *feature_blocks(column), strict=True)
+    return np.concatenate(bucket), np.concatenate(row)
+
+
+def feature_counts(column: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, bucket, count) of the distinct features of each text, in this order."""
+    codes, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+    for bucket, row in feature_blocks(column):
+        new, times = np.unique(row.astype(np.int64) * BUCKETS + bucket, return_counts=True)
+        codes, place = np.unique(np.r_[codes, new], return_inverse=True)
+        counts = np.bincount(place, np.r_[counts, times], len(codes)).astype(np.int64)
+    return codes // BUCKETS, codes % BUCKETS, counts
 
 
 class Model:
@@ -82,10 +126,10 @@ class Model:
         self.bias = float(bias[1] - bias[0])
 
     def scores(self, column: pa.Array) -> np.ndarray:
-        bucket, row = features(column)
-        n = len(column)
-        total = np.bincount(row, self.weight[bucket], n)
-        count = np.bincount(row, minlength=n)
+        total, count = np.zeros(len(column)), np.zeros(len(column), np.int64)
+        for bucket, row in feature_blocks(column):
+            total += np.bincount(row, self.weight[bucket], len(column))
+            count += np.bincount(row, minlength=len(column))
         return 1.0 / (1.0 + np.exp(-(total / np.maximum(count, 1) + self.bias)))
 
 
@@ -142,16 +186,14 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts:
             for some in slices(part, "text", SLICE_BYTES):
-                bucket, row = features(some.column("text"))
-                code, count = np.unique(row.astype(np.int64) * BUCKETS + bucket, return_counts=True)
-                of = code // BUCKETS
+                of, bucket, count = feature_counts(some.column("text"))
                 total = np.bincount(of, count, some.num_rows)
                 cuts = np.searchsorted(of, np.arange(some.num_rows + 1))
                 offsets = pa.array(cuts.astype(np.int32))
                 share = (count / np.maximum(total[of], 1)).astype(np.float32)
                 yield pa.RecordBatch.from_arrays(
                     [some.column("id"), some.column("label"), some.column("times"), some.column("mix"),
-                     pa.ListArray.from_arrays(offsets, pa.array((code % BUCKETS).astype(np.int16))),
+                     pa.ListArray.from_arrays(offsets, pa.array(bucket.astype(np.int16))),
                      pa.ListArray.from_arrays(offsets, pa.array(share))],
                     names=["id", "label", "times", "mix", "bucket", "share"])
 

@@ -1,9 +1,14 @@
 """Language identification and quality classifier: held-out accuracy and defined cases."""
 
+import subprocess
+import sys
 import zlib
+from collections import Counter
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from samples import EXTRA, ROWS, documents
 
 from shroud.llm import catalog, language_id, quality
@@ -11,6 +16,7 @@ from shroud.llm.language_id import languages
 from shroud.llm.quality import good_documents, quality_scores
 
 SF = "/root/testdata/sf0.01"
+ROOT = Path(__file__).parents[2]
 
 
 def test_language_accuracy(spark):
@@ -30,6 +36,65 @@ def test_windows_tile_the_text():
         assert raw == t.encode()
 
 
+@pytest.mark.parametrize("block", [1, 2, 7, 300])
+def test_features_in_blocks_are_those_of_the_whole_text(monkeypatch, block):
+    texts = ["one two  two\tthree ", None, "", " ", "a", "word" * 90, "ab " * 150, "日本語 の テキスト\n" * 20, " x y"]
+    column = pa.array(texts * 2)
+
+    def counted():
+        bucket, row = quality.features(column)
+        return Counter(zip(row.tolist(), bucket.tolist(), strict=True))
+
+    whole = counted()
+    monkeypatch.setattr(quality, "BLOCK_BYTES", block)
+    assert counted() == whole
+    row, bucket, count = quality.feature_counts(column)
+    assert list(zip(row.tolist(), bucket.tolist(), strict=True)) == sorted(whole)
+    assert count.tolist() == [whole[k] for k in sorted(whole)]
+
+
+def worker_peak(code):
+    """Peak memory in MB of a fresh Python process that runs ``code``, above one that only imports."""
+    def peak(body):
+        lines = ("import numpy as np, pyarrow as pa, resource", "from shroud.llm import language_id, quality", body,
+                 "print(resource.getrusage(resource.RUSAGE_SELF).ru_maxrss // 1024)")
+        return int(subprocess.run([sys.executable, "-c", "\n".join(lines)], capture_output=True, text=True,
+                                  check=True, cwd=ROOT).stdout)
+    return peak(code) - peak("")
+
+
+def test_memory_for_one_very_long_text():
+    text = "text = pa.array(['some words of a very long text ' * 3_200_000])"  # 100 MB
+    model = "quality.Model(np.ones((quality.BUCKETS, 2)), np.eye(2), np.zeros(2))"
+    assert worker_peak(f"{text}; {model}.scores(text)") < 900
+    places = "data, offsets = language_id.utf8(text); row, start, left = language_id.window_places(offsets)"
+    assert worker_peak(f"{text}; {places}; language_id.window_codes(data, start[:512], left[:512])") < 900
+
+
+def brute_pooled(network, text):
+    """The network's probabilities for one short text, by loops."""
+    codes = [*text.encode(), *[256] * 200]
+    wide = len(language_id.WIDTHS) * language_id.FILTERS
+    weight = network.filters.reshape(max(language_id.WIDTHS), language_id.EMBEDDING, wide)
+    hidden = []
+    for f in range(wide):
+        best = max(sum(float(network.embed[codes[at + k]] @ weight[k, :, f]) for k in range(weight.shape[0]))
+                   for at in range(language_id.WINDOW))
+        hidden.append(max(best + float(network.shift[f]), 0.0))
+    logits = [sum(h * float(network.out[f, c]) for f, h in enumerate(hidden)) + float(network.bias[c])
+              for c in range(len(network.languages))]
+    top = np.exp(np.array(logits) - max(logits))
+    return top / top.sum()
+
+
+def test_language_scores_are_brute_force():
+    network = language_id.Network(["de", "en", "fr"], seed=3)
+    for text in ("a", "Ein kurzer Satz.", "un été à la mer", "x" * 120):
+        want = brute_pooled(network, text)
+        names, score = network.predict(pa.array([text]))
+        assert names == [network.languages[int(want.argmax())]] and abs(score[0] - want.max()) < 1e-5
+
+
 def test_the_whole_text_counts(spark):
     en = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'en'").limit(30).collect()]
     de = [r.text for r in spark.read.parquet(f"{SF}/documents.parquet").filter("lang = 'de'").limit(30).collect()]
