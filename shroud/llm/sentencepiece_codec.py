@@ -180,9 +180,9 @@ class Vocabulary:
         return holds
 
     def _stable(self, before: np.ndarray, piece: np.ndarray) -> np.ndarray:
-        """Whether ``piece`` may follow ``before`` (-1: no piece or the start of the word)."""
-        out = ~np.isnan(self.made[piece])
-        ask = np.flatnonzero(out & (before != _NONE))
+        """Whether ``piece`` may follow ``before`` (-1: a character without a piece, or the start of the word)."""
+        out = (piece == _NONE) | ~np.isnan(self.made[piece])
+        ask = np.flatnonzero(out & (before != _NONE) & (piece != _NONE))
         keys = before[ask] * len(self.made) + piece[ask]
         slot = (mix(keys.astype(np.uint64)) % np.uint64(PAIR_SLOTS)).astype(np.int64)
         known = self.pair_keys[slot] == keys
@@ -234,26 +234,30 @@ class Vocabulary:
         for a BPE model over the paths whose neighbouring pieces are stable."""
         n, size = chars.shape
         pieces = self.lattice(chars)
-        score = np.where(pieces == _NONE, -np.inf, self.score[np.maximum(pieces, 0)])
-        single = score[:, :, 0]
-        single[pieces[:, :, 0] == _NONE] = self.floor  # a character without a piece
-        best = np.full((n, size + 1), -np.inf)
-        best[:, 0] = 0.0
+        by_end = np.full((size, n, pieces.shape[2]), _NONE, np.int32)
+        for k in range(pieces.shape[2]):
+            by_end[k:, :, k] = pieces[:, :size - k, k].T
+        there = by_end != _NONE
+        there[:, :, 0] = True  # a character without a piece
+        place, word, shorter = np.nonzero(there)  # ascending by end, word, length
+        piece = by_end[place, word, shorter].astype(np.int64)
+        value = np.where(piece == _NONE, self.floor, self.score[piece])
+        first = np.searchsorted(place, np.arange(size + 1))
+        best = np.zeros((n, size + 1))
         back = np.zeros((n, size + 1), np.int64)
         last = np.full((n, size + 1), _NONE, np.int64)  # the piece that ends there
-        every = np.arange(n)
         for end in range(1, size + 1):
-            lengths = np.arange(1, min(pieces.shape[2], end) + 1)
-            reach = best[:, end - lengths] + score[:, end - lengths, lengths - 1]
-            ending = pieces[:, end - lengths, lengths - 1]
+            some = slice(first[end - 1], first[end])
+            row, ending, length = word[some], piece[some], shorter[some] + 1
+            start = end - length
+            reach = best[row, start] + value[some]
             if self.by_borders:
-                row, k = np.nonzero(ending != _NONE)
-                stable = self._stable(last[row, end - lengths[k]], ending[row, k].astype(np.int64))
-                reach[row[~stable], k[~stable]] = -np.inf
-            pick = reach.argmax(1)
-            best[:, end] = reach[every, pick]
-            back[:, end] = lengths[pick]
-            last[:, end] = ending[every, pick]
+                reach[~self._stable(last[row, start], ending)] = -np.inf
+            lead = np.searchsorted(row, np.arange(n))  # each word's shortest last piece
+            best[:, end] = np.maximum.reduceat(reach, lead)
+            top = np.flatnonzero(reach == best[row, end])[::-1]  # of equals the shortest is written last
+            back[row[top], end] = length[top]
+            last[row[top], end] = ending[top]
         rows, end, path = np.arange(n), np.full(n, size), []
         while len(rows):  # follow the back-pointers of all words at once
             path.append((rows, end))
