@@ -16,17 +16,26 @@ from pyspark.sql import functions as F
 from shroud.session import scratch_path
 
 _KEPT: dict[str, list[str]] = {}
+# Spark's setting: a query's shuffle files go when it ends, not when the driver collects its garbage.
+FILES_GO = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def write_stage(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """Write ``df`` as Parquet in the shared folder and read it back."""
+def write_stage(df: DataFrame, name: str, files_go: bool = False) -> tuple[DataFrame, str]:
+    """Write ``df`` as Parquet in the shared folder and read it back.
+
+    ``files_go``: the shuffle files of the write, which the table no longer needs, are deleted once it is written."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(FILES_GO, "false")
+    spark.conf.set(FILES_GO, "true" if files_go else before)
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(FILES_GO, before)
     _KEPT.setdefault(spark.sparkContext.applicationId, []).append(path)
     return spark.read.schema(df.schema).parquet(path), path
 
