@@ -51,6 +51,24 @@ def subsets(items: Column, most: int) -> Column:
     return F.concat(*found) if len(found) > 1 else last
 
 
+def _joint(n_comb: int, k: int, shadow_k: bool) -> tuple[str, str]:
+    """SQL of (loss, n_change): the joint measures of every subset v of U, alternately added and taken away."""
+    loss, change = [], []
+    for size in range(1, n_comb + 1):
+        terms_l, terms_c = [], []
+        for v in range(1, 1 << size):
+            inside = [m for m in range(1, v + 1) if m & v == m]
+            arrived = "(" + " + ".join(["n_g"] + [f"coalesce(n{m}, 0L)" for m in inside]) + ")"
+            sign = "+" if (size - v.bit_count()) % 2 == 0 else "-"
+            terms_l.append(f"{sign} ({flx(arrived)} - {flx('n_g')})")
+            for m in inside:
+                enough = f"{arrived} >= {m.bit_count() - 1 if shadow_k else int(k)}"
+                terms_c.append(f"{sign} if(n{m} IS NOT NULL AND (g_safe OR {enough}), 1L, 0L)")
+        loss.append(f"WHEN {size} THEN 0D {' '.join(terms_l)}")
+        change.append(f"WHEN {size} THEN 0L {' '.join(terms_c)}")
+    return tuple(f"CASE size(U) {' '.join(whens)} END" for whens in (loss, change))
+
+
 def terms(counts: DataFrame, k: int, n_comb: int = 1, shadow_k: bool = False, groups: DataFrame | None = None,
           changed: DataFrame | None = None, bound: int | None = None) -> DataFrame:
     """(X, loss, n_change, n_rows) contributions, several rows for each X.
@@ -70,39 +88,37 @@ def terms(counts: DataFrame, k: int, n_comb: int = 1, shadow_k: bool = False, gr
         F.lit(0).cast("bigint").alias("n_change"), F.col("sign").cast("bigint").alias("n_rows"))
     if groups is not None:
         reach = reach.join(groups, "g", "left_semi")
-    if n_comb == 1:
-        sets = reach.select("sign", "g", F.col("T").alias("U"),
-                            F.array(F.struct(F.lit(1).alias("mask"), "n")).alias("parts"))
-    else:
-        unions = reach.select("sign", "g", F.col("T").alias("U"))
-        for _ in range(n_comb - 1):
-            more = unions.filter(F.size("U") < n_comb).join(reach.select("sign", "g", "T"), ["sign", "g"])
-            more = more.select("sign", "g", F.array_sort(F.array_union("U", "T")).alias("U")).filter(F.size("U") <= n_comb)
-            unions = unions.unionByName(more).distinct()
-        parts = unions.select("sign", "g", "U", F.explode(subsets(F.col("U"), n_comb)).alias("T"))
-        parts = parts.join(reach, ["sign", "g", "T"])
-        mask = F.expr("aggregate(T, 0, (a, x) -> a + shiftleft(1, cast(array_position(U, x) AS INT) - 1))")
-        sets = parts.groupBy("sign", "g", "U").agg(F.collect_list(F.struct(mask.alias("mask"), "n")).alias("parts"))
     known = counts.select("sign", F.col("combo").alias("g"), (F.col("n") >= k).alias("g_safe"),
                           F.when(F.col("n") < k, F.col("n")).otherwise(F.lit(0)).alias("n_g"))
-    sets = attach(sets, known, ["sign", "g"], known_max_rows=bound).select(
-        "sign", "g", "U", "parts", F.coalesce("n_g", F.lit(0)).cast("bigint").alias("n_g"),
+    # the counts of a group join what reaches it before that is combined; the joins and groups below then
+    # find their rows in place
+    reach = reach.join(known if bound is None else F.broadcast(known), ["sign", "g"], "left").select(
+        "sign", "g", "T", "n", F.coalesce("n_g", F.lit(0)).cast("bigint").alias("n_g"),
         F.coalesce("g_safe", F.lit(False)).alias("g_safe"))
-    # the joint measures of every subset v of U, alternately added and taken away
-    inside = "filter(parts, p -> (p.mask & v) = p.mask)"
-    arrived = f"aggregate({inside}, n_g, (a, p) -> a + p.n)"
-    enough = "j.arrived >= bit_count(p.mask) - 1" if shadow_k else f"j.arrived >= {int(k)}"
-    joint = F.expr(f"transform(sequence(1, shiftleft(1, size(U)) - 1), v -> named_struct('odd', "
-                   f"if((size(U) - bit_count(v)) % 2 = 0, 1, -1), 'here', {inside}, 'arrived', {arrived}))")
-    sets = sets.withColumn("joint", joint).select(
-        "sign", "g", "U",
-        F.expr(f"aggregate(joint, 0D, (a, j) -> a + j.odd * ({flx('j.arrived')} - {flx('n_g')}))").alias("loss"),
-        F.expr("aggregate(joint, 0L, (a, j) -> a + j.odd * size(filter(j.here, p -> g_safe OR "
-               + enough + ")))").alias("n_change"))
+    # (U, T): every T that reaches g with every union U of sets that do, itself among them; T comes first and
+    # each further set adds some course
+    parts = last = reach.withColumn("U", F.col("T"))
+    for _ in range(n_comb - 1):
+        other = reach.select("sign", "g", F.col("T").alias("more"))
+        last = last.filter(F.size("U") < n_comb).join(other, ["sign", "g"]).withColumn(
+            "both", F.array_sort(F.array_union("U", "more")))
+        last = last.filter((F.size("both") > F.size("U")) & (F.size("both") <= n_comb)).select(
+            "sign", "g", "T", "n", "n_g", "g_safe", F.col("both").alias("U"))
+        parts = parts.unionByName(last)
+    # n1, n2, ...: the users that arrive by the subset of U with this mask, NULL if none does
+    mask = F.lit(0)
+    for i in range(n_comb):
+        mask = mask + F.when(F.array_contains("T", F.get("U", F.lit(i))), 1 << i).otherwise(0)
+    by_mask = [F.max(F.when(F.col("mask") == m, F.col("n"))).cast("bigint").alias(f"n{m}") for m in range(1, 1 << n_comb)]
+    sets = parts.withColumn("mask", mask).groupBy("sign", "g", "U").agg(
+        F.max("n_g").alias("n_g"), F.max("g_safe").alias("g_safe"), *by_mask)
+    loss, change = _joint(n_comb, k, shadow_k)
+    sets = sets.select("sign", "g", "U", F.expr(loss).alias("loss"), F.expr(change).alias("n_change"))
     # each set U, and U + W taken back, from one pass
     away = F.array(F.array().cast("array<int>"))
     if n_comb > 1:
-        away = F.concat(away, F.filter(subsets(F.col("g"), n_comb - 1), lambda w: F.size(w) + F.size("U") <= n_comb))
+        room = F.filter(subsets(F.col("g"), n_comb - 1), lambda w: F.size(w) + F.size("U") <= n_comb)
+        away = F.when(F.size("U") < n_comb, F.concat(away, room)).otherwise(away)
     sets = sets.select("sign", "U", "loss", "n_change", F.explode(away).alias("W"))
     sign = F.col("sign") * F.when(F.size("W") % 2 == 1, -1).otherwise(1)
     return paid.unionByName(sets.select(

@@ -37,6 +37,8 @@ from shroud.functions.joins import attach, sized
 from shroud.operators import drops as D
 from shroud.session import cut_lineage, keep, persisted
 
+# The driver holds the combos' hash table several times while it builds and sends it.
+COUNTS_BROADCAST_BYTES = 8 * 1024 * 1024
 
 # U1 -------------------------------------------------------------------------
 def user_course_sets(df: DataFrame, user: str, course: str) -> DataFrame:
@@ -223,7 +225,8 @@ class _Counts:
         kept = persisted(counts)
         rows, places, rare = kept.agg(F.count(F.lit(1)), F.sum(F.size("combo")),
                                       F.sum(F.when(F.col("n") < k, F.col("n")))).first()
-        fits = rows <= joins.BROADCAST_MAX_ROWS and 64 * rows + 4 * (places or 0) <= joins.BROADCAST_MAX_BYTES
+        # a row of the hash table holds its combo as key and as value
+        fits = rows <= joins.BROADCAST_MAX_ROWS and 200 * rows + 8 * (places or 0) <= COUNTS_BROADCAST_BYTES
         return cls(kept, rare or 0, rows if fits else None)
 
 

@@ -96,3 +96,21 @@ def test_kept_terms_equal_terms_from_scratch(spark, n_comb):
         assert abs(got[x].loss - r.loss) < 1e-9 and (got[x].n_change, got[x].n_rows) == (r.n_change, r.n_rows)
     # only groups next to a change were computed again
     assert 0 < sum(r.fresh for r in got.values()) < 2 * sum(r.n_rows for r in want.values())
+
+
+def test_many_combos_are_not_held_by_the_driver(spark):
+    counts = spark.range(100_000).select(
+        F.transform(F.sequence(F.lit(0), F.lit(6)), lambda i: (F.col("id") + i).cast("int")).alias("combo"),
+        F.lit(1).cast("bigint").alias("n"))
+    kept = U._Counts.of(counts, 5)
+    assert (kept.rare_users, kept.bound) == (100_000, None)
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        scores = U.score_drops(kept.table.limit(100), 5, 2, bound=kept.bound)
+        plan = scores._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        kept.table.unpersist()
+    # no table of all combos is built whole, and groups are combined in memory that can spill
+    assert "Broadcast" not in plan and "ObjectHashAggregate" not in plan
