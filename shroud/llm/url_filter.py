@@ -19,10 +19,11 @@ and its tokens and checks the rules that it meets.  The index is joined by
 ``attach``-like size check: broadcast only if its measured size is within the
 library's bound, else shuffled with frequent tokens split.
 
-FP-growth reads all labelled URLs.  Its memory is bounded by two documented
-parameters of training alone: the first ``TRAIN_TOKENS`` tokens of a labelled
-URL, and the support, below which no combination is kept; judging uses all
-tokens of every URL.
+FP-growth reads all tokens of all labelled URLs, but only one of the tokens that
+occur in exactly the same labelled URLs, such as the words of a path that always
+come together: a rule with two of them has a part that is as good.  The rules found
+are then given for each of these tokens (``_token_classes``), so nothing is lost.
+The support is the only bound on what is kept.
 
 A NULL URL, or one without ``://``, has an empty host and path, no tokens, and
 is allowed.  Repeated rows give repeated rows; a label that is repeated counts
@@ -47,7 +48,6 @@ MIN_URLS = 10          # at least so many of them
 MIN_CONFIDENCE = 0.8
 MIN_LIFT = 1.05        # against the label's share among all labelled URLs
 MAX_TOKENS = 4         # tokens of a rule
-TRAIN_TOKENS = 16      # tokens of a labelled URL that training reads
 
 _RULE = "kind string, verdict string, host string, path string, tokens array<string>, confidence double, support double"
 
@@ -91,18 +91,38 @@ def list_rules(spark: SparkSession, rules: Sequence[tuple[str, str]]) -> DataFra
     return spark.createDataFrame(rows, _RULE)
 
 
+def _token_classes(baskets: DataFrame, least: float) -> DataFrame:
+    """(token, members, freq): one token for all that occur in the same rows of ``baskets(row, tokens, label)``,
+    of those in ``least`` rows or more.
+
+    Equal rows have equal counts and two equal sums of 64-bit hashes.  All members of a class are in one URL."""
+    held = baskets.select("row", F.explode("tokens").alias("token"))
+    rows = held.groupBy("token").agg(
+        F.count(F.lit(1)).alias("freq"), F.bit_xor(F.xxhash64("row")).alias("h1"),
+        F.bit_xor(F.xxhash64(F.lit(1), F.col("row"))).alias("h2")).filter(F.col("freq") >= least - 1e-6)
+    classes = rows.groupBy("freq", "h1", "h2").agg(F.min("token").alias("token"), F.sort_array(
+        F.collect_list("token")).alias("members"))
+    return write_stage(classes.select("token", "members", "freq"), "url-tokens")[0]
+
+
 def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_urls: int = MIN_URLS,
                min_confidence: float = MIN_CONFIDENCE, min_lift: float = MIN_LIFT) -> DataFrame:
     """Association rules of ``labelled(tokens array<string>, label string)``: a written table like the list's,
     with tokens in ascending order, and the token ``anchor`` that is rarest among the labelled URLs."""
     spark = labelled.sparkSession
-    items = F.concat(F.slice("tokens", 1, TRAIN_TOKENS), F.array(F.concat(F.lit("label:"), F.col("label"))))
-    baskets, _ = write_stage(labelled.select(F.array_distinct(items).alias("items")), "url-baskets")
+    baskets, _ = write_stage(labelled.select(
+        F.monotonically_increasing_id().alias("row"), F.array_distinct("tokens").alias("tokens"), "label"), "url-baskets")
     n = baskets.count()
     if not n:
         return spark.createDataFrame([], _RULE + ", anchor string")
-    model = FPGrowth(itemsCol="items", minSupport=min(1.0, max(min_support, min_urls / n)),
-                     minConfidence=min_confidence).fit(baskets)
+    support = min(1.0, max(min_support, min_urls / n))
+    classes = _token_classes(baskets, support * n)
+    chosen = attach(baskets.select("row", "label", F.explode_outer("tokens").alias("token")),
+                    classes.select("token", F.col("token").alias("known")), ["token"])
+    items = chosen.groupBy("row").agg(F.concat(
+        F.collect_list("known"), F.array(F.concat(F.lit("label:"), F.first("label")))).alias("items"))
+    items, _ = write_stage(items.select("items"), "url-items")
+    model = FPGrowth(itemsCol="items", minSupport=support, minConfidence=min_confidence).fit(items)
     rules = model.associationRules.filter(
         F.col("consequent")[0].startswith("label:") & (F.size("antecedent") <= MAX_TOKENS)
         & (F.col("lift") >= min_lift))
@@ -117,7 +137,15 @@ def mine_rules(labelled: DataFrame, min_support: float = MIN_SUPPORT, min_urls:
     beaten = (parted.join(shorter, ["part", "verdict"]).filter("as_good >= confidence")
               .select("tokens", "verdict").distinct())
     kept = rules.join(beaten, ["tokens", "verdict"], "left_anti")
-    singles = model.freqItemsets.filter(F.size("items") == 1).select(F.col("items")[0].alias("token"), "freq")
+    # the same rule for every choice of one token of each class; the rarest token is one of the rarest class
+    taken = kept.select("tokens", "verdict", F.explode("tokens").alias("token")).join(classes, "token")
+    taken = taken.groupBy("tokens", "verdict").agg(F.collect_list("members").alias("choices"))
+    kept = kept.join(taken, ["tokens", "verdict"]).drop("tokens")
+    grown = F.expr("aggregate(choices, array(cast(array() AS array<string>)), (a, members) -> "
+                   "flatten(transform(a, t -> transform(members, m -> concat(t, array(m))))))")
+    kept = kept.select("verdict", "confidence", "support", F.explode(grown).alias("tokens")).withColumn(
+        "tokens", F.array_sort("tokens"))
+    singles = classes.select(F.explode("members").alias("token"), "freq")
     rarest = (kept.select("tokens", "verdict", F.explode("tokens").alias("token")).join(singles, "token")
               .groupBy("tokens", "verdict").agg(F.min(F.struct("freq", "token")).alias("rarest")))
     out = kept.join(rarest, ["tokens", "verdict"]).select(

@@ -153,6 +153,27 @@ def _mined(baskets, min_urls, confidence, lift):
                        for k in range(1, len(key[0])) for part in combinations(key[0], k))}
 
 
+def test_rules_are_mined_from_all_tokens_of_long_urls(spark):
+    rng = random.Random(7)
+    baskets = []
+    for _ in range(120):
+        spam, pair = rng.random() < 0.4, rng.random() < 0.5
+        tail = ["path:win", "query:now"] if spam else rng.choice([["path:win"], ["query:now"], []])
+        baskets.append(([f"host:h{j:02}" for j in range(14)] + ["path:p", "path:q"] * pair + ["path:read"]
+                        + rng.sample(["query:a", "query:b", "query:c"], 2) + tail, "block" if spam else "allow"))
+    want = _mined(baskets, U.MIN_URLS, U.MIN_CONFIDENCE, U.MIN_LIFT)
+    assert (("path:win", "query:now"), "block") in want
+    rules = U.mine_rules(spark.createDataFrame(baskets, "tokens array<string>, label string")).collect()
+    assert {(tuple(r.tokens), r.verdict): (round(r.confidence, 9), round(r.support, 9)) for r in rules} == {
+        k: (round(c, 9), round(s, 9)) for k, (c, s) in want.items()}
+    assert len(rules) == len(want) and all(r.anchor in r.tokens for r in rules)
+    # 300 words that always come together are one to FP-growth, and each has its rule
+    words = [f"path:w{j:03}" for j in range(300)]
+    pages = [(words + ["query:x"], "block")] * 20 + [(["host:h", "query:x"], "allow")] * 40
+    rules = U.mine_rules(spark.createDataFrame(pages, "tokens array<string>, label string")).collect()
+    assert {(tuple(r.tokens), r.verdict) for r in rules} == {((w,), "block") for w in words} | {(("host:h",), "allow")}
+
+
 def test_mined_rules_equal_brute_force_and_decide(spark):
     rng = random.Random(3)
     rows, labels = [], []
