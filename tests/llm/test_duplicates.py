@@ -274,6 +274,49 @@ def test_lines_of_one_template_do_not_meet(spark):
     assert met[2] <= 8, met
 
 
+def test_sketches_are_the_lowest_shingles(spark):
+    rng = random.Random(24)
+
+    def text(n, alphabet="abcdefghijklmnop 日本語𝄞é"):
+        return "".join(rng.choice(alphabet) for _ in range(n))
+
+    lines = [text(n) for n in (8, 9, 10, 25, 43, 44, 200, 3000)] + [text(30) * 40, "a" * 500, "ab" * 300, text(12) * 50]
+    numbered = documents(spark, [(0, "\n".join([*lines, "short", "", *lines]))]).selectExpr("0L AS row", "doc_id", "text")
+    found, _ = line_dedup._distinct(numbered)
+    got = {r.h1: sorted(r.bands) for r in found.collect()}
+    assert len(got) == len(lines)
+    for line in lines:
+        low = sorted(int(np.int64(np.uint64(xxhash.xxh64(s.encode("utf-32-be"), seed=42).intdigest())))
+                     for s in {line[i:i + 8] for i in range(len(line) - 7)})[:line_dedup.SKETCH]
+        at = [low] if len(low) < 3 else [low[i:i + 3] for i in range(len(low) - 2)]
+        want = []
+        for band in at:
+            h = 42
+            for x in band:
+                h = xxhash.xxh64(int(x).to_bytes(8, "little", signed=True), seed=h).intdigest()
+            want.append(int(np.int64(np.uint64(h))))
+        h1 = int(np.int64(np.uint64(xxhash.xxh64(line.encode(), seed=42).intdigest())))
+        assert got[h1] == sorted(want), line
+
+
+def test_no_pair_of_lines_is_compared_twice(spark, monkeypatch):
+    rng = random.Random(25)
+    compared = []
+    alike = line_dedup._alike
+
+    def noted(pairs, texts, similarity):
+        compared.append([tuple(sorted((r.a, r.b))) for r in pairs.select("a", "b").collect()])
+        return alike(pairs, texts, similarity)
+
+    monkeypatch.setattr(line_dedup, "_alike", noted)
+    shared = "".join(rng.choice("abcdefghijklmnop ") for _ in range(90))
+    rows = [(i, shared + "".join(rng.choice("abcdefghijklmnop ") for _ in range(45))) for i in range(12)]
+    want = brute_lines(rows)
+    assert dropped_lines(spark, rows) == want and len(compared) == 2
+    pairs = [p for round_ in compared for p in round_]
+    assert compared[0] and len(pairs) == len(set(pairs))
+
+
 def test_lines_taken_out(spark):
     rows = [(1, "first line of some text\nsecond"), (2, "second\n\nthird"), (3, None), (3, None), (4, "third\nsecond")]
     docs = documents(spark, rows).coalesce(1)
