@@ -317,6 +317,51 @@ def test_no_pair_of_lines_is_compared_twice(spark, monkeypatch):
     assert compared[0] and len(pairs) == len(set(pairs))
 
 
+@pytest.mark.parametrize("rows", [1, 2**12])
+def test_only_wanted_lines_are_shuffled(spark, monkeypatch, rows):
+    monkeypatch.setattr(line_dedup, "FEWEST_ROWS", rows)
+    monkeypatch.setattr(line_dedup, "MOST_ROWS", rows)
+    lines = spark.range(20_000).selectExpr("concat('a line of some length ', id) AS line", "id").selectExpr(
+        "line", "id", "xxhash64(line) AS h1")
+    got = {r.id for r in line_dedup._likely(lines, lines.filter("id % 100 = 0"), "h1").collect()}
+    # 200 of 512 bits let less than 0.4 of the others through
+    assert set(range(0, 20_000, 100)) <= got and len(got) < (8_000 if rows == 1 else 230)
+
+
+def test_bands_and_texts_are_not_kept_together(spark, monkeypatch):
+    """Results with blocks of pairs and shingles of equal rank, and the tables that lie on disk at each write."""
+    rng = random.Random(26)
+    kept, write, drop = {}, line_dedup.write_stage, line_dedup.drop_stage
+    together = []
+
+    def noted(df, name, *args, **named):
+        together.append({*kept.values(), name})
+        table, path = write(df, name, *args, **named)
+        kept[path] = name
+        return table, path
+
+    def dropped(session, path):
+        kept.pop(path, None)
+        drop(session, path)
+
+    monkeypatch.setattr(line_dedup, "write_stage", noted)
+    monkeypatch.setattr(line_dedup, "drop_stage", dropped)
+    for name, value in (("BUCKET_LINES", 2), ("FREQUENT_SHINGLES", 40), ("TASK_SHINGLES", 500), ("MOST_ROWS", 1),
+                        ("FEWEST_ROWS", 1)):
+        monkeypatch.setattr(line_dedup, name, value, raising=False)
+
+    def text(n):
+        return "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+
+    shared = text(60)
+    rows = [(i, shared + text(14)) for i in range(40)]
+    rows += [(100 + i, t[:70] + text(4)) for i, (_, t) in enumerate(rows[:30])]
+    want = brute_lines(rows)
+    assert sum(map(len, want)) > 20 and dropped_lines(spark, rows) == want
+    assert not any({"line-distinct", "line-texts"} <= names for names in together), together
+    assert {"line-prefixes", "line-links"} <= set().union(*together)
+
+
 def test_lines_taken_out(spark):
     rows = [(1, "first line of some text\nsecond"), (2, "second\n\nthird"), (3, None), (3, None), (4, "third\nsecond")]
     docs = documents(spark, rows).coalesce(1)
